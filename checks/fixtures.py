@@ -27,63 +27,50 @@ def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def lines_by_order(lineitem: DataFrame) -> DataFrame:
     """One row per order with a list of its lines, one element per line number."""
-    number = F.col("l_linenumber")
-    place = F.when(number.between(1, LAST_LINE), number).otherwise(LAST_LINE + 1)
-    sums = []
-    for k in range(1, LAST_LINE + 2):
-        here = place == k
-        sums += [F.sum(F.when(here, F.coalesce("l_quantity", F.lit(0.0)))).alias(f"q{k}"),
-                 # The code of the flag, as a number, keeps the hash aggregate.
-                 F.max(F.when(here, F.ascii("l_returnflag"))).alias(f"f{k}"),
-                 F.max(F.when(here, F.col("l_tax"))).alias(f"t{k}")]
-    places = [F.struct(F.lit(k).alias("line"), F.col(f"q{k}").alias("qty"),
-                       F.char(F.col(f"f{k}")).alias("flag"), F.col(f"t{k}").alias("tax"))
-              for k in range(1, LAST_LINE + 2)]
-    present = F.filter(F.array(*places), lambda p: p["qty"].isNotNull())
-    return (lineitem.groupBy("l_orderkey").agg(*sums)
-            .select("l_orderkey", present.alias("lines")))
+    places = range(1, LAST_LINE + 2)
+    placed = lineitem.selectExpr(
+        "l_orderkey", "l_tax as tax", "coalesce(l_quantity, 0D) as qty",
+        # The code of the flag, as a number, keeps the hash aggregate.
+        "ascii(l_returnflag) as flag",
+        f"if(l_linenumber between 1 and {LAST_LINE}, l_linenumber, {LAST_LINE + 1}) as place")
+    by_place = [F.expr(f"{combine}(if(place = {k}, {c}, null)) as {c}{k}")
+                for k in places for combine, c in (("sum", "qty"), ("max", "flag"), ("max", "tax"))]
+    lines = ", ".join(f"struct({k} as line, qty{k} as qty, char(flag{k}) as flag, tax{k} as tax)"
+                      for k in places)
+    return (placed.groupBy("l_orderkey").agg(*by_place)
+            .selectExpr("l_orderkey", f"filter(array({lines}), p -> p.qty is not null) as lines"))
 
 
 def orders_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order; every bin is represented."""
     lines = lines_by_order(table(spark, sf_dir, "lineitem"))
-    joined = (table(spark, sf_dir, "orders")
-              .join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-              .withColumn("lines", F.coalesce("lines", F.array())))
-    return joined.select(
-        F.col("o_orderkey").alias("event_id"),
-        F.col("o_totalprice").alias("met"),
-        F.col("o_orderstatus").alias("status"),
-        F.array("o_totalprice").alias("vtx"),
-        F.col("lines.qty").alias("qty"),
-        F.col("lines.line").alias("line"),
-        F.col("lines.flag").alias("flag"),
-        F.array().cast("array<float>").alias("gone"),
-        F.transform("lines", lambda x: F.array(x["qty"], x["tax"])).alias("pairs"),
-        F.struct(F.col("o_orderpriority").alias("priority"),
-                 F.to_date("o_orderdate").alias("day")).alias("info"),
-        F.create_map("o_orderstatus", "o_orderpriority").alias("attrs"))
+    return (table(spark, sf_dir, "orders")
+            .join(lines, F.expr("o_orderkey = l_orderkey"), "left")
+            .selectExpr("*", "coalesce(lines, array()) as present").selectExpr(
+                "o_orderkey as event_id", "o_totalprice as met", "o_orderstatus as status",
+                "array(o_totalprice) as vtx", "present.qty as qty", "present.line as line",
+                "present.flag as flag", "cast(array() as array<float>) as gone",
+                "transform(present, x -> array(x.qty, x.tax)) as pairs",
+                "struct(o_orderpriority as priority, to_date(o_orderdate) as day) as info",
+                "map(o_orderstatus, o_orderpriority) as attrs"))
 
 
 def documents_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document, its text cut into words, lines and sentences."""
-    words, lines = F.split("text", " "), F.split("text", "\n")
-    return table(spark, sf_dir, "documents").select(
-        "doc_id", "lang", "source",
-        words.alias("words"),
-        F.transform(words, F.length).alias("word_len"),
-        lines.alias("lines"),
-        F.transform(lines, lambda x: F.split(x, " ")).alias("line_words"),
-        F.transform(lines, lambda x: F.transform(F.split(x, "[.] "), lambda s: F.split(s, " ")))
-         .alias("sentence_words"))
+    return table(spark, sf_dir, "documents").selectExpr(
+        "doc_id", "lang", "source", "split(text, ' ') as words",
+        "transform(split(text, ' '), w -> length(w)) as word_len",
+        "split(text, '\n') as lines",
+        "transform(split(text, '\n'), l -> split(l, ' ')) as line_words",
+        "transform(split(text, '\n'), l -> transform(split(l, '[.] '), s -> split(s, ' ')))"
+        " as sentence_words")
 
 
 def turns_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per turn of a conversation, with its words and its words per line."""
-    return table(spark, sf_dir, "conversations").select(
-        "conv_id", "turn", F.array("role").alias("speaker"),
-        F.split("text", " ").alias("words"),
-        F.transform(F.split("text", "\n"), lambda x: F.split(x, " ")).alias("line_words"))
+    return table(spark, sf_dir, "conversations").selectExpr(
+        "conv_id", "turn", "array(role) as speaker", "split(text, ' ') as words",
+        "transform(split(text, '\n'), l -> split(l, ' ')) as line_words")
 
 
 def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:

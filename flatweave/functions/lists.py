@@ -60,11 +60,6 @@ def padded(items: Column, width: int, fill: Column) -> Column:
     return F.concat(kept, F.array_repeat(fill, missing))
 
 
-def slot(items: Column, position: int, value: Column, fill: Column) -> Column:
-    """One padded slot: ``value`` while the list reaches it, ``fill`` after."""
-    return F.when(F.array_size(items) > position, value).otherwise(fill)
-
-
 def within(items: Column, width: int, name: str, value: Column) -> Column:
     """``value``, failing the job if a list is longer than the profiled width."""
     message = F.concat(F.lit(f"column {name} holds a list longer than its profiled "

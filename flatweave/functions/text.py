@@ -34,21 +34,17 @@ def flat_value(c: Column, t: T.DataType) -> Column:
     return F.to_json(c) if isinstance(t, T.StructType) else c
 
 
-def without_nan(c: Column) -> Column:
-    return F.when(~F.isnan(c), c)
-
-
-def writable(c: Column, t: T.DataType) -> Column:
-    """A flat cell as the CSV writer should see it.
+def writable(cell: str, t: T.DataType) -> str:
+    """A flat cell, given as SQL, as the CSV writer should see it.
 
     NaN is an empty cell; types whose text depends on writer options (dates,
     timestamps, decimals, intervals) are turned into strings first.
     """
     if is_float(t):
-        return without_nan(c)
+        return f"if(isnan({cell}), null, {cell})"
     if is_integer(t) or isinstance(t, (T.StringType, T.BooleanType)):
-        return c
-    return plain_text(c, t)
+        return cell
+    return f"cast({cell} as string)"
 
 
 def quote_cell(c: Column) -> Column:
@@ -63,9 +59,11 @@ def needs_quoting(t: T.DataType) -> bool:
 
 
 def cell_text(c: Column, t: T.DataType) -> Column:
-    """One CSV cell, never NULL."""
-    text = plain_text(writable(c, t), t)
-    return F.coalesce(quote_cell(text) if needs_quoting(t) else text, F.lit(""))
+    """One CSV cell, never NULL; NaN is empty."""
+    text = plain_text(c, t)
+    if needs_quoting(t):
+        text = quote_cell(text)
+    return F.coalesce(F.nullif(text, F.lit("NaN")) if is_float(t) else text, F.lit(""))
 
 
 def joined_cells(items: Column, t: T.DataType) -> Column:

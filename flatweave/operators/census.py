@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flatweave.operators.lengths import length_histogram, length_stats
@@ -28,34 +28,37 @@ CENSUS_SCHEMA = (
     "n_events bigint")
 
 
-def category() -> Column:
-    """The six bins, from the schema facts and the length extremes."""
-    longest = F.coalesce("len_max", F.lit(0))
-    return (F.when(F.col("reason").isNotNull(), "unreadable")
-            .when(F.col("ndim") == 1, "scalar")
-            .when(F.col("ndim") > 2, "jagged_deep")
-            .when(longest == 0, "empty")
-            .when((F.col("len_min") == 1) & (longest == 1), "vec1")
-            .otherwise("jagged"))
+# The six bins, from the schema facts and the length extremes.
+CATEGORY = """
+    case when reason is not null then 'unreadable'
+         when ndim = 1 then 'scalar'
+         when ndim > 2 then 'jagged_deep'
+         when coalesce(len_max, 0) = 0 then 'empty'
+         when len_min = 1 and len_max = 1 then 'vec1'
+         else 'jagged' end"""
 
+# Axis maxima up to the first depth that holds no list, reported as 0.
+REACHED_AXES = """
+    case when category <> 'jagged_deep' or not {deep_profile} then null
+         when maxima is null then array(0)
+         when array_contains(maxima, 0) then slice(
+           maxima, 1, least(cast(array_position(maxima, 0) as int) + 1, size(maxima)))
+         else maxima end"""
 
-def reached_axes(maxima: Column) -> Column:
-    """Axis maxima up to the first depth that holds no list, reported as 0."""
-    first_empty = F.array_position(maxima, F.lit(0)).cast("int")
-    kept = F.when(first_empty == 0, F.size(maxima)).otherwise(
-        F.least(first_empty + 1, F.size(maxima)))
-    return F.slice(maxima, F.lit(1), kept)
+# An overflowing or unprofiled product is reported as -1, unknown.
+HYPOTHETICAL = """
+    case when category = 'jagged_deep' then coalesce(aggregate(
+      axis_max_lens, 1L, (product, n) -> try_multiply(product, greatest(n, 1L))), -1L) end"""
 
 
 def column_stats(stats: DataFrame) -> DataFrame:
     """One row per column: its axis-1 statistics and the maxima of all axes."""
-    outer = F.struct("n_events", "len_min", "len_med", "len_p95", "len_max",
-                     "fill_frac", "n_spacers")
-    # One entry per nesting level of the type.
-    axes = F.sort_array(F.collect_list(F.struct("axis", "len_max")))
-    return (stats.groupBy("name")
-            .agg(F.max(F.when(F.col("axis") == 1, outer)).alias("outer"), axes.alias("axes"))
-            .select("name", "outer.*", F.col("axes.len_max").alias("maxima")))
+    return (stats.groupBy("name").agg(
+        F.expr("max(if(axis = 1, struct(n_events, len_min, len_med, len_p95, len_max, fill_frac, "
+               "n_spacers), null)) as outermost"),
+        # One entry per nesting level of the type.
+        F.expr("sort_array(collect_list(struct(axis, len_max))) as axes"))
+        .selectExpr("name", "outermost.*", "axes.len_max as maxima"))
 
 
 def census(df: DataFrame, deep_profile: bool = True, samples: int = 0,
@@ -78,38 +81,30 @@ def census(df: DataFrame, deep_profile: bool = True, samples: int = 0,
 
 def classified(found: DataFrame, deep_profile: bool = True) -> DataFrame:
     """Assign bins and derive the per-bin fields of the census."""
-    bins = found.withColumn("category", category())
-    is_in = lambda *names: F.col("category").isin(*names)
-    deep = is_in("jagged_deep")
-    if deep_profile:
-        axes = F.when(deep, F.when(F.col("maxima").isNull(), F.array(F.lit(0)))
-                      .otherwise(reached_axes(F.col("maxima"))))
-    else:
-        axes = F.lit(None).cast("array<int>")
-    bins = bins.withColumn("axis_max_lens", axes)
-    # NULL from an overflowing or unprofiled product is reported as -1, unknown.
-    product = F.aggregate("axis_max_lens", F.lit(1).cast("bigint"),
-                          lambda acc, x: F.try_multiply(acc, F.greatest(x, F.lit(1)).cast("bigint")))
-    hypothetical = F.when(deep, F.coalesce(product, F.lit(-1)))
-    single, counted = is_in("scalar", "vec1"), is_in("vec1", "jagged")
-    policy = F.create_map(*[F.lit(x) for pair in DEFAULT_POLICY.items() for x in pair])
-    max_len = (F.when(single, 1).when(is_in("empty"), 0).when(is_in("jagged"), F.col("len_max"))
-               .when(deep, -1))
-    dtype = (F.when(is_in("jagged"), "object").when(is_in("empty"), "none")
-             .when(deep & F.lit(not deep_profile), "unprofiled").otherwise(F.col("dtype")))
-    return bins.select(
-        "name", "category", F.try_element_at(policy, F.col("category")).alias("policy"),
-        "type", "source_type", dtype.alias("dtype"), "ndim",
-        max_len.cast("int").alias("max_len"),
-        *[F.when(counted, F.col(s)).alias(s)
-          for s in ("len_min", "len_med", "len_p95", "len_max", "fill_frac")],
-        F.when(is_in("jagged"), F.col("n_spacers"))
-         .when(~is_in("unreadable"), 0).cast("bigint").alias("n_spacers"),
-        F.when(single, 1).when(is_in("empty"), 0).when(is_in("jagged"), F.col("len_max"))
-         .when(deep, hypothetical).cast("bigint").alias("fanout"),
-        "axis_max_lens", hypothetical.cast("bigint").alias("hypo_cols"),
-        F.when(~is_in("unreadable"), F.col("samples")).alias("samples"),
-        "reason", "n_events")
+    policies = ", ".join(f"'{k}', '{v}'" for k, v in DEFAULT_POLICY.items())
+    only_counted = [f"if(category in ('vec1', 'jagged'), {s}, null) as {s}"
+                    for s in ("len_min", "len_med", "len_p95", "len_max", "fill_frac")]
+    return (found
+            .selectExpr("*", f"{CATEGORY} as category")
+            .selectExpr("*", f"{REACHED_AXES.format(deep_profile=deep_profile)} as axis_max_lens")
+            .selectExpr("*", f"{HYPOTHETICAL} as hypo_cols")
+            .selectExpr(
+                "name", "category", f"try_element_at(map({policies}), category) as policy",
+                "type", "source_type",
+                f"""case when category = 'jagged' then 'object' when category = 'empty' then 'none'
+                    when category = 'jagged_deep' and not {deep_profile} then 'unprofiled'
+                    else dtype end as dtype""",
+                "ndim",
+                """case when category in ('scalar', 'vec1') then 1 when category = 'empty' then 0
+                   when category = 'jagged' then len_max
+                   when category = 'jagged_deep' then -1 end as max_len""",
+                *only_counted,
+                """case when category = 'jagged' then n_spacers
+                   when category <> 'unreadable' then 0L end as n_spacers""",
+                """case when category in ('scalar', 'vec1') then 1L when category = 'empty' then 0L
+                   when category = 'jagged' then len_max else hypo_cols end as fanout""",
+                "axis_max_lens", "hypo_cols",
+                "if(category <> 'unreadable', samples, null) as samples", "reason", "n_events"))
 
 
 def census_rows(frame: DataFrame) -> list:

@@ -6,17 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flatweave.functions.lists import list_length, padded, slot, within
-from flatweave.functions.names import column
+from flatweave.functions.lists import list_length, padded, within
+from flatweave.functions.names import column, quoted
 from flatweave.functions.text import cell_text, flat_value, joined_cells, plain_text
 from flatweave.plans.layout import FlatColumn, FlatLayout
 from flatweave.plans.policy import fill_literal, slot_type
 
 
-def tag_columns(layout: FlatLayout) -> list[Column]:
-    return [F.lit(v).cast("tinyint").alias(k) for k, v in layout.tags.items()]
-
-
 def single_value(c: FlatColumn) -> Column:
     """A scalar as it is, or the only element of a one-element list."""
     source = column(c.name)
@@ -26,50 +22,37 @@ def single_value(c: FlatColumn) -> Column:
     return flat_value(source, c.data_type)
 
 
-def slot_columns(c: FlatColumn, fill: float | str) -> list[Column]:
+def padded_array(c: FlatColumn, fill: float | str) -> Column:
+    """All slots of a jagged column as one array of fixed width and one type."""
     source, t = column(c.name), slot_type(c.element_type, fill)
-    pad = fill_literal(fill, t)
-    slots = []
-    for j, name in enumerate(c.names):
-        item = F.get(source, F.lit(j))
-        value = plain_text(item, c.element_type) if isinstance(t, T.StringType) else item.cast(t)
-        cell = slot(source, j, value, pad)
-        if j == 0 and c.width == c.longest:
-            cell = within(source, c.longest, c.name, cell)
-        slots.append(cell.alias(name))
-    return slots
-
-
-def flat_columns(df: DataFrame, layout: FlatLayout) -> DataFrame:
-    """One flat column per slot. Dropped columns are not read."""
-    selected = tag_columns(layout)
-    for c in layout.columns:
-        if c.category == "jagged":
-            selected += slot_columns(c, layout.fill)
-        else:
-            selected.append(single_value(c).alias(c.name))
-    return df.select(*selected)
+    items = source.cast(T.ArrayType(t))
+    if isinstance(c.element_type, T.StructType):
+        items = F.transform(source, lambda x: plain_text(x, c.element_type))
+    cells = padded(items, c.width, fill_literal(fill, t))
+    return within(source, c.longest, c.name, cells) if c.width == c.longest else cells
 
 
 def flat_arrays(df: DataFrame, layout: FlatLayout) -> DataFrame:
     """One fixed-width array per jagged column instead of one column per slot."""
-    selected = tag_columns(layout)
+    return df.select(
+        *[F.lit(v).cast("tinyint").alias(k) for k, v in layout.tags.items()],
+        *[(padded_array(c, layout.fill) if c.category == "jagged" else single_value(c)).alias(c.name)
+          for c in layout.columns])
+
+
+def flat_columns(df: DataFrame, layout: FlatLayout) -> DataFrame:
+    """One flat column per slot, picked from the padded arrays.
+
+    Dropped columns are not read. The picks are handed over as SQL text, which
+    costs the driver far less than thousands of column objects.
+    """
+    picks = [quoted(tag) for tag in layout.tags]
     for c in layout.columns:
-        if c.category != "jagged":
-            selected.append(single_value(c).alias(c.name))
-            continue
-        source, t = column(c.name), slot_type(c.element_type, layout.fill)
-        if not isinstance(t, T.StringType):
-            items = source.cast(T.ArrayType(t))
-        elif isinstance(c.element_type, T.StringType):
-            items = source
+        if c.category == "jagged":
+            picks += [f"{quoted(c.name)}[{j}] as {quoted(name)}" for j, name in enumerate(c.names)]
         else:
-            items = F.transform(source, lambda x, e=c.element_type: plain_text(x, e))
-        cells = padded(items, c.width, fill_literal(layout.fill, t))
-        if c.width == c.longest:
-            cells = within(source, c.longest, c.name, cells)
-        selected.append(cells.alias(c.name))
-    return df.select(*selected)
+            picks.append(quoted(c.name))
+    return flat_arrays(df, layout).selectExpr(*picks)
 
 
 def padded_text(c: FlatColumn, fill: float | str) -> Column:

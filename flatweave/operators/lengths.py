@@ -55,7 +55,8 @@ def length_histogram(df: DataFrame, deep: bool = True,
         counted = (df.select(F.posexplode(F.array(*lengths)).alias("pos", "len"))
                      .groupBy("pos", "len").agg(F.count(F.lit(1)).alias("n")))
         label = F.get(labels, F.col("pos"))
-        return counted.select(label["name"].alias("name"), label["axis"].alias("axis"),
+        # Never NULL, so no null check on names is pushed below the counting.
+        return counted.select(F.coalesce(label["name"], F.lit("")).alias("name"), label["axis"].alias("axis"),
                               F.col("len").cast("bigint").alias("len"), "n")
 
     batches = [entries[i:i + columns_per_scan]
@@ -69,16 +70,13 @@ def length_stats(histogram: DataFrame) -> DataFrame:
     Percentiles are exact and interpolate linearly. The input is the histogram,
     so the work depends on distinct lengths and not on rows.
     """
-    size, n = F.col("len"), F.col("n")
-    pct = F.percentile(size, [0.5, 0.95], n)
-    grouped = histogram.groupBy("name", "axis").agg(
-        F.sum(n).alias("n_events"),
-        F.min(size).cast("int").alias("len_min"),
-        pct.alias("pct"),
-        F.max(size).cast("int").alias("len_max"),
-        (F.sum(F.when(size > 0, n).otherwise(0)) / F.sum(n)).alias("fill_frac"),
-        (F.max(size) * F.sum(n) - F.sum(size * n)).alias("n_spacers"))
-    return grouped.select("name", "axis", "n_events", "len_min",
-                          F.get("pct", F.lit(0)).alias("len_med"),
-                          F.get("pct", F.lit(1)).alias("len_p95"),
-                          "len_max", "fill_frac", "n_spacers")
+    # Grouped by name up front: nothing per column is shuffled a second time.
+    grouped = histogram.repartition("name").groupBy("name", "axis").agg(*map(F.expr, (
+        "sum(n) as n_events",
+        "cast(min(len) as int) as len_min",
+        "percentile(len, array(0.5, 0.95), n) as pct",
+        "cast(max(len) as int) as len_max",
+        "sum(if(len > 0, n, 0)) / sum(n) as fill_frac",
+        "max(len) * sum(n) - sum(len * n) as n_spacers")))
+    return grouped.selectExpr("name", "axis", "n_events", "len_min", "pct[0] as len_med",
+                              "pct[1] as len_p95", "len_max", "fill_frac", "n_spacers")

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flatweave.functions.names import column
-from flatweave.functions.text import flat_value
+from flatweave.functions.names import quoted
 from flatweave.plans.layout import FlatLayout
 from flatweave.sources.discovery import listed
 from flatweave.sources.flat_csv import WriteFacts
@@ -30,9 +29,9 @@ def build_report(spark: SparkSession, name: str, path: str, layout: FlatLayout,
 
 
 def row_print(df: DataFrame, salt: str) -> Column:
-    cells = [F.coalesce(flat_value(column(f.name), f.dataType).cast("string"), F.lit("\0"))
-             for f in df.schema.fields]
-    return F.xxhash64(F.lit(salt), *cells)
+    """A hash of all cells of a row; NULLs are marked, as hashing skips them."""
+    cells = ", ".join(f"{quoted(c)}, isnull({quoted(c)})" for c in df.columns)
+    return F.expr(f"xxhash64('{salt}', {cells})")
 
 
 def fingerprint(df: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from flatweave.functions.names import column
+from flatweave.functions.names import quoted
 from flatweave.functions.text import writable
 from flatweave.operators.flatten import flatten, header_line
 from flatweave.plans.layout import FlatLayout
@@ -37,8 +37,8 @@ class WriteFacts:
 
 
 def csv_cells(flat: DataFrame) -> DataFrame:
-    return flat.select(*[writable(column(f.name), f.dataType).alias(f.name)
-                         for f in flat.schema.fields])
+    return flat.selectExpr(*[f"{writable(quoted(f.name), f.dataType)} as {quoted(f.name)}"
+                             for f in flat.schema.fields])
 
 
 def with_header(lines: DataFrame, header: str) -> DataFrame:
