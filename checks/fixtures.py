@@ -45,7 +45,8 @@ def orders_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order; every bin is represented."""
     lines = lines_by_order(table(spark, sf_dir, "lineitem"))
     return (table(spark, sf_dir, "orders")
-            .join(lines, F.expr("o_orderkey = l_orderkey"), "left")
+            # Both sides have a row per order: neither is ever small enough to broadcast.
+            .join(lines.hint("merge"), F.expr("o_orderkey = l_orderkey"), "left")
             .selectExpr("*", "coalesce(lines, array()) as present").selectExpr(
                 "o_orderkey as event_id", "o_totalprice as met", "o_orderstatus as status",
                 "array(o_totalprice) as vtx", "present.qty as qty", "present.line as line",

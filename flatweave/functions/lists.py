@@ -2,39 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flatweave.functions.names import column
+from flatweave.functions.names import literal, quoted
 
 
-def list_length(c: Column) -> Column:
+def list_length(items: str) -> str:
     """Elements in a list; a NULL list counts as empty."""
-    return F.coalesce(F.array_size(c), F.lit(0))
+    return f"coalesce(array_size({items}), 0)"
 
 
-def longest_list(c: Column, axis: int) -> Column:
+def longest_list(items: str, axis: int) -> str:
     """Longest list ``axis`` levels down within one row.
 
     Axis 1 is the row's own list. Deeper axes reduce inside the row, so the
     nested values are never copied or exploded.
     """
     if axis == 1:
-        return list_length(c)
-    inner = F.transform(c, lambda item: longest_list(item, axis - 1))
-    return F.coalesce(F.array_max(inner), F.lit(0))
+        return list_length(items)
+    inner = f"x{axis}"
+    return f"coalesce(array_max(transform({items}, {inner} -> {longest_list(inner, axis - 1)})), 0)"
 
 
-def length_source(field: T.StructField) -> Column:
-    """The cheapest column that has the same length as ``field``.
+def length_source(field: T.StructField) -> str:
+    """The cheapest expression that has the same length as a list column.
 
     The length of a list of structs is the length of any one of its fields,
     and reading just that field lets the scan skip all the others.
     """
-    c = column(field.name)
-    if not isinstance(field.dataType, T.ArrayType):
-        return c
+    source = quoted(field.name)
     element = field.dataType.elementType
     while isinstance(element, T.StructType) and element.fields:
         plain = [f for f in element.fields
@@ -45,24 +41,23 @@ def length_source(field: T.StructField) -> Column:
         # Fixed-width fields are the cheapest to decode.
         plain.sort(key=lambda f: isinstance(f.dataType, (T.StringType, T.BinaryType)))
         chosen = (plain or structs)[0]
-        c = c.getField(chosen.name)
-        element = chosen.dataType
-    return c
+        source, element = f"{source}.{quoted(chosen.name)}", chosen.dataType
+    return source
 
 
-def padded(items: Column, width: int, fill: Column) -> Column:
+def padded(items: str, width: int, fill: str) -> str:
     """The first ``width`` items, topped up with ``fill`` by length.
 
     NULL elements stay NULL: only slots past the end of the list are filled.
     """
-    kept = F.slice(F.coalesce(items, F.array()), 1, width)
-    missing = F.lit(width) - F.least(list_length(items), F.lit(width))
-    return F.concat(kept, F.array_repeat(fill, missing))
+    missing = f"{width} - least({list_length(items)}, {width})"
+    return (f"concat(slice(coalesce({items}, array()), 1, {width}), "
+            f"array_repeat({fill}, {missing}))")
 
 
-def within(items: Column, width: int, name: str, value: Column) -> Column:
+def within(items: str, width: int, name: str, value: str) -> str:
     """``value``, failing the job if a list is longer than the profiled width."""
-    message = F.concat(F.lit(f"column {name} holds a list longer than its profiled "
-                             f"length {width}: profile it again; found "),
-                       list_length(items).cast("string"))
-    return F.when(F.array_size(items) > width, F.raise_error(message)).otherwise(value)
+    message = literal(f"column {name} holds a list longer than its profiled length {width}: "
+                      "profile it again; found ")
+    return (f"if(array_size({items}) > {width}, "
+            f"raise_error(concat({message}, array_size({items}))), {value})")

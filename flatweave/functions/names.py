@@ -1,4 +1,4 @@
-"""Column references that survive dots, back-ticks and odd characters."""
+"""Column references and literals that survive any character."""
 
 from __future__ import annotations
 
@@ -12,3 +12,10 @@ def quoted(name: str) -> str:
 
 def column(name: str) -> Column:
     return F.col(quoted(name))
+
+
+def literal(text: str) -> str:
+    """A string literal; text the SQL parser could read otherwise goes in as bytes."""
+    if "'" in text or "\\" in text:
+        return f"cast(X'{text.encode().hex()}' as string)"
+    return f"'{text}'"

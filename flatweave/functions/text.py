@@ -1,13 +1,13 @@
-"""CSV text of cells, matching what the columnar CSV writer produces."""
+"""Text of cells, matching what the columnar CSV writer produces."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flatweave.functions.names import literal
+
 # The characters that force a CSV cell into quotes.
-QUOTED_CELL = '[,"\\r\\n]'
+QUOTED_CELL = '[,"\r\n]'
 
 
 def is_float(t: T.DataType) -> bool:
@@ -18,24 +18,24 @@ def is_integer(t: T.DataType) -> bool:
     return isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
 
 
-def plain_text(c: Column, t: T.DataType) -> Column:
+def plain_text(value: str, t: T.DataType) -> str:
     """A value as a string; nested values become JSON."""
     if isinstance(t, T.StringType):
-        return c
+        return value
     if isinstance(t, (T.StructType, T.ArrayType, T.MapType, T.VariantType)):
-        return F.to_json(c)
+        return f"to_json({value})"
     if isinstance(t, T.BinaryType):
-        return F.hex(c)
-    return c.cast("string")
+        return f"hex({value})"
+    return f"cast({value} as string)"
 
 
-def flat_value(c: Column, t: T.DataType) -> Column:
+def flat_value(value: str, t: T.DataType) -> str:
     """A value fit for one flat cell: structs become JSON, the rest stay typed."""
-    return F.to_json(c) if isinstance(t, T.StructType) else c
+    return f"to_json({value})" if isinstance(t, T.StructType) else value
 
 
 def writable(cell: str, t: T.DataType) -> str:
-    """A flat cell, given as SQL, as the CSV writer should see it.
+    """A flat cell as the CSV writer should see it.
 
     NaN is an empty cell; types whose text depends on writer options (dates,
     timestamps, decimals, intervals) are turned into strings first.
@@ -47,9 +47,9 @@ def writable(cell: str, t: T.DataType) -> str:
     return f"cast({cell} as string)"
 
 
-def quote_cell(c: Column) -> Column:
-    doubled = F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
-    return F.when(c.rlike(QUOTED_CELL), doubled).otherwise(c)
+def quote_cell(text: str) -> str:
+    return (f"if({text} rlike {literal(QUOTED_CELL)}, "
+            f"""concat('"', replace({text}, '"', '""'), '"'), {text})""")
 
 
 def needs_quoting(t: T.DataType) -> bool:
@@ -58,19 +58,20 @@ def needs_quoting(t: T.DataType) -> bool:
                                T.TimestampNTZType, T.DecimalType)))
 
 
-def cell_text(c: Column, t: T.DataType) -> Column:
+def cell_text(value: str, t: T.DataType) -> str:
     """One CSV cell, never NULL; NaN is empty."""
-    text = plain_text(c, t)
+    text = plain_text(value, t)
     if needs_quoting(t):
         text = quote_cell(text)
-    return F.coalesce(F.nullif(text, F.lit("NaN")) if is_float(t) else text, F.lit(""))
+    elif is_float(t):
+        text = f"nullif({text}, 'NaN')"
+    return f"coalesce({text}, '')"
 
 
-def joined_cells(items: Column, t: T.DataType) -> Column:
+def joined_cells(items: str, t: T.DataType) -> str:
     """All elements of a list as comma-separated CSV cells."""
     if needs_quoting(t):
-        cells = F.transform(items, lambda x: quote_cell(plain_text(x, t)))
-        return F.array_join(cells, ",", "")
-    text = F.array_join(items.cast("array<string>"), ",", "")
+        return f"array_join(transform({items}, x -> {quote_cell(plain_text('x', t))}), ',', '')"
+    text = f"array_join(cast({items} as array<string>), ',', '')"
     # No other number is spelled with these letters, so this empties NaN only.
-    return F.replace(text, F.lit("NaN"), F.lit("")) if is_float(t) else text
+    return f"replace({text}, 'NaN', '')" if is_float(t) else text

@@ -2,49 +2,46 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from flatweave.functions.lists import list_length, padded, within
-from flatweave.functions.names import column, quoted
+from flatweave.functions.names import quoted
 from flatweave.functions.text import cell_text, flat_value, joined_cells, plain_text
 from flatweave.plans.layout import FlatColumn, FlatLayout
 from flatweave.plans.policy import fill_literal, slot_type
 
 
-def single_value(c: FlatColumn) -> Column:
+def single_value(c: FlatColumn) -> str:
     """A scalar as it is, or the only element of a one-element list."""
-    source = column(c.name)
+    source = quoted(c.name)
     if c.category == "vec1":
-        only = F.get(source, F.lit(0))
-        return flat_value(within(source, 1, c.name, only), c.element_type)
+        return within(source, 1, c.name, flat_value(f"get({source}, 0)", c.element_type))
     return flat_value(source, c.data_type)
 
 
-def padded_array(c: FlatColumn, fill: float | str) -> Column:
+def padded_array(c: FlatColumn, fill: float | str) -> str:
     """All slots of a jagged column as one array of fixed width and one type."""
-    source, t = column(c.name), slot_type(c.element_type, fill)
-    items = source.cast(T.ArrayType(t))
+    source, t = quoted(c.name), slot_type(c.element_type, fill)
+    items = f"cast({source} as array<{t.simpleString()}>)"
     if isinstance(c.element_type, T.StructType):
-        items = F.transform(source, lambda x: plain_text(x, c.element_type))
+        items = f"transform({source}, x -> {plain_text('x', c.element_type)})"
     cells = padded(items, c.width, fill_literal(fill, t))
     return within(source, c.longest, c.name, cells) if c.width == c.longest else cells
 
 
 def flat_arrays(df: DataFrame, layout: FlatLayout) -> DataFrame:
     """One fixed-width array per jagged column instead of one column per slot."""
-    return df.select(
-        *[F.lit(v).cast("tinyint").alias(k) for k, v in layout.tags.items()],
-        *[(padded_array(c, layout.fill) if c.category == "jagged" else single_value(c)).alias(c.name)
-          for c in layout.columns])
+    tags = [f"cast({v} as tinyint) as {quoted(k)}" for k, v in layout.tags.items()]
+    cells = [(padded_array(c, layout.fill) if c.category == "jagged" else single_value(c))
+             + f" as {quoted(c.name)}" for c in layout.columns]
+    return df.selectExpr(*tags, *cells)
 
 
 def flat_columns(df: DataFrame, layout: FlatLayout) -> DataFrame:
     """One flat column per slot, picked from the padded arrays.
 
-    Dropped columns are not read. The picks are handed over as SQL text, which
-    costs the driver far less than thousands of column objects.
+    Dropped columns are not read.
     """
     picks = [quoted(tag) for tag in layout.tags]
     for c in layout.columns:
@@ -55,21 +52,23 @@ def flat_columns(df: DataFrame, layout: FlatLayout) -> DataFrame:
     return flat_arrays(df, layout).selectExpr(*picks)
 
 
-def padded_text(c: FlatColumn, fill: float | str) -> Column:
+def padded_text(c: FlatColumn, fill: float | str) -> str:
     """All slots of a jagged column as CSV text.
 
     Only elements that exist are rendered. The run of fill cells after them is
     one string repeat, so a sparse wide column costs its elements, not its width.
     """
-    source, t = column(c.name), slot_type(c.element_type, fill)
-    items = source if isinstance(t, T.StringType) else source.cast(T.ArrayType(t))
-    element = c.element_type if isinstance(t, T.StringType) else t
+    source, t = quoted(c.name), slot_type(c.element_type, fill)
+    items, element = source, c.element_type
+    if not isinstance(t, T.StringType):
+        items, element = f"cast({source} as array<{t.simpleString()}>)", t
     if c.width < c.longest:
-        items = F.slice(items, 1, c.width)
+        items = f"slice({items}, 1, {c.width})"
     pad = cell_text(fill_literal(fill, t), t)
-    head = F.when(list_length(source) > 0, joined_cells(items, element)).otherwise(pad)
-    filled = F.greatest(F.least(list_length(source), F.lit(c.width)), F.lit(1))
-    text = F.concat(head, F.repeat(F.concat(F.lit(","), pad), F.lit(c.width) - filled))
+    length = list_length(source)
+    filled = f"greatest(least({length}, {c.width}), 1)"
+    text = (f"concat(if({length} > 0, {joined_cells(items, element)}, {pad}), "
+            f"repeat(concat(',', {pad}), {c.width} - {filled}))")
     return within(source, c.longest, c.name, text) if c.width == c.longest else text
 
 
@@ -79,14 +78,14 @@ def flat_lines(df: DataFrame, layout: FlatLayout) -> DataFrame:
     One expression per source column, so tens of thousands of flat columns plan
     and compile as fast as a few hundred.
     """
-    cells = [F.lit(str(v)) for v in layout.tags.values()]
+    cells = [f"'{v}'" for v in layout.tags.values()]
     for c in layout.columns:
         if c.category == "jagged":
             cells.append(padded_text(c, layout.fill))
         else:
             t = T.StringType() if isinstance(c.element_type, T.StructType) else c.element_type
             cells.append(cell_text(single_value(c), t))
-    return df.select(F.concat_ws(",", *cells).alias("value"))
+    return df.selectExpr(f"concat_ws(',', {', '.join(cells)}) as value")
 
 
 def header_line(layout: FlatLayout) -> str:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flatweave.functions.lists import length_source, list_length, longest_list
-from flatweave.functions.names import column
+from flatweave.functions.names import quoted
 from flatweave.operators.shapes import ColumnShape, column_shapes
 
 HISTOGRAM_SCHEMA = "name string, axis int, len bigint, n bigint"
@@ -26,9 +26,9 @@ def list_columns(shapes: list[ColumnShape]) -> list[ColumnShape]:
 def list_lengths(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Length of each list column, row by row, next to the ``keep`` columns."""
     fields = {f.name: f for f in df.schema.fields}
-    lengths = [list_length(length_source(fields[s.name])).alias(s.name)
+    lengths = [f"{list_length(length_source(fields[s.name]))} as {quoted(s.name)}"
                for s in list_columns(column_shapes(df.schema))]
-    return df.select(*[column(k) for k in keep or []], *lengths)
+    return df.selectExpr(*map(quoted, keep or []), *lengths)
 
 
 def length_histogram(df: DataFrame, deep: bool = True,
@@ -48,11 +48,11 @@ def length_histogram(df: DataFrame, deep: bool = True,
 
     def measure(batch: list[tuple[str, int]]) -> DataFrame:
         lengths = [list_length(length_source(fields[name])) if axis == 1
-                   else longest_list(column(name), axis) for name, axis in batch]
+                   else longest_list(quoted(name), axis) for name, axis in batch]
         labels = F.from_json(
             F.lit(json.dumps([{"name": name, "axis": axis} for name, axis in batch])),
             "array<struct<name:string,axis:int>>")
-        counted = (df.select(F.posexplode(F.array(*lengths)).alias("pos", "len"))
+        counted = (df.selectExpr(f"posexplode(array({', '.join(lengths)})) as (pos, len)")
                      .groupBy("pos", "len").agg(F.count(F.lit(1)).alias("n")))
         label = F.get(labels, F.col("pos"))
         # Never NULL, so no null check on names is pushed below the counting.

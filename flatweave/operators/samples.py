@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flatweave.functions.names import column
+from flatweave.functions.names import column, quoted
 from flatweave.functions.text import plain_text
 from flatweave.operators.shapes import column_shapes
 
@@ -16,9 +16,8 @@ SAMPLE_ROWS = 2
 SAMPLE_WIDTH = 60
 
 
-def cut(text: Column, width: int) -> Column:
-    tail = F.when(F.length(text) > width, "...").otherwise("")
-    return F.concat(F.substring(text, 1, width), tail)
+def cut(text: str, width: int) -> str:
+    return f"concat(substring({text}, 1, {width}), if(length({text}) > {width}, '...', ''))"
 
 
 def first_rows(df: DataFrame, k: int, order_by: list[str] | None) -> DataFrame:
@@ -43,13 +42,13 @@ def sample_values(df: DataFrame, k: int = SAMPLE_ROWS, width: int = SAMPLE_WIDTH
     """One row per readable column with its first ``k`` values as cut text."""
     readable = [s.name for s in column_shapes(df.schema) if s.readable]
     types = {f.name: f.dataType for f in df.schema.fields}
-    texts = [cut(plain_text(column(n), types[n]), width) for n in readable]
+    texts = [cut(plain_text(quoted(n), types[n]), width) for n in readable]
     order = [column(o) for o in order_by] if order_by else [F.monotonically_increasing_id()]
     rank = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)])
     names = F.from_json(F.lit(json.dumps(readable)), "array<string>")
     # At most k rows from here on.
     cells = (first_rows(df, k, order_by)
-             .select(rank.alias("rank"), F.array(*texts).alias("texts"))
+             .select(rank.alias("rank"), F.expr(f"array({', '.join(texts)})").alias("texts"))
              .select("rank", F.posexplode("texts").alias("pos", "text")))
     ranked = F.sort_array(F.collect_list(F.struct("rank", F.coalesce("text", F.lit("null")).alias("text"))))
     return (cells.groupBy("pos").agg(ranked.alias("ranked"))

@@ -6,10 +6,10 @@ import re
 import warnings
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from flatweave.functions.names import literal
 from flatweave.functions.text import is_float, is_integer
 
 # The default fill, and the word that stands for itself in any case.
@@ -99,7 +99,7 @@ def is_exact_long(fill: float) -> bool:
     return fill.is_integer() and -2.0 ** 63 <= fill < 2.0 ** 63
 
 
-def fill_literal(fill: float | str, slot: T.DataType) -> Column:
-    if isinstance(slot, T.LongType):
-        return F.lit(int(fill)).cast(slot)
-    return F.lit(fill).cast(slot)
+def fill_literal(fill: float | str, slot: T.DataType) -> str:
+    """The fill as an SQL literal of the slots' type."""
+    text = str(int(fill)) if isinstance(slot, T.LongType) else str(fill)
+    return f"cast({literal(text)} as {slot.simpleString()})"
