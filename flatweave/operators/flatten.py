@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from flatweave.functions.lists import list_length, padded, within
 from flatweave.functions.names import quoted
-from flatweave.functions.text import cell_text, flat_value, joined_cells, plain_text
+from flatweave.functions.text import cell_text, flat_value, is_float, joined_cells, plain_text
 from flatweave.plans.layout import FlatColumn, FlatLayout
 from flatweave.plans.policy import fill_literal, slot_type
 
@@ -20,14 +20,26 @@ def single_value(c: FlatColumn) -> str:
     return flat_value(source, c.data_type)
 
 
+def widened(c: FlatColumn) -> tuple[str, T.DataType]:
+    """The list of a jagged column, single-precision numbers taken to double."""
+    if isinstance(c.element_type, T.FloatType):
+        return f"cast({quoted(c.name)} as array<double>)", T.DoubleType()
+    return quoted(c.name), c.element_type
+
+
 def padded_array(c: FlatColumn, fill: float | str) -> str:
     """All slots of a jagged column as one array of fixed width and one type."""
-    source, t = quoted(c.name), slot_type(c.element_type, fill)
-    items = f"cast({source} as array<{t.simpleString()}>)"
-    if isinstance(c.element_type, T.StructType):
-        items = f"transform({source}, x -> {plain_text('x', c.element_type)})"
+    t = slot_type(c.element_type, fill)
+    items, element = widened(c)
+    if isinstance(element, T.StructType):
+        items = f"transform({items}, x -> {plain_text('x', element)})"
+    elif isinstance(t, T.StringType) and is_float(element):
+        # Next to text, NaN is a missing cell.
+        items = f"transform({items}, x -> nullif({plain_text('x', element)}, 'NaN'))"
+    elif element != t:
+        items = f"cast({items} as array<{t.simpleString()}>)"
     cells = padded(items, c.width, fill_literal(fill, t))
-    return within(source, c.longest, c.name, cells) if c.width == c.longest else cells
+    return within(quoted(c.name), c.longest, c.name, cells) if c.width == c.longest else cells
 
 
 def flat_arrays(df: DataFrame, layout: FlatLayout) -> DataFrame:
@@ -59,9 +71,9 @@ def padded_text(c: FlatColumn, fill: float | str) -> str:
     one string repeat, so a sparse wide column costs its elements, not its width.
     """
     source, t = quoted(c.name), slot_type(c.element_type, fill)
-    items, element = source, c.element_type
-    if not isinstance(t, T.StringType):
-        items, element = f"cast({source} as array<{t.simpleString()}>)", t
+    items, element = widened(c)
+    if not isinstance(t, T.StringType) and element != t:
+        items, element = f"cast({items} as array<{t.simpleString()}>)", t
     if c.width < c.longest:
         items = f"slice({items}, 1, {c.width})"
     pad = cell_text(fill_literal(fill, t), t)

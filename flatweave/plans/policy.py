@@ -100,6 +100,8 @@ def is_exact_long(fill: float) -> bool:
 
 
 def fill_literal(fill: float | str, slot: T.DataType) -> str:
-    """The fill as an SQL literal of the slots' type."""
+    """The fill as an SQL literal of the slots' type; among text, NaN is a missing cell."""
+    if isinstance(slot, T.StringType) and fill != fill:
+        return "cast(null as string)"
     text = str(int(fill)) if isinstance(slot, T.LongType) else str(fill)
     return f"cast({literal(text)} as {slot.simpleString()})"

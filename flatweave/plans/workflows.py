@@ -63,7 +63,7 @@ def scan(df: DataFrame, out_dir: str, name: str, *, tags: Tags = None, note: str
             "n_events": count_rows(df, columns), "note": note, "generated": datetime.now(),
             "census_seconds": seconds, "canonical_parquet": copy, "tags": stamped}
     write_meta(df.sparkSession, meta, path)
-    return read_manifest(df.sparkSession, out_dir)
+    return read_manifest(df.sparkSession, out_dir, name)
 
 
 def scan_path(spark: SparkSession, path: str, out_dir: str, name: str | None = None, *,

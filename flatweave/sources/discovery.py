@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from functools import reduce
 
@@ -74,12 +75,17 @@ def choose_table(tables: Mapping[str, DataFrame], name: str | None = None) -> tu
 
 
 def tables_in(spark: SparkSession, path: str, format: str = "parquet") -> dict[str, DataFrame]:
-    """The tables of a directory, one per file or folder named ``<table>.<format>``."""
+    """The tables of a directory, one per file or folder named ``<table>.<format>``.
+
+    Part files are not tables of their own: their directory is the table.
+    """
     path = path.rstrip("/")
-    files = listed(spark, f"{path}/*.{format}")
+    files = None if path.endswith(f".{format}") else listed(spark, f"{path}/*.{format}")
     if files is None:
         return {}
-    table = F.regexp_extract(F.col("path"), rf"/([^/]+?)\.{format}(?:/|$)", 1)
+    folder = re.escape(path.rsplit("/", 1)[-1])
+    table = F.regexp_extract("path", rf"/{folder}/([^/]+?)\.{format}(?:/|$)", 1)
+    found = files.select(table.alias("name")).where("name <> '' and name not like 'part-%'")
     # One row per table.
-    names = sorted(r["name"] for r in files.select(table.alias("name")).distinct().collect())
+    names = sorted(r["name"] for r in found.distinct().collect())
     return {n: spark.read.format(format).load(f"{path}/{n}.{format}") for n in names}

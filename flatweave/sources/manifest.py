@@ -14,7 +14,7 @@ VERSION = "0.1.0"
 META_SCHEMA = (
     "name string, source string, table string, all_tables array<string>, n_events bigint, "
     "note string, generated timestamp, census_seconds double, canonical_parquet string, "
-    "tool_version string, tags map<string,int>")
+    "tool_version string, tags array<struct<name:string,value:int>>")
 
 
 @dataclass(frozen=True)
@@ -54,13 +54,15 @@ def read_census(spark: SparkSession, path: str) -> list[Row]:
 
 
 def write_meta(spark: SparkSession, meta: dict, path: str) -> None:
-    (spark.createDataFrame([meta | {"tool_version": VERSION}], META_SCHEMA)
+    """Store the facts of a scan; tags are a list, as their order is that of the columns."""
+    stored = meta | {"tool_version": VERSION, "tags": list(meta["tags"].items())}
+    (spark.createDataFrame([stored], META_SCHEMA)
      .coalesce(1).write.mode("overwrite").json(f"{path}/meta"))
 
 
-def read_manifest(spark: SparkSession, scan_dir: str) -> Manifest:
-    """The one manifest of a scan directory."""
-    pattern = manifest_path(scan_dir, "*")
+def read_manifest(spark: SparkSession, scan_dir: str, name: str = "*") -> Manifest:
+    """The manifest of that name, or the one manifest of a scan directory."""
+    pattern = manifest_path(scan_dir, name)
     try:
         metas = (spark.read.schema(META_SCHEMA).json(f"{pattern}/meta")
                  .select("*", "_metadata.file_path").collect())
@@ -72,4 +74,5 @@ def read_manifest(spark: SparkSession, scan_dir: str) -> Manifest:
         raise ValueError(f"expected exactly one manifest in {scan_dir}, found {len(metas)}: "
                          f"{sorted(m['name'] for m in metas)}")
     path = manifest_path(scan_dir, metas[0]["name"])
-    return Manifest(metas[0], metas[0]["tags"] or {}, read_census(spark, path), path)
+    tags = {t["name"]: t["value"] for t in metas[0]["tags"] or []}
+    return Manifest(metas[0], tags, read_census(spark, path), path)
