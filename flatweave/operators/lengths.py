@@ -14,9 +14,10 @@ from flatweave.operators.shapes import ColumnShape, column_shapes
 
 HISTOGRAM_SCHEMA = "name string, axis int, len bigint, n bigint"
 
-#: List columns measured by one scan. Wider tables are measured by several
-#: scans, each reading only its own columns.
-COLUMNS_PER_SCAN = 400
+#: Lengths measured by one scan. Wider tables are measured by several scans,
+#: each reading only its own columns: the generated code of one scan then stays
+#: small enough to be compiled, which more than pays for the extra scans.
+LENGTHS_PER_SCAN = 48
 
 
 def list_columns(shapes: list[ColumnShape]) -> list[ColumnShape]:
@@ -32,7 +33,7 @@ def list_lengths(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
 
 
 def length_histogram(df: DataFrame, deep: bool = True,
-                     columns_per_scan: int = COLUMNS_PER_SCAN) -> DataFrame:
+                     lengths_per_scan: int = LENGTHS_PER_SCAN) -> DataFrame:
     """Rows per (column, axis, length).
 
     Axis 1 is the list itself; on deeper axes a row counts once, under its
@@ -41,8 +42,9 @@ def length_histogram(df: DataFrame, deep: bool = True,
     keyed by two integers and counted on the map side.
     """
     fields = {f.name: f for f in df.schema.fields}
-    entries = [(s.name, axis) for s in list_columns(column_shapes(df.schema))
-               for axis in range(1, s.ndim if deep else 2)]
+    # Deep columns last: their inner loops are interpreted and kept apart from the rest.
+    listed = sorted(list_columns(column_shapes(df.schema)), key=lambda s: s.ndim > 2)
+    entries = [(s.name, axis) for s in listed for axis in range(1, s.ndim if deep else 2)]
     if not entries:
         return df.sparkSession.createDataFrame([], HISTOGRAM_SCHEMA)
 
@@ -52,15 +54,19 @@ def length_histogram(df: DataFrame, deep: bool = True,
         labels = F.from_json(
             F.lit(json.dumps([{"name": name, "axis": axis} for name, axis in batch])),
             "array<struct<name:string,axis:int>>")
-        counted = (df.selectExpr(f"posexplode(array({', '.join(lengths)})) as (pos, len)")
+        names = [f"len{i}" for i in range(len(batch))]
+        # Measured first and exploded after, so that exploding and counting compile
+        # together even where measuring is interpreted.
+        measured = df.selectExpr(*[f"{x} as {name}" for x, name in zip(lengths, names)])
+        counted = (measured.selectExpr(f"posexplode(array({', '.join(names)})) as (pos, len)")
                      .groupBy("pos", "len").agg(F.count(F.lit(1)).alias("n")))
         label = F.get(labels, F.col("pos"))
         # Never NULL, so no null check on names is pushed below the counting.
         return counted.select(F.coalesce(label["name"], F.lit("")).alias("name"), label["axis"].alias("axis"),
                               F.col("len").cast("bigint").alias("len"), "n")
 
-    batches = [entries[i:i + columns_per_scan]
-               for i in range(0, len(entries), columns_per_scan)]
+    batches = [entries[i:i + lengths_per_scan]
+               for i in range(0, len(entries), lengths_per_scan)]
     return reduce(DataFrame.unionAll, map(measure, batches))
 
 

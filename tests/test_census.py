@@ -143,7 +143,7 @@ def test_percentiles_interpolate(spark):
 
 def test_columns_are_measured_in_batches(odd):
     whole = sorted(map(tuple, length_histogram(odd).collect()))
-    split = sorted(map(tuple, length_histogram(odd, columns_per_scan=2).collect()))
+    split = sorted(map(tuple, length_histogram(odd, lengths_per_scan=2).collect()))
     assert whole == split and len(whole) > 10
 
 
