@@ -17,7 +17,7 @@ HISTOGRAM_SCHEMA = "name string, axis int, len bigint, n bigint"
 #: Lengths measured by one scan. Wider tables are measured by several scans,
 #: each reading only its own columns: the generated code of one scan then stays
 #: small enough to be compiled, which more than pays for the extra scans.
-LENGTHS_PER_SCAN = 48
+LENGTHS_PER_SCAN = 32
 
 
 def list_columns(shapes: list[ColumnShape]) -> list[ColumnShape]:

@@ -7,13 +7,10 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Names are told apart by case and times are rendered in UTC. A wide projection
-# whose generated method is too long for the JIT runs faster in smaller pieces:
-# 8000 bytes is where the JVM stops compiling.
+# Names are told apart by case, and times are rendered in UTC.
 SETTINGS = {
     "spark.sql.caseSensitive": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 SHARED_FOLDER = "spark.checkpoint.dir"

@@ -13,8 +13,9 @@ from flatweave.functions.text import writable
 from flatweave.operators.flatten import flatten, header_line
 from flatweave.plans.layout import FlatLayout
 
-#: Above this many flat columns, rows are written as rendered lines.
-WIDE_THRESHOLD = 2000
+#: Above this many flat columns, rows are written as rendered lines: the cost of
+#: planning and compiling one expression per cell soon exceeds that of the data.
+WIDE_THRESHOLD = 200
 
 # Quotes are doubled, empty strings are blank, spaces are kept.
 CSV_OPTIONS = {
