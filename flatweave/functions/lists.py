@@ -45,14 +45,13 @@ def length_source(field: T.StructField) -> str:
     return source
 
 
-def padded(items: str, width: int, fill: str) -> str:
-    """The first ``width`` items, topped up with ``fill`` by length.
+def padded(items: str, length: str, width: int, fill: str) -> str:
+    """``items``, a list of at most ``width``, topped up with ``fill`` past ``length``.
 
     NULL elements stay NULL: only slots past the end of the list are filled.
     """
-    missing = f"{width} - least({list_length(items)}, {width})"
-    return (f"concat(slice(coalesce({items}, array()), 1, {width}), "
-            f"array_repeat({fill}, {missing}))")
+    missing = f"{width} - least({length}, {width})"
+    return f"concat(coalesce({items}, array()), array_repeat({fill}, {missing}))"
 
 
 def within(items: str, width: int, name: str, value: str) -> str:

@@ -20,17 +20,25 @@ def single_value(c: FlatColumn) -> str:
     return flat_value(source, c.data_type)
 
 
-def widened(c: FlatColumn) -> tuple[str, T.DataType]:
-    """The list of a jagged column, single-precision numbers taken to double."""
+def kept_items(c: FlatColumn) -> tuple[str, T.DataType]:
+    """The items of a jagged column that get a slot, single precision taken to double."""
+    items = quoted(c.name)
+    if c.width < c.longest:
+        items = f"slice({items}, 1, {c.width})"
     if isinstance(c.element_type, T.FloatType):
-        return f"cast({quoted(c.name)} as array<double>)", T.DoubleType()
-    return quoted(c.name), c.element_type
+        return f"cast({items} as array<double>)", T.DoubleType()
+    return items, c.element_type
+
+
+def checked(c: FlatColumn, value: str) -> str:
+    """Where every item is to get a slot, fail if there are more than slots."""
+    return within(quoted(c.name), c.longest, c.name, value) if c.width == c.longest else value
 
 
 def padded_array(c: FlatColumn, fill: float | str) -> str:
     """All slots of a jagged column as one array of fixed width and one type."""
     t = slot_type(c.element_type, fill)
-    items, element = widened(c)
+    items, element = kept_items(c)
     if isinstance(element, T.StructType):
         items = f"transform({items}, x -> {plain_text('x', element)})"
     elif isinstance(t, T.StringType) and is_float(element):
@@ -38,8 +46,7 @@ def padded_array(c: FlatColumn, fill: float | str) -> str:
         items = f"transform({items}, x -> nullif({plain_text('x', element)}, 'NaN'))"
     elif element != t:
         items = f"cast({items} as array<{t.simpleString()}>)"
-    cells = padded(items, c.width, fill_literal(fill, t))
-    return within(quoted(c.name), c.longest, c.name, cells) if c.width == c.longest else cells
+    return checked(c, padded(items, list_length(quoted(c.name)), c.width, fill_literal(fill, t)))
 
 
 def flat_arrays(df: DataFrame, layout: FlatLayout) -> DataFrame:
@@ -70,18 +77,15 @@ def padded_text(c: FlatColumn, fill: float | str) -> str:
     Only elements that exist are rendered. The run of fill cells after them is
     one string repeat, so a sparse wide column costs its elements, not its width.
     """
-    source, t = quoted(c.name), slot_type(c.element_type, fill)
-    items, element = widened(c)
+    t = slot_type(c.element_type, fill)
+    items, element = kept_items(c)
     if not isinstance(t, T.StringType) and element != t:
         items, element = f"cast({items} as array<{t.simpleString()}>)", t
-    if c.width < c.longest:
-        items = f"slice({items}, 1, {c.width})"
     pad = cell_text(fill_literal(fill, t), t)
-    length = list_length(source)
+    length = list_length(quoted(c.name))
     filled = f"greatest(least({length}, {c.width}), 1)"
-    text = (f"concat(if({length} > 0, {joined_cells(items, element)}, {pad}), "
-            f"repeat(concat(',', {pad}), {c.width} - {filled}))")
-    return within(source, c.longest, c.name, text) if c.width == c.longest else text
+    return checked(c, f"concat(if({length} > 0, {joined_cells(items, element)}, {pad}), "
+                      f"repeat(concat(',', {pad}), {c.width} - {filled}))")
 
 
 def flat_lines(df: DataFrame, layout: FlatLayout) -> DataFrame:

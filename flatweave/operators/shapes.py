@@ -60,21 +60,26 @@ def column_shapes(schema: T.StructType) -> list[ColumnShape]:
     return [column_shape(f) for f in schema.fields]
 
 
-def shape_rows(shapes: list[ColumnShape]) -> Column:
-    """The shapes as one constant array of structs, folded by the optimizer."""
-    return F.from_json(F.lit(json.dumps([asdict(s) for s in shapes])), SHAPE_SCHEMA)
+def constant(rows: list, schema: str) -> Column:
+    """Rows known to the driver as one literal array, folded by the optimizer."""
+    return F.from_json(F.lit(json.dumps(rows)), schema)
+
+
+def constant_frame(spark: SparkSession, rows: list, schema: str) -> DataFrame:
+    """A frame of rows known to the driver; one task, however large the cluster."""
+    return spark.range(0, 1, 1, 1).select(F.inline(constant(rows, schema)))
 
 
 def shapes_frame(spark: SparkSession, shapes: list[ColumnShape]) -> DataFrame:
-    """One row per column; a constant, however many executors there are."""
-    return spark.range(0, 1, 1, 1).select(F.inline(shape_rows(shapes)))
+    """One row per column."""
+    return constant_frame(spark, [asdict(s) for s in shapes], SHAPE_SCHEMA)
 
 
 def described(df: DataFrame) -> DataFrame:
     """Shape facts of every column next to the table's row count."""
     shapes = column_shapes(df.schema)
     return (df.agg(F.count(F.lit(1)).alias("n_events"))
-              .select("n_events", F.inline(shape_rows(shapes))))
+              .select("n_events", F.inline(constant([asdict(s) for s in shapes], SHAPE_SCHEMA))))
 
 
 def unreadable_columns(df: DataFrame) -> DataFrame:
