@@ -34,16 +34,17 @@ def row_print(df: DataFrame, salt: str) -> Column:
     return F.expr(f"xxhash64('{salt}', {cells})")
 
 
-def fingerprint(df: DataFrame) -> DataFrame:
+def fingerprint(df: DataFrame, *more: Column) -> DataFrame:
     """A row-order-free print of a table: its count and sums of two row hashes.
 
     Equal tables have equal prints; different ones agree with a chance of about
-    2^-128. Each task reduces its rows to one, so nothing wide is shuffled.
+    2^-128. Each task reduces its rows to one, so nothing wide is shuffled. Further
+    aggregates are taken along in the same pass.
     """
     total = lambda salt: F.coalesce(F.sum(row_print(df, salt).cast("decimal(38,0)")), F.lit(0))
     return df.agg(F.count(F.lit(1)).alias("n_rows"),
                   total("a").cast("string").alias("print_a"),
-                  total("b").cast("string").alias("print_b"))
+                  total("b").cast("string").alias("print_b"), *more)
 
 
 def same_table(left: DataFrame, right: DataFrame) -> bool:

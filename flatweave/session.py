@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -23,6 +24,11 @@ def configured(builder: SparkSession.Builder) -> SparkSession.Builder:
     return builder
 
 
+@cache
+def local_folder() -> str:
+    return tempfile.mkdtemp(prefix="flatweave-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below the one the cluster shares for intermediate tables.
 
@@ -33,6 +39,5 @@ def shared_folder(spark: SparkSession) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {SHARED_FOLDER} to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="flatweave-")
-        spark.conf.set(SHARED_FOLDER, base)
+        base = local_folder()
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"

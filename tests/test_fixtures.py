@@ -1,6 +1,11 @@
 """The derived nested tables under skew and stray values."""
 
+from types import SimpleNamespace
+
+import pytest
+
 from checks.fixtures import lines_by_order
+from flatweave.session import shared_folder
 
 
 def test_a_hot_order_keeps_one_element_per_line_number(spark):
@@ -26,3 +31,16 @@ def test_the_hot_order_is_combined_before_the_shuffle(spark):
     plan = lines_by_order(lines)._jdf.queryExecution().sparkPlan().toString()
     assert plan.count("HashAggregate") == 2 and "partial_sum" in plan
     assert "SortAggregate" not in plan and "collect" not in plan
+
+
+def test_shared_folder(spark):
+    set_by_cluster = spark.conf.get("spark.checkpoint.dir")
+    first, second = shared_folder(spark), shared_folder(spark)
+    assert first != second and first.startswith(set_by_cluster)
+
+    def session(master):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default),
+                               sparkContext=SimpleNamespace(master=master))
+    assert shared_folder(session("local[2]")).startswith("/")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(session("yarn"))
