@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 import warnings
 from collections.abc import Iterable, Mapping
@@ -12,9 +13,11 @@ from pyspark.sql import types as T
 from flatweave.functions.names import literal
 from flatweave.functions.text import is_float, is_integer
 
-# The default fill, and the word that stands for itself in any case.
+# The default fill, and the fills named by a word in any case.
 DEFAULT_FILL = -999.0
-WORD_FILL = "x"
+FILL_WORDS = {"x": "x", "nan": math.nan}
+
+NUMBER = re.compile(r"[+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?|[+-]?inf(inity)?", re.IGNORECASE)
 
 # Fixed value: the form of a truncating policy.
 FIRST_N = re.compile(r"first:\s*([+-]?\d+)\s*")
@@ -36,16 +39,13 @@ def slots_for(policy: str | None, longest: int, name: str) -> int:
 
 
 def resolve_fill(fill: float | str | None = None) -> float | str:
-    """A number if ``fill`` reads as one, ``nan`` included; otherwise a string."""
+    """The fill as a float if it is or spells a number, NaN included; otherwise as text."""
     if fill is None:
         return DEFAULT_FILL
-    text = str(fill).strip()
-    if text.lower() == WORD_FILL:
-        return WORD_FILL
-    try:
-        return float(text)
-    except ValueError:
-        return text
+    if isinstance(fill, (int, float)):
+        return float(fill)
+    word = fill.strip()
+    return float(word) if NUMBER.fullmatch(word) else FILL_WORDS.get(word.lower(), word)
 
 
 def resolve_tags(tags: Mapping[str, int] | Iterable[str] | None) -> dict[str, int]:

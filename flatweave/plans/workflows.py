@@ -16,7 +16,7 @@ from flatweave.plans.layout import FlatLayout, flat_layout
 from flatweave.plans.policy import resolve_tags
 from flatweave.plans.report import build_report
 from flatweave.sources.canonical import read_canonical, write_canonical
-from flatweave.sources.discovery import choose_table, tables_in
+from flatweave.sources.discovery import choose_table, largest_input, tables_in
 from flatweave.sources.flat_csv import WIDE_THRESHOLD, write_flat
 from flatweave.sources.manifest import (Manifest, canonical_path, manifest_path, read_census,
                                         read_manifest, write_census, write_meta)
@@ -66,13 +66,25 @@ def scan(df: DataFrame, out_dir: str, name: str, *, tags: Tags = None, note: str
     return read_manifest(df.sparkSession, out_dir, name)
 
 
+def table_name(path: str, format: str) -> str:
+    return path.rstrip("/").rsplit("/", 1)[-1].removesuffix(f".{format}")
+
+
 def scan_path(spark: SparkSession, path: str, out_dir: str, name: str | None = None, *,
-              table: str | None = None, format: str = "parquet", **options) -> Manifest:
-    """Scan one table of a directory: the named one, or the one with most rows."""
-    tables = tables_in(spark, path, format)
+              table: str | None = None, format: str = "parquet", by: str = "rows",
+              **options) -> Manifest:
+    """Scan one table of a directory, or the table at ``path`` itself.
+
+    In a directory that is the named table, or else the one with most rows;
+    ``by="bytes"`` takes the largest file there or one level below instead.
+    """
+    if by not in ("rows", "bytes"):
+        raise ValueError(f"by must be rows or bytes, got: {by}")
+    if by == "bytes" and table is None:
+        path = largest_input(spark, path, f".{format}").first()["path"]
+    tables = tables_in(spark, path, format) if by == "rows" or table else {}
     if not tables:
-        tables = {path.rstrip("/").rsplit("/", 1)[-1].removesuffix(f".{format}"):
-                  spark.read.format(format).load(path)}
+        tables = {table_name(path, format): spark.read.format(format).load(path)}
     chosen, df = choose_table(tables, table)
     return scan(df, out_dir, name or chosen, source=path, table=chosen,
                 all_tables=sorted(tables), **options)

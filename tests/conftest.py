@@ -37,7 +37,7 @@ def reco(spark):
 
 @pytest.fixture(scope="session")
 def odd(spark):
-    """Every awkward cell: NULL lists and elements, NaN, quotes, breaks, structs, odd names."""
+    """Every unusual cell: NULL lists and elements, NaN, quotes, breaks, structs, odd names."""
     rows = [
         (1, 2.5, [1.0], [1, 2, 3], ["a,b", None, 'q"', " pad "], [], [[1, 2], [3]], ("x,y", 1), {"k": "v"},
          [float("nan"), 2.0], [(1, "p"), (2, None)], True, [True, False]),

@@ -19,7 +19,9 @@ def test_fill_values():
     assert resolve_fill("x") == resolve_fill(" X ") == "x"
     assert math.isnan(resolve_fill("NaN"))
     assert resolve_fill("-1") == -1.0 and resolve_fill(3) == 3.0
-    assert resolve_fill("none") == "none"
+    assert resolve_fill("none") == "none" and resolve_fill("1-2") == "1-2"
+    assert resolve_fill("+1.5E3") == 1500.0 and resolve_fill(".5") == 0.5 and resolve_fill("7.") == 7.0
+    assert resolve_fill("-inf") == -math.inf and math.isnan(resolve_fill(math.nan))
 
 
 def test_tags():

@@ -201,24 +201,24 @@ def test_fingerprint_tells_tables_apart(spark):
 def test_largest_input(spark, folder):
     import os
     os.makedirs(f"{folder}/sub/deeper")
-    for name, size in (("a.root", 2000), ("sub/b.root", 5000), ("sub/deeper/c.root", 9000),
-                       ("d.txt", 9000), ("e.root", 10)):
+    for name, size in (("a.dat", 2000), ("sub/b.dat", 5000), ("sub/deeper/c.dat", 9000),
+                       ("d.txt", 9000), ("e.dat", 10)):
         with open(f"{folder}/{name}", "wb") as f:
             f.write(b"x" * size)
-    found = largest_input(spark, folder, ".root").first()
-    assert found.path.endswith("/sub/b.root") and found.length == 5000
-    direct = largest_input(spark, f"{folder}/e.root", ".root").first()
-    assert direct.path.endswith("/e.root") and direct.length == 10
-    for missing, suffix in ((f"{folder}/absent", ".root"), (folder, ".orc")):
+    found = largest_input(spark, folder, ".dat").first()
+    assert found.path.endswith("/sub/b.dat") and found.length == 5000
+    direct = largest_input(spark, f"{folder}/e.dat", ".dat").first()
+    assert direct.path.endswith("/e.dat") and direct.length == 10
+    for missing, suffix in ((f"{folder}/absent", ".dat"), (folder, ".orc")):
         with pytest.raises(FileNotFoundError):
             largest_input(spark, missing, suffix)
 
 
 def test_only_tiny_inputs(spark, folder):
-    with open(f"{folder}/a.root", "wb") as f:
+    with open(f"{folder}/a.dat", "wb") as f:
         f.write(b"x" * 1000)
     with pytest.raises(FileNotFoundError):
-        largest_input(spark, folder, ".root")
+        largest_input(spark, folder, ".dat")
 
 
 def test_largest_table_and_ties(spark, reco):
@@ -249,3 +249,13 @@ def test_scan_path_chooses_the_table_with_most_rows(spark, reco, folder, format)
     plain = scan_path(spark, f"{folder}/plain", f"{folder}/plain_out", format=format)
     assert (plain.meta.table, plain.meta.n_events) == ("plain", 7)
     assert flat_from_scan(spark, f"{folder}/out").frame().count() == 40
+
+
+def test_scan_path_takes_the_largest_file(spark, folder):
+    spark.range(0, 2000, 1, 1).selectExpr("id as few").write.parquet(f"{folder}/in/a")
+    spark.range(0, 9000, 1, 1).selectExpr("id as many").write.parquet(f"{folder}/in/b")
+    stored = scan_path(spark, f"{folder}/in", f"{folder}/out", "largest", by="bytes", samples=0)
+    assert [r.name for r in stored.columns] == ["many"] and stored.meta.n_events == 9000
+    assert "/in/b/part-" in stored.meta.source
+    with pytest.raises(ValueError, match="rows or bytes"):
+        scan_path(spark, f"{folder}/in", f"{folder}/out", by="age")
