@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -15,6 +13,7 @@ SETTINGS = {
 }
 
 SHARED_FOLDER = "spark.checkpoint.dir"
+WAREHOUSE = "spark.sql.warehouse.dir"
 
 
 def configured(builder: SparkSession.Builder) -> SparkSession.Builder:
@@ -24,20 +23,10 @@ def configured(builder: SparkSession.Builder) -> SparkSession.Builder:
     return builder
 
 
-@cache
-def local_folder() -> str:
-    return tempfile.mkdtemp(prefix="flatweave-")
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder below the one the cluster shares for intermediate tables.
+    """A new folder for intermediate tables, below one that the whole cluster shares.
 
-    A local session without that setting gets a temporary one; on a cluster a
-    folder of one machine would be of no use, so there the setting is required.
+    That is the folder of spark.checkpoint.dir or, where it is unset, the warehouse.
     """
-    base = spark.conf.get(SHARED_FOLDER, None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {SHARED_FOLDER} to a folder all executors can reach")
-        base = local_folder()
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+    base = spark.conf.get(SHARED_FOLDER, None) or spark.conf.get(WAREHOUSE)
+    return f"{base.rstrip('/')}/flatweave/{uuid.uuid4().hex}"
