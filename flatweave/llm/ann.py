@@ -15,7 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flatweave.llm.common import stored
@@ -77,14 +77,28 @@ def matrix(lists: pa.Array) -> np.ndarray:
     return values.reshape(len(lists), -1)
 
 
-def usable(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
-    """id, v (doubles), dim of the vectors that have a cosine: no nulls, all finite, not zero."""
-    rows = vectors.select(F.col(vec_id).cast("long").alias("id"),
-                          F.col(embedding).cast("array<double>").alias("v"))
-    return rows.where(
-        "id is not null and v is not null and size(v) > 0 "
-        "and forall(v, x -> x is not null and not isnan(x) and abs(x) < double('infinity')) "
-        "and exists(v, x -> x <> 0)").withColumn("dim", F.size("v"))
+#: What makes a vector v comparable: no nulls, all finite, not zero.
+COMPARABLE = ("id is not null and v is not null and size(v) > 0 "
+              "and forall(v, x -> x is not null and not isnan(x) and abs(x) < double('infinity')) "
+              "and exists(v, x -> x <> 0)")
+
+
+def as_doubles(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding",
+               keep: tuple[str, ...] = ()) -> DataFrame:
+    return vectors.select(F.col(vec_id).cast("long").alias("id"),
+                          F.col(embedding).cast("array<double>").alias("v"), *keep)
+
+
+def usable(vectors: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """id, v (doubles), dim of the vectors that have a cosine, and the columns to keep."""
+    return as_doubles(vectors, keep=keep).where(COMPARABLE).withColumn("dim", F.size("v"))
+
+
+def unusable(vectors: DataFrame, otherwise: Column) -> DataFrame:
+    """The other rows of the table: without a cosine, or for which a condition does not hold."""
+    rows = vectors.withColumn("id", F.col("vec_id").cast("long")).withColumn(
+        "v", F.col("embedding").cast("array<double>"))
+    return rows.where(~(F.coalesce(F.expr(COMPARABLE), F.lit(False)) & otherwise)).drop("id", "v")
 
 
 def addresses(rows: DataFrame, probes: int, rotations: Rotations) -> DataFrame:

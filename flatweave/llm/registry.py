@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flatweave.llm import ann, chat, language
+from flatweave.llm import (ann, chat, language, mixing, neardup, packing, sharding)
 from flatweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,8 +24,25 @@ def op3_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rendered(table(spark, sf_dir, "conversations"))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf_dir, "documents"))
+
+
+def op7_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(table(spark, sf_dir, "documents"))
+
+
+def op8_pca_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_language_id, op2_cross_polytope, op3_chat_snapshots)}
+    return {f.__name__: f for f in (op1_language_id, op2_cross_polytope, op3_chat_snapshots,
+                                    op5_mixing, op7_kd_shards, op8_pca_tiles, op9_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
