@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flatweave.llm import (ann, chat, language, mixing, neardup, packing, sharding)
+from flatweave.llm import (ann, chat, kneser, language, mixing, neardup, packing, sharding)
 from flatweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,10 @@ def op3_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rendered(table(spark, sf_dir, "conversations"))
 
 
+def op4_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser.perplexities(table(spark, sf_dir, "documents"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
@@ -42,7 +46,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_language_id, op2_cross_polytope, op3_chat_snapshots,
-                                    op5_mixing, op7_kd_shards, op8_pca_tiles, op9_packing)}
+                                    op4_kneser_ney, op5_mixing, op7_kd_shards, op8_pca_tiles, op9_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
