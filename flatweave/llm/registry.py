@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flatweave.llm import (ann, chat, kneser, language, mixing, neardup, packing, sharding)
+from flatweave.llm import (ann, chat, jaccard, kneser, language, mixing, neardup, packing, sharding)
 from flatweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,9 +44,14 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
 
+def op10_signature_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_language_id, op2_cross_polytope, op3_chat_snapshots,
-                                    op4_kneser_ney, op5_mixing, op7_kd_shards, op8_pca_tiles, op9_packing)}
+                                    op4_kneser_ney, op5_mixing, op7_kd_shards, op8_pca_tiles, op9_packing,
+                                    op10_signature_trees)}
 
 
 def oracle_sql() -> dict[str, str]:
