@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flatweave.llm.common import components, stored
@@ -230,6 +230,10 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
 
 def tree_links(sets: list[np.ndarray], labels: list[int]) -> Iterator[tuple[int, int]]:
     """Links (i, j) that connect whatever the threshold connects; equal labels are connected."""
+    if len(sets) == 2:  # a tree of one leaf
+        if labels[0] != labels[1] and similar(*sets):
+            yield 0, 1
+        return
     order = sorted(range(len(sets)), key=lambda k: len(sets[k]))
     sets, first = [sets[k] for k in order], {}
     parent = list(range(len(sets)))
@@ -309,6 +313,23 @@ def bucket_links(rows: DataFrame, exact: bool) -> DataFrame:
     return rows.mapInArrow(compare, "a long, b long")
 
 
+def without_repeats(rows: DataFrame) -> DataFrame:
+    """Drop buckets of (bucket, id, label) whose rows all meet in another bucket as well.
+
+    If the bucket before it, in the order of each of its documents, is one and the same, then a
+    bucket's documents are among that one's; and of buckets of the same documents one is enough.
+    """
+    before = F.lag("bucket").over(Window.partitionBy("id").orderBy("bucket"))
+    rows = stored(rows.withColumn("before", before))
+    buckets = (rows.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("n"), F.count("before").alias("n_before"),
+        F.min("before").alias("low"), F.max("before").alias("high"),
+        F.bit_xor(F.xxhash64("id")).alias("set0"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("set1"))
+        .where("n > 1 and not (n = n_before and low = high)")
+        .groupBy("n", "set0", "set1").agg(F.min("bucket").alias("bucket")).select("bucket"))
+    return rows.join(buckets, "bucket", "left_semi").select("bucket", "id", "label")
+
+
 # The join
 
 def _least_tokens(orders: int):
@@ -424,8 +445,9 @@ def linked_components(docs: DataFrame, words: int = WORDS) -> tuple[DataFrame, D
               .join(rest, "id"))
     shared = (prefix.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"))
               .where("low <> high").select("token"))
-    meeting = stored(prefix.join(shared, "token", "left_semi")
-                     .select(F.col("token").alias("bucket"), "id", "label"))
+    meeting = without_repeats(prefix.join(shared, "token", "left_semi")
+                              .select(F.col("token").alias("bucket"), "id", "label"))
+    meeting = stored(meeting)
     last = bucket_links(meeting.join(reps.select("id", "tokens"), "id"), exact=True)
     every = links.unionByName(stored(last)).unionByName(equal)
     return sizes.select("doc_id", "n_shingles"), components(every)
