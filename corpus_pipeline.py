@@ -1,15 +1,108 @@
-"""The corpus pipeline: documents through stages of dealt operators, each written and read again."""
+"""The corpus pipeline: documents through five stages, each calling one training-data operator.
+
+Every stage takes (spark, docs, sf_dir) and returns a frame that is written as Parquet and read
+again as the next one's docs. All but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from flatweave.llm import jaccard, language, mixing, packing, substrings
+from flatweave.llm.common import stored, table
+
+#: A text whose profile agrees less than this with every language is no language.
+LEAST_SCORE = 0.2
+#: Share of the tokens that the mixture keeps. In one epoch no document is repeated.
+FRACTION = 0.8
+
+
+def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents go that have no letter, or whose profile is near that of no language."""
+    profiles = language.learn_profiles(docs)
+    marked = language.identify(docs, profiles, lang_pred="_lang_pred", score="_score")
+    return marked.where((F.col("_lang_pred") != language.UNKNOWN)
+                        & (F.col("_score") >= LEAST_SCORE)).select(docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies, and of repeated rows, the one with the smallest id stays.
+
+    Rows without an id cannot be compared by it and stay.
+    """
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                       F.col("text").cast("string").alias("text")).where("doc_id is not null")
+    _, found = jaccard.linked_components(rows)
+    gone = found.where("id <> component").select(F.col("id").alias("_gone"))
+    kept = docs.where("doc_id is not null").join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    return kept.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Bytes go that an earlier text holds too; a text of which nothing is left goes whole."""
+    rows = docs.withColumn("_doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(substrings.NO_ID)))
+    runs = (substrings.repeated_runs(rows.select(F.col("_doc").alias("doc"), "text"))
+            .groupBy(F.col("doc").alias("_doc"))
+            .agg(F.collect_set(F.struct("start", "windows")).alias("_runs")))
+
+    @F.pandas_udf("string")
+    def cut(texts: pd.Series, found: pd.Series) -> pd.Series:
+        return pd.Series([_cut(text, some) for text, some in zip(texts, found)], dtype=object)
+
+    joined = rows.join(runs, "_doc", "left")
+    joined = joined.withColumn("_cut", F.when(F.col("_runs").isNull(), F.col("text"))
+                               .otherwise(cut("text", "_runs")))
+    joined = joined.where("_runs is null or length(trim(_cut)) > 0")
+    fresh = {"text": F.col("_cut"), "n_chars": F.when(F.col("_runs").isNull(), F.col("n_chars"))
+             .otherwise(F.length("_cut")).cast("long")}
+    return joined.select(*(fresh.get(c, F.col(c)).alias(c) for c in docs.columns))
+
+
+def _cut(text: str | None, runs) -> str | None:
+    if text is None or runs is None:
+        return text
+    body = np.frombuffer(text.encode("utf-8", "replace"), dtype=np.uint8)
+    gone = substrings.removed_bytes(len(body), np.array([r["start"] for r in runs]),
+                                    np.array([r["windows"] for r in runs]))
+    return body[~gone].tobytes().decode("utf-8", "ignore")
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the mixture takes, once each; repeated rows go or stay together."""
+    taken, _ = mixing.mixture(docs, fraction=FRACTION, epochs=1)
+    taken = (taken.where("epoch_copies > 0")
+             .select(F.col("_id").alias("_taken"), F.col("_tie").alias("_taken_tie")).distinct())
+    return docs.join(taken, F.col("doc_id").eqNullSafe(F.col("_taken"))
+                     & F.xxhash64("text").eqNullSafe(F.col("_taken_tie")), "left_semi")
+
+
+def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in windows of 1024 tokens."""
+    return packing.packed(docs)
+
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+STAGES: list[tuple[str, Stage]] = [
+    ("language ID", keep_languages),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("suffix-array dedup", cut_repeats),
+    ("mixing sources to target weights", mix_sources),
+    ("packing", pack_windows),
+]
 
-STAGES: list = []
+#: SQL cannot express the stages; tests hold them against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """All stages over documents, each written and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

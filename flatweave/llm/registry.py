@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flatweave.llm import (ann, chat, jaccard, kneser, language, mixing, neardup, packing, sharding)
+from flatweave.llm import (ann, chat, jaccard, kneser, language, mixing, neardup, packing, sharding,
+                           substrings)
 from flatweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +33,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.deduplicated(table(spark, sf_dir, "documents"))
+
+
 def op7_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(table(spark, sf_dir, "documents"))
 
@@ -50,7 +55,7 @@ def op10_signature_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_language_id, op2_cross_polytope, op3_chat_snapshots,
-                                    op4_kneser_ney, op5_mixing, op7_kd_shards, op8_pca_tiles, op9_packing,
+                                    op4_kneser_ney, op5_mixing, op6_suffix_groups, op7_kd_shards, op8_pca_tiles, op9_packing,
                                     op10_signature_trees)}
 
 
