@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from flatweave.session import shared_folder
 
 #: Rows that one task orders at a time where rows are numbered within groups.
-ROWS_PER_BUCKET = 50_000
+ROWS_PER_BUCKET = 4096
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
