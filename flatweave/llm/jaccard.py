@@ -36,6 +36,8 @@ COUNTED = int(0.375 * 2 ** 48)
 #: Shingles a task holds before it passes them on; documents of a bucket compared at a time.
 HELD = 1 << 21
 BLOCK = 1024
+#: Bytes of sets that a part of the last step is planned for.
+PART_BYTES = 2 << 20
 #: Bits of a signature, and children of a tree node.
 BITS = 2048
 FANOUT = 16
@@ -265,13 +267,13 @@ def tree_links(sets: list[np.ndarray], labels: list[int]) -> Iterator[tuple[int,
                 yield order[i], order[j]
 
 
-def bucket_links(rows: DataFrame, exact: bool) -> DataFrame:
-    """Links (a, b) among rows (bucket, id, label, tokens) that share a bucket.
+def units(rows: DataFrame, exact: bool) -> DataFrame:
+    """(bucket, left, right, id, label): what is compared together, of rows (bucket, id, label).
 
-    A bucket of more than a block is compared block by block: exact, all pairs of blocks; else
-    each block by itself, which may leave links to later steps.
+    Buckets of one component are left out. A bucket of more than a block is compared block by
+    block: exact, all pairs of blocks; else each block by itself, which may leave links to later
+    steps.
     """
-    rows = rows.select("bucket", "id", "label", "tokens")
     blocks = (rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("low"),
                                          F.max("label").alias("high"))
               .where("n > 1 and low <> high").drop("low", "high"))
@@ -284,8 +286,60 @@ def bucket_links(rows: DataFrame, exact: bool) -> DataFrame:
                 .withColumn("right", F.greatest("_own", "_other")))
     else:
         rows = rows.withColumn("left", F.col("_own")).withColumn("right", F.col("_own"))
+    return rows.select("bucket", "left", "right", "id", "label")
+
+
+def shared_links(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """All links (a, b) among rows (bucket, id, label) that share a bucket; sets are (id, tokens).
+
+    Documents that meet at all tend to meet in many buckets. So buckets are dealt to as many
+    parts as the sets need, and a part gets each set once and knows what it has connected.
+    """
+    held = sets.agg(F.coalesce(F.sum(F.octet_length("tokens")), F.lit(0))).first()[0]
+    parts = max(1, -(-int(held) // PART_BYTES))
+    rows = stored(units(rows, exact=True).withColumn(
+        "part", F.pmod(F.xxhash64("bucket", "left", "right"), F.lit(parts)).cast("int")))
+    bodies = (rows.select("part", F.col("id").alias("_id")).distinct()
+              .join(sets.select("id", "tokens"), F.col("_id") == F.col("id"))
+              .select("part", "id", "tokens"))
+
+    def compare(meeting: pa.Table, given: pa.Table) -> pa.Table:
+        ids = given.column("id").to_pylist()
+        place = {id_: i for i, id_ in enumerate(ids)}
+        tokens = [unpack48(b.as_py()) for b in given.column("tokens")]
+        parent: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while parent.setdefault(x, x) != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        found: list[tuple[int, int]] = []
+        meeting = meeting.sort_by([(c, "ascending") for c in ("bucket", "left", "right", "id")])
+        cells = [meeting.column(c).to_numpy() for c in ("bucket", "left", "right")]
+        new = np.append(True, np.logical_or.reduce([c[1:] != c[:-1] for c in cells]))
+        at = np.append(np.flatnonzero(new), len(new))
+        who, labels = meeting.column("id").to_pylist(), meeting.column("label").to_pylist()
+        for low, high in zip(at[:-1].tolist(), at[1:].tolist()):
+            now = [find(x) for x in labels[low:high]]
+            if len(set(now)) > 1:
+                some = [place[x] for x in who[low:high]]
+                for i, j in tree_links([tokens[k] for k in some], now):
+                    parent[find(now[i])] = find(now[j])
+                    found.append((ids[some[i]], ids[some[j]]))
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()),
+                         "b": pa.array([b for _, b in found], pa.int64())})
+
+    right = bodies.select(*(F.col(c).alias(c) for c in ("part", "id", "tokens")))
+    return rows.groupBy("part").cogroup(right.groupBy("part")).applyInArrow(compare, "a long, b long")
+
+
+def bucket_links(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) among rows (bucket, id, label) that share a bucket's block."""
     keys = ["bucket", "left", "right"]
-    rows = (rows.select(*keys, "id", "label", "tokens").repartition(*keys)
+    rows = (units(rows, exact=False).join(sets.select("id", "tokens"), "id")
+            .select(*keys, "id", "label", "tokens").repartition(*keys)
             .sortWithinPartitions(*keys, "id"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -368,24 +422,25 @@ def _sets(words: int):
     return sets
 
 
-def _exploded(prefix: bool):
-    """(token, id): of every set its counted tokens, or the prefix that a linked set must share."""
+def _exploded(part: str):
+    """(token, id, label): of every set its counted tokens, the prefix that a linked set must share, or all."""
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             tokens, which = [], []
             for row, body in enumerate(batch.column(1)):
                 mine = unpack48(body.as_py())
-                if prefix:
+                if part == "prefix":
                     need = -(-len(mine) * NUMERATOR // DENOMINATOR)
                     mine = mine[:len(mine) - need + 1]
-                else:
+                elif part == "counted":
                     mine = mine[:np.searchsorted(mine, U64(COUNTED))]
                 tokens.append(mine)
                 which.append(np.full(len(mine), row))
             at = np.concatenate(which) if which else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(tokens).astype(np.int64) if tokens else at),
-                 batch.column(0).take(pa.array(at, pa.int64()))], names=["token", "id"])
+                 batch.column(0).take(pa.array(at, pa.int64())),
+                 batch.column(2).take(pa.array(at, pa.int64()))], names=["token", "id", "label"])
     return explode
 
 
@@ -394,6 +449,29 @@ def _labelled(reps: DataFrame, found: DataFrame) -> DataFrame:
             .withColumn("label", F.coalesce("component", "id")).drop("component"))
 
 
+EXPLODED = "token long, id long, label long"
+
+
+def _extent(rows: DataFrame) -> DataFrame:
+    """Add the least and the largest label of each row's token; one exchange, which can spill."""
+    by = Window.partitionBy("token")
+    return rows.withColumn("low", F.min("label").over(by)).withColumn("high", F.max("label").over(by))
+
+
+def _not_closed(sets: DataFrame, labels: DataFrame, every: bool) -> DataFrame:
+    """Of labels (id, n, label) those that can link outside their component, among the sets given.
+
+    A token is closed if all these sets that hold it are of one component; a set with more than
+    (1 - threshold) of its tokens closed is done. Counted tokens, or every one, are looked at.
+    """
+    rows = (sets.join(labels.select("id", "label"), "id").select("id", "tokens", "label")
+            .mapInArrow(_exploded("all" if every else "counted"), EXPLODED))
+    inside = (_extent(rows).where("low = high").groupBy("id").agg(F.count(F.lit(1)).alias("closed")))
+    return stored(labels.join(inside, "id", "left")
+                  .where(f"coalesce(closed, 0) * {DENOMINATOR} <= n * {DENOMINATOR - NUMERATOR}")
+                  .select("id", "n", "label"))
+
+
 def linked_components(docs: DataFrame, words: int = WORDS) -> tuple[DataFrame, DataFrame]:
     """For rows (doc_id, text): (doc_id, n_shingles) of every row, and (id, component) of ids.
 
@@ -416,39 +494,28 @@ def linked_components(docs: DataFrame, words: int = WORDS) -> tuple[DataFrame, D
     fields = ", ".join(f"least{i} long" for i in range(ORDERS + 1))
     keyed = reps.select("id", "tokens").mapInArrow(_least_tokens(ORDERS + 1),
                                                    f"id long, tokens binary, {fields}")
+    keyed = stored(keyed.drop("tokens"))
     links = stored(bucket_links(keyed.select(F.col("least0").alias("bucket"), "id",
-                                             F.col("id").alias("label"), "tokens"), exact=False))
+                                             F.col("id").alias("label")), reps))
     found = stored(components(links))
     for i in range(1, ORDERS + 1):
         some = (_labelled(keyed, found).groupBy("label", f"least{i}")
-                .agg(F.min("id").alias("id"), F.min_by("tokens", "id").alias("tokens"))
-                .select(F.col(f"least{i}").alias("bucket"), "id", "label", "tokens"))
-        links = links.unionByName(stored(bucket_links(some, exact=False)))
+                .agg(F.min("id").alias("id")).select(F.col(f"least{i}").alias("bucket"), "id", "label"))
+        links = links.unionByName(stored(bucket_links(some, reps)))
         found = stored(components(links))
 
     # Step 3. A token is closed if all sets that hold it are of one component.
     labels = stored(_labelled(reps.select("id", (F.octet_length("tokens") / 6).cast("long")
                                           .alias("n")), found))
-    counted = (reps.select("id", "tokens").mapInArrow(_exploded(False), "token long, id long")
-               .join(labels.select("id", "label"), "id"))
-    closed = (counted.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-              .where("low = high").select("token"))
-    inside = (counted.join(closed, "token", "left_semi").groupBy("id")
-              .agg(F.count(F.lit(1)).alias("closed")))
-    rest = stored(labels.join(inside, "id", "left")
-                  .where(f"coalesce(closed, 0) * {DENOMINATOR} <= n * {DENOMINATOR - NUMERATOR}")
-                  .select("id", "label"))
+    rest = labels
+    for every in (False, True, True):
+        rest = _not_closed(reps, rest, every)
 
     # Step 4. Linked sets share a token of their prefixes.
-    prefix = (reps.select("id", "tokens").join(rest.select("id"), "id", "left_semi")
-              .select("id", "tokens").mapInArrow(_exploded(True), "token long, id long")
-              .join(rest, "id"))
-    shared = (prefix.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-              .where("low <> high").select("token"))
-    meeting = without_repeats(prefix.join(shared, "token", "left_semi")
-                              .select(F.col("token").alias("bucket"), "id", "label"))
-    meeting = stored(meeting)
-    last = bucket_links(meeting.join(reps.select("id", "tokens"), "id"), exact=True)
+    some = stored(reps.join(rest.select("id", "label"), "id").select("id", "tokens", "label"))
+    prefix = _extent(some.mapInArrow(_exploded("prefix"), EXPLODED)).where("low <> high")
+    meeting = stored(without_repeats(prefix.select(F.col("token").alias("bucket"), "id", "label")))
+    last = shared_links(meeting, some)
     every = links.unionByName(stored(last)).unionByName(equal)
     return sizes.select("doc_id", "n_shingles"), components(every)
 
