@@ -30,6 +30,9 @@ CHARS_AT_ONCE = 1 << 18
 #: Distinct n-grams of one language a task may hold before it passes them on.
 GRAMS_HELD = 400_000
 
+#: A blank within an n-gram's code; not 0, or " a" would have the code of "a".
+BLANK = 1
+
 _letters: list[np.ndarray] = []
 
 
@@ -64,11 +67,12 @@ def grams_of(text: str, longest: int = LONGEST) -> tuple[np.ndarray, np.ndarray]
     if points[-1] != 0:
         points = np.append(points, np.uint32(0))
     points = points.astype(np.int64)
+    points[points == 0] = BLANK
     found: list[tuple[np.ndarray, np.ndarray]] = []
     for low in range(0, len(points), CHARS_AT_ONCE):
         part = points[low:low + CHARS_AT_ONCE + longest - 1]
         first = min(CHARS_AT_ONCE, len(part))
-        codes = [part[:first][part[:first] != 0]]
+        codes = [part[:first][part[:first] != BLANK]]
         gram = part
         for n in range(2, longest + 1):
             gram = (gram[:-1] << 21) | part[n - 1:]
