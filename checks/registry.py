@@ -13,12 +13,11 @@ from flatweave.operators import summary
 from flatweave.operators.census import census
 from flatweave.operators.lengths import length_histogram, length_stats, list_lengths
 from flatweave.operators.samples import sample_values
-from flatweave.operators.shapes import described, unreadable_columns
 from flatweave.plans.report import fingerprint
 from flatweave.plans.workflows import flat_from_scan, quick_flat, scan
 from flatweave.session import shared_folder
 from flatweave.sources.canonical import read_canonical
-from flatweave.sources.discovery import largest_input, largest_table
+from flatweave.sources.discovery import largest_table
 from flatweave.sources.flat_csv import CSV_OPTIONS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,19 +27,10 @@ WIDE_LIST = "word_len"
 
 # Sources and sinks
 
-def q_largest_input(spark, sf_dir):
-    found = largest_input(spark, sf_dir)
-    return found.select(F.element_at(F.split("path", "/"), -1).alias("file"), "length")
-
-
 def q_largest_table(spark, sf_dir):
     return largest_table(tables(spark, sf_dir))
 
 
-def q_unreadable_columns(spark, sf_dir):
-    return unreadable_columns(orders_nested(spark, sf_dir))
-
-
 def q_canonical_roundtrip(spark, sf_dir):
     out = shared_folder(spark)
     stored = scan(orders_nested(spark, sf_dir), out, "orders", samples=0, tags={"is_order": 1})
@@ -80,12 +70,17 @@ def q_wide_csv_lines(spark, sf_dir):
                     F.col("value").alias("line")))
 
 
-# Profiling
+def q_csv_roundtrip_one_column(spark, sf_dir):
+    """A table of one column with blank cells: a row each, none skipped by the reader."""
+    blank = F.when(F.col("doc_id") % 3 == 0, F.lit("")).when(F.col("doc_id") % 3 == 1, F.col("lang"))
+    out = shared_folder(spark)
+    quick_flat(table(spark, sf_dir, "documents").select(blank.alias("lang"))).write(out)
+    read = spark.read.schema("lang string").options(**CSV_OPTIONS).csv(out)
+    return read.groupBy(F.coalesce("lang", F.lit("")).alias("lang")).agg(
+        F.count(F.lit(1)).alias("n_rows"))
 
-def q_column_shapes(spark, sf_dir):
-    return (described(orders_nested(spark, sf_dir))
-            .select("name", "type", "dtype", "ndim", "n_events"))
 
+# Profiling
 
 def q_list_lengths(spark, sf_dir):
     return list_lengths(documents_nested(spark, sf_dir), keep=["doc_id"])

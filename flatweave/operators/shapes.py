@@ -12,8 +12,6 @@ from pyspark.sql import types as T
 SHAPE_SCHEMA = ("array<struct<name:string,type:string,source_type:string,"
                 "dtype:string,ndim:int,reason:string>>")
 
-REASON_LIMIT = 120
-
 #: Types with no flat shape: neither one cell nor a list of cells.
 UNREADABLE = (T.MapType, T.VariantType, T.BinaryType, T.CalendarIntervalType,
               T.NullType, T.UserDefinedType)
@@ -47,7 +45,7 @@ def column_shape(field: T.StructField) -> ColumnShape:
     declared = field.dataType.simpleString()
     reason = None
     if isinstance(leaf, UNREADABLE):
-        reason = f"{leaf.simpleString()} has no flat shape"[:REASON_LIMIT]
+        reason = f"{leaf.simpleString()} has no flat shape"
     return ColumnShape(field.name, declared, field.metadata.get("source_type", declared),
                        leaf.simpleString(), ndim, reason)
 

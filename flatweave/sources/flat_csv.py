@@ -13,9 +13,9 @@ from flatweave.functions.text import writable
 from flatweave.operators.flatten import flatten, header_line
 from flatweave.plans.layout import FlatLayout
 
-#: Above this many flat columns, rows are written as rendered lines: the cost of
-#: planning and compiling one expression per cell soon exceeds that of the data.
-WIDE_THRESHOLD = 200
+#: Rows are written as rendered lines. A caller may ask for one expression per cell instead, up to
+#: so many flat columns; the cells are the same.
+WIDE_THRESHOLD = 0
 
 # Quotes are doubled, empty strings are blank, spaces are kept.
 CSV_OPTIONS = {
@@ -58,12 +58,15 @@ def write_flat(df: DataFrame, layout: FlatLayout, path: str,
     """
     counter, started = Observation(), time.monotonic()
     total = F.count(F.lit(1)).alias("rows")
-    if layout.n_columns <= wide_threshold:
+    if 1 < layout.n_columns <= wide_threshold:
         cells = csv_cells(flatten(df, layout)).observe(counter, total)
         cells.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
         rows = counter.get["rows"]
     else:
         lines = flatten(df, layout, "lines").observe(counter, total)
+        if layout.n_columns == 1:  # readers skip blank lines
+            lines = lines.withColumn("value", F.when(F.col("value") == "", '""')
+                                     .otherwise(F.col("value")))
         writer = with_header(lines, header_line(layout)).write.mode("overwrite")
         writer.option("maxRecordsPerFile", 0).text(path)
         rows = counter.get["rows"]

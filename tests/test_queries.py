@@ -41,16 +41,10 @@ def test_query_equals_sql(spark, duck, name):
 
 
 def test_every_query_is_checked():
-    assert set(driver.queries()) - set(driver.oracle_sql()) == {"largest_input"}
+    assert set(driver.registry.queries()) == set(driver.oracle.oracle_sql())
     assert set(driver.oracle_sql()) <= set(driver.queries())
 
 
-def test_largest_input(spark):
-    found = driver.queries()["largest_input"](spark, SF_DIR).first()
-    sizes = {f: os.path.getsize(f"{SF_DIR}/{f}") for f in os.listdir(SF_DIR)}
-    assert (found.file, found.length) == max(sizes.items(), key=lambda item: item[1])
-
-
 def test_entry(spark):
     frame = driver.entry(spark)
     assert frame.count() == 1500 and frame.columns[0] == "is_order"
