@@ -50,7 +50,7 @@ def write_census(census: DataFrame, path: str) -> None:
 
 
 def read_census(spark: SparkSession, path: str) -> list[Row]:
-    return spark.read.schema(CENSUS_SCHEMA).json(f"{path}/census").collect()
+    return spark.read.schema(CENSUS_SCHEMA).option("mode", "FAILFAST").json(f"{path}/census").collect()
 
 
 def write_meta(spark: SparkSession, meta: dict, path: str) -> None:
