@@ -1,22 +1,16 @@
 """Nested tables derived from the flat test tables.
 
-No list here is gathered from a group of unknown size. Lists either come from
-within one row, or have one place per line number, filled by fixed-size
-aggregates that combine before the shuffle however many rows share a key.
+Every list comes from within one row, so none is gathered from a group of unknown
+size, and nothing is merged: an element for every piece of the text.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
-#: Line numbers run from 1 to 7; any other falls into the place after them.
-LAST_LINE = 7
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -25,35 +19,20 @@ def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {name: table(spark, sf_dir, name) for name in TABLES}
 
 
-def lines_by_order(lineitem: DataFrame) -> DataFrame:
-    """One row per order with a list of its lines, one element per line number."""
-    places = range(1, LAST_LINE + 2)
-    placed = lineitem.selectExpr(
-        "l_orderkey", "l_tax as tax", "coalesce(l_quantity, 0D) as qty",
-        # The code of the flag, as a number, keeps the hash aggregate.
-        "ascii(l_returnflag) as flag",
-        f"if(l_linenumber between 1 and {LAST_LINE}, l_linenumber, {LAST_LINE + 1}) as place")
-    by_place = [F.expr(f"{combine}(if(place = {k}, {c}, null)) as {c}{k}")
-                for k in places for combine, c in (("sum", "qty"), ("max", "flag"), ("max", "tax"))]
-    lines = ", ".join(f"struct({k} as line, qty{k} as qty, char(flag{k}) as flag, tax{k} as tax)"
-                      for k in places)
-    return (placed.groupBy("l_orderkey").agg(*by_place)
-            .selectExpr("l_orderkey", f"filter(array({lines}), p -> p.qty is not null) as lines"))
-
-
-def orders_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order; every bin is represented."""
-    lines = lines_by_order(table(spark, sf_dir, "lineitem"))
-    return (table(spark, sf_dir, "orders")
-            # Both sides have a row per order: neither is ever small enough to broadcast.
-            .join(lines.hint("merge"), F.expr("o_orderkey = l_orderkey"), "left")
-            .selectExpr("*", "coalesce(lines, array()) as present").selectExpr(
-                "o_orderkey as event_id", "o_totalprice as met", "o_orderstatus as status",
-                "array(o_totalprice) as vtx", "present.qty as qty", "present.line as line",
-                "present.flag as flag", "cast(array() as array<float>) as gone",
-                "transform(present, x -> array(x.qty, x.tax)) as pairs",
-                "struct(o_orderpriority as priority, to_date(o_orderdate) as day) as info",
-                "map(o_orderstatus, o_orderpriority) as attrs"))
+def lines_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document, one element per line of its text; every bin is represented."""
+    return table(spark, sf_dir, "documents").selectExpr(
+        "*", "coalesce(split(text, '\n'), array()) as cut").selectExpr(
+        "doc_id as event_id", "cast(n_chars as double) as met", "source as status",
+        "array(cast(n_chars as double)) as vtx",
+        "transform(cut, l -> cast(length(l) as double)) as qty",
+        "transform(cut, (l, i) -> i + 1) as line",
+        "transform(cut, l -> if(length(l) > 80, 'R', if(length(l) > 20, 'A', 'N'))) as flag",
+        "cast(array() as array<float>) as gone",
+        "transform(cut, l -> array(cast(length(l) as double), cast(size(split(l, ' ')) as double)))"
+        " as pairs",
+        "struct(source as origin, date_add(date'2024-01-01', cast(doc_id as int)) as day) as info",
+        "map('source', source, 'lang', lang) as attrs")
 
 
 def documents_nested(spark: SparkSession, sf_dir: str) -> DataFrame:

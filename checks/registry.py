@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.fixtures import (documents_nested, embeddings, orders_nested, table, tables,
+from checks.fixtures import (documents_nested, embeddings, lines_nested, table, tables,
                              turns_nested)
 from flatweave.operators import summary
 from flatweave.operators.census import census
@@ -19,6 +19,7 @@ from flatweave.session import shared_folder
 from flatweave.sources.canonical import read_canonical
 from flatweave.sources.discovery import largest_table
 from flatweave.sources.flat_csv import CSV_OPTIONS
+from flatweave.sources.manifest import set_policies
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,10 +34,10 @@ def q_largest_table(spark, sf_dir):
 
 def q_canonical_roundtrip(spark, sf_dir):
     out = shared_folder(spark)
-    stored = scan(orders_nested(spark, sf_dir), out, "orders", samples=0, tags={"is_order": 1})
+    stored = scan(lines_nested(spark, sf_dir), out, "lines", samples=0, tags={"is_document": 1})
     copy = read_canonical(spark, stored.meta["canonical_parquet"])
     return copy.select(
-        "event_id", "met", "status", "is_order",
+        "event_id", "met", "status", "is_document",
         F.array_join(F.col("vtx").cast("array<string>"), "|").alias("vtx"),
         F.array_join(F.col("qty").cast("array<bigint>").cast("array<string>"), "|").alias("qty"),
         F.array_join(F.col("line").cast("array<string>"), "|").alias("line"),
@@ -47,14 +48,14 @@ def q_canonical_roundtrip(spark, sf_dir):
 
 def q_from_manifest_flat(spark, sf_dir):
     out = shared_folder(spark)
-    scan(orders_nested(spark, sf_dir), out, "orders", samples=0, tags={"is_order": 1, "year": 1})
-    flat = flat_from_scan(spark, out, policies={"qty": "first:3", "flag": "drop"},
-                          tags=["year=2"], fill="-1")
+    scan(lines_nested(spark, sf_dir), out, "lines", samples=0, tags={"is_document": 1, "year": 1})
+    set_policies(spark, out, {"qty": "first:3", "flag": "drop"})
+    flat = flat_from_scan(spark, out, tags=["year=2"], fill="-1")
     return flat.frame()
 
 
 def q_csv_roundtrip(spark, sf_dir):
-    flat = quick_flat(orders_nested(spark, sf_dir))
+    flat = quick_flat(lines_nested(spark, sf_dir))
     out = shared_folder(spark)
     flat.write(out)
     return spark.read.schema(flat.frame().schema).options(**CSV_OPTIONS).csv(out)
@@ -86,12 +87,12 @@ def q_list_lengths(spark, sf_dir):
     return list_lengths(documents_nested(spark, sf_dir), keep=["doc_id"])
 
 
-def q_list_lengths_orders(spark, sf_dir):
-    return list_lengths(orders_nested(spark, sf_dir), keep=["event_id"])
+def q_list_lengths_lines(spark, sf_dir):
+    return list_lengths(lines_nested(spark, sf_dir), keep=["event_id"])
 
 
 def q_length_histogram(spark, sf_dir):
-    return length_histogram(orders_nested(spark, sf_dir))
+    return length_histogram(lines_nested(spark, sf_dir))
 
 
 def q_length_histogram_documents(spark, sf_dir):
@@ -109,21 +110,21 @@ def q_length_stats(spark, sf_dir):
 
 
 def q_fill_fraction(spark, sf_dir):
-    return stats_of(orders_nested(spark, sf_dir)).select(
+    return stats_of(lines_nested(spark, sf_dir)).select(
         "name", "axis", F.round("fill_frac", 6).alias("fill_frac"))
 
 
 def q_spacer_count(spark, sf_dir):
-    return (stats_of(orders_nested(spark, sf_dir)).where("axis = 1")
+    return (stats_of(lines_nested(spark, sf_dir)).where("axis = 1")
             .select("name", "n_events", "n_spacers"))
 
 
 def q_classify_columns(spark, sf_dir):
-    return census(orders_nested(spark, sf_dir)).select("name", "category")
+    return census(lines_nested(spark, sf_dir)).select("name", "category")
 
 
 def q_fanout(spark, sf_dir):
-    return census(orders_nested(spark, sf_dir)).select("name", "max_len", "fanout")
+    return census(lines_nested(spark, sf_dir)).select("name", "max_len", "fanout")
 
 
 def inventory(nested):
@@ -136,8 +137,8 @@ def q_deep_axes(spark, sf_dir):
     return inventory(documents_nested(spark, sf_dir))
 
 
-def q_deep_axes_orders(spark, sf_dir):
-    return inventory(orders_nested(spark, sf_dir))
+def q_deep_axes_lines(spark, sf_dir):
+    return inventory(lines_nested(spark, sf_dir))
 
 
 def q_deep_fanout(spark, sf_dir):
@@ -163,7 +164,7 @@ def census_view(nested):
 
 
 def q_census(spark, sf_dir):
-    return census_view(orders_nested(spark, sf_dir))
+    return census_view(lines_nested(spark, sf_dir))
 
 
 def q_census_documents(spark, sf_dir):
@@ -179,11 +180,11 @@ def q_census_embeddings(spark, sf_dir):
 
 
 def q_bin_summary(spark, sf_dir):
-    return summary.bin_summary(census(orders_nested(spark, sf_dir)))
+    return summary.bin_summary(census(lines_nested(spark, sf_dir)))
 
 
 def q_projected_columns(spark, sf_dir):
-    return summary.projected_columns(census(orders_nested(spark, sf_dir)), n_tags=1)
+    return summary.projected_columns(census(lines_nested(spark, sf_dir)), n_tags=1)
 
 
 def q_projected_spacers(spark, sf_dir):
@@ -191,7 +192,7 @@ def q_projected_spacers(spark, sf_dir):
 
 
 def q_column_audit(spark, sf_dir):
-    return summary.column_audit(census(orders_nested(spark, sf_dir)))
+    return summary.column_audit(census(lines_nested(spark, sf_dir)))
 
 
 def q_outlier_signal(spark, sf_dir):
@@ -202,12 +203,12 @@ def q_outlier_signal(spark, sf_dir):
 # Flattening
 
 def q_flat_scalar(spark, sf_dir):
-    nested = orders_nested(spark, sf_dir).select("status", "event_id", "met")
+    nested = lines_nested(spark, sf_dir).select("status", "event_id", "met")
     return quick_flat(nested).frame()
 
 
 def q_flat_struct(spark, sf_dir):
-    return quick_flat(orders_nested(spark, sf_dir).select("event_id", "info")).frame()
+    return quick_flat(lines_nested(spark, sf_dir).select("event_id", "info")).frame()
 
 
 def q_flat_vec1(spark, sf_dir):
@@ -215,7 +216,7 @@ def q_flat_vec1(spark, sf_dir):
 
 
 def q_flat_pad_max(spark, sf_dir):
-    return quick_flat(orders_nested(spark, sf_dir).select("event_id", "qty", "line")).frame()
+    return quick_flat(lines_nested(spark, sf_dir).select("event_id", "qty", "line")).frame()
 
 
 def q_flat_first_n(spark, sf_dir):
@@ -225,31 +226,31 @@ def q_flat_first_n(spark, sf_dir):
 
 
 def q_flat_drop(spark, sf_dir):
-    nested = orders_nested(spark, sf_dir).select("event_id", "vtx", "qty", "flag")
+    nested = lines_nested(spark, sf_dir).select("event_id", "vtx", "qty", "flag")
     # On anything but a variable list the policy has no effect.
     return quick_flat(nested, policies={"qty": "drop", "vtx": "drop", "event_id": "drop"}).frame()
 
 
 def q_flat_bad_policy(spark, sf_dir):
-    nested = orders_nested(spark, sf_dir).select("event_id", "line", "flag")
+    nested = lines_nested(spark, sf_dir).select("event_id", "line", "flag")
     return quick_flat(nested, policies={"line": "first:many", "flag": "widest"}).frame()
 
 
 def q_flat_fill_nan(spark, sf_dir):
-    nested = orders_nested(spark, sf_dir).select("event_id", "qty", "line")
+    nested = lines_nested(spark, sf_dir).select("event_id", "qty", "line")
     flat = quick_flat(nested, fill="NaN").frame()
     return flat.select("event_id", *[F.when(~F.isnan(c), F.col(c)).alias(c)
                                      for c in flat.columns if c != "event_id"])
 
 
 def q_flat_fill_x(spark, sf_dir):
-    nested = orders_nested(spark, sf_dir).select("event_id", "line", "flag")
+    nested = lines_nested(spark, sf_dir).select("event_id", "line", "flag")
     return quick_flat(nested, fill="X").frame()
 
 
 def q_flat_tags(spark, sf_dir):
-    nested = orders_nested(spark, sf_dir).select("event_id", "status")
-    return quick_flat(nested, tags=["is_order=1", "era = -7"]).frame()
+    nested = lines_nested(spark, sf_dir).select("event_id", "status")
+    return quick_flat(nested, tags=["is_document=1", "era = -7"]).frame()
 
 
 def q_flat_embeddings(spark, sf_dir):
@@ -257,28 +258,28 @@ def q_flat_embeddings(spark, sf_dir):
 
 
 def q_quick_flat(spark, sf_dir):
-    return quick_flat(orders_nested(spark, sf_dir), tags={"is_order": 1}).frame()
+    return quick_flat(lines_nested(spark, sf_dir), tags={"is_document": 1}).frame()
 
 
 def q_padded_arrays(spark, sf_dir):
-    nested = orders_nested(spark, sf_dir).select("event_id", "qty", "line", "flag")
+    nested = lines_nested(spark, sf_dir).select("event_id", "qty", "line", "flag")
     padded = quick_flat(nested).frame("arrays")
     return (padded.select("event_id", F.posexplode(F.arrays_zip("qty", "line", "flag")).alias("slot", "cells"))
             .select("event_id", "slot", "cells.qty", "cells.line", "cells.flag"))
 
 
 def q_build_report(spark, sf_dir):
-    flat = quick_flat(orders_nested(spark, sf_dir), tags={"is_order": 1},
+    flat = quick_flat(lines_nested(spark, sf_dir), tags={"is_document": 1},
                       policies={"flag": "drop", "line": "first:0"})
-    return flat.write(shared_folder(spark), name="orders").select(
+    return flat.write(shared_folder(spark), name="lines").select(
         "name", "n_columns", "n_rows", "fill", "n_dropped",
         F.array_join("dropped", ",").alias("dropped"), F.array_join("tags", ",").alias("tags"))
 
 
 def q_invariant_check(spark, sf_dir):
     """Default policies: one build or two, the same table, as wide and as padded as projected."""
-    nested, out = orders_nested(spark, sf_dir), shared_folder(spark)
-    stored = scan(nested, out, "orders", samples=0)
+    nested, out = lines_nested(spark, sf_dir), shared_folder(spark)
+    stored = scan(nested, out, "lines", samples=0)
     quick, rebuilt = quick_flat(nested), flat_from_scan(spark, out)
     flat, again = quick.frame(), rebuilt.frame()
     padded = [c for c in flat.columns if c.startswith(("qty_", "line_"))]

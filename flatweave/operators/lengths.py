@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,11 +13,6 @@ from flatweave.operators.shapes import ColumnShape, column_shapes
 
 HISTOGRAM_SCHEMA = "name string, axis int, len bigint, n bigint"
 
-#: Lengths measured by one scan. Wider tables are measured by several scans,
-#: each reading only its own columns: the generated code of one scan then stays
-#: small enough to be compiled, which more than pays for the extra scans.
-LENGTHS_PER_SCAN = 32
-
 
 def list_columns(shapes: list[ColumnShape]) -> list[ColumnShape]:
     return [s for s in shapes if s.readable and s.ndim > 1]
@@ -32,14 +26,14 @@ def list_lengths(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     return df.selectExpr(*map(quoted, keep or []), *lengths)
 
 
-def length_histogram(df: DataFrame, deep: bool = True,
-                     lengths_per_scan: int = LENGTHS_PER_SCAN) -> DataFrame:
+def length_histogram(df: DataFrame, deep: bool = True) -> DataFrame:
     """Rows per (column, axis, length).
 
     Axis 1 is the list itself; on deeper axes a row counts once, under its
     longest list at that depth. The rows reaching the shuffle are the distinct
     lengths each task saw, whatever the size of the table: every length is
-    keyed by two integers and counted on the map side.
+    keyed by two integers and counted on the map side. The table is read once, however many
+    lists it has.
     """
     fields = {f.name: f for f in df.schema.fields}
     # Deep columns last: their inner loops are interpreted and kept apart from the rest.
@@ -48,26 +42,21 @@ def length_histogram(df: DataFrame, deep: bool = True,
     if not entries:
         return df.sparkSession.createDataFrame([], HISTOGRAM_SCHEMA)
 
-    def measure(batch: list[tuple[str, int]]) -> DataFrame:
-        lengths = [list_length(length_source(fields[name])) if axis == 1
-                   else longest_list(quoted(name), axis) for name, axis in batch]
-        labels = F.from_json(
-            F.lit(json.dumps([{"name": name, "axis": axis} for name, axis in batch])),
-            "array<struct<name:string,axis:int>>")
-        names = [f"len{i}" for i in range(len(batch))]
-        # Measured first and exploded after, so that exploding and counting compile
-        # together even where measuring is interpreted.
-        measured = df.selectExpr(*[f"{x} as {name}" for x, name in zip(lengths, names)])
-        counted = (measured.selectExpr(f"posexplode(array({', '.join(names)})) as (pos, len)")
-                     .groupBy("pos", "len").agg(F.count(F.lit(1)).alias("n")))
-        label = F.get(labels, F.col("pos"))
-        # Never NULL, so no null check on names is pushed below the counting.
-        return counted.select(F.coalesce(label["name"], F.lit("")).alias("name"), label["axis"].alias("axis"),
-                              F.col("len").cast("bigint").alias("len"), "n")
-
-    batches = [entries[i:i + lengths_per_scan]
-               for i in range(0, len(entries), lengths_per_scan)]
-    return reduce(DataFrame.unionAll, map(measure, batches))
+    lengths = [list_length(length_source(fields[name])) if axis == 1
+               else longest_list(quoted(name), axis) for name, axis in entries]
+    labels = F.from_json(
+        F.lit(json.dumps([{"name": name, "axis": axis} for name, axis in entries])),
+        "array<struct<name:string,axis:int>>")
+    names = [f"len{i}" for i in range(len(entries))]
+    # Measured first and exploded after, so that exploding and counting compile
+    # together even where measuring is interpreted.
+    measured = df.selectExpr(*[f"{x} as {name}" for x, name in zip(lengths, names)])
+    counted = (measured.selectExpr(f"posexplode(array({', '.join(names)})) as (pos, len)")
+                 .groupBy("pos", "len").agg(F.count(F.lit(1)).alias("n")))
+    label = F.get(labels, F.col("pos"))
+    # Never NULL, so no null check on names is pushed below the counting.
+    return counted.select(F.coalesce(label["name"], F.lit("")).alias("name"), label["axis"].alias("axis"),
+                          F.col("len").cast("bigint").alias("len"), "n")
 
 
 def length_stats(histogram: DataFrame) -> DataFrame:
@@ -76,7 +65,8 @@ def length_stats(histogram: DataFrame) -> DataFrame:
     Percentiles are exact and interpolate linearly. The input is the histogram,
     so the work depends on distinct lengths and not on rows.
     """
-    # Grouped by name up front: nothing per column is shuffled a second time.
+    # Grouped by name up front: nothing per column is shuffled a second time. A task holds the
+    # distinct lengths of its columns, bounded by the longest list and not by rows.
     grouped = histogram.repartition("name").groupBy("name", "axis").agg(*map(F.expr, (
         "sum(n) as n_events",
         "cast(min(len) as int) as len_min",

@@ -70,6 +70,10 @@ def flat_layout(schema: T.StructType, census: Iterable[Mapping], *,
     if unknown:
         raise ValueError(f"policies for columns that do not exist: {unknown}")
     fields = {f.name: f for f in schema.fields}
+    taken = resolve_tags(tags)
+    lost = sorted(set(fields) - set(rows) - set(taken))
+    if lost:
+        raise ValueError(f"columns of the table that are not in the census: {lost}")
     columns, dropped = [], []
     for name in sorted(rows):
         row = rows[name]
@@ -92,7 +96,6 @@ def flat_layout(schema: T.StructType, census: Iterable[Mapping], *,
                 dropped.append(name)
                 continue
         columns.append(FlatColumn(name, row["category"], data_type, width, longest))
-    taken = resolve_tags(tags)
     clash = sorted(set(taken) & set(rows))
     if clash:
         raise ValueError(f"tags named like columns of the table: {clash}")

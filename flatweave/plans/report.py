@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from flatweave.functions.names import quoted
 from flatweave.plans.layout import FlatLayout
-from flatweave.sources.discovery import listed
+from flatweave.sources.discovery import entries, folder_bytes
 from flatweave.sources.flat_csv import WriteFacts
 
 REPORT_SCHEMA = ("name string, path string, n_columns bigint, n_rows bigint, bytes bigint, "
@@ -15,17 +15,34 @@ REPORT_SCHEMA = ("name string, path string, n_columns bigint, n_rows bigint, byt
                  "seconds double")
 
 
-def written_bytes(spark: SparkSession, path: str) -> int:
-    files = listed(spark, path)
-    return 0 if files is None else files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+def report_path(path: str) -> str:
+    """The report lies in the folder of its table; readers skip names with an underscore."""
+    return f"{path.rstrip('/')}/_report"
 
 
 def build_report(spark: SparkSession, name: str, path: str, layout: FlatLayout,
                  facts: WriteFacts) -> DataFrame:
-    """One row on a written flat table. Reads no data: rows were counted by the write."""
-    return spark.createDataFrame(
-        [(name, path, layout.n_columns, facts.rows, written_bytes(spark, path), str(layout.fill),
+    """Store and return one row on a written flat table.
+
+    Reads no data: rows were counted by the write.
+    """
+    report = spark.createDataFrame(
+        [(name, path, layout.n_columns, facts.rows, folder_bytes(spark, path), str(layout.fill),
           list(layout.tags), len(layout.dropped), layout.dropped, facts.seconds)], REPORT_SCHEMA)
+    report.coalesce(1).write.mode("overwrite").json(report_path(path))
+    return report
+
+
+def read_report(spark: SparkSession, path: str) -> DataFrame:
+    """The stored report of the flat table at ``path``."""
+    return spark.read.schema(REPORT_SCHEMA).option("mode", "FAILFAST").json(report_path(path))
+
+
+def refuse_to_replace(spark: SparkSession, path: str) -> None:
+    """A flat table may replace another one, and nothing else: no source, scan or copy."""
+    held = [e.name for e in entries(spark, path)]
+    if held and "_report" not in held:
+        raise ValueError(f"{path} holds something else than a flat table, choose another folder")
 
 
 def row_print(df: DataFrame, salt: str) -> Column:

@@ -14,9 +14,9 @@ from flatweave.operators.flatten import flatten
 from flatweave.operators.samples import SAMPLE_ROWS
 from flatweave.plans.layout import FlatLayout, flat_layout
 from flatweave.plans.policy import resolve_tags
-from flatweave.plans.report import build_report
+from flatweave.plans.report import build_report, refuse_to_replace
 from flatweave.sources.canonical import read_canonical, write_canonical
-from flatweave.sources.discovery import choose_table, largest_input, tables_in
+from flatweave.sources.discovery import choose_table, largest_by_bytes, tables_in
 from flatweave.sources.flat_csv import WIDE_THRESHOLD, write_flat
 from flatweave.sources.manifest import (Manifest, canonical_path, manifest_path, read_census,
                                         read_manifest, write_census, write_meta)
@@ -35,7 +35,11 @@ class Flat:
         return flatten(self.table, self.layout, form)
 
     def write(self, path: str, name: str = "flat", wide_threshold: int = WIDE_THRESHOLD) -> DataFrame:
-        """Write as CSV and return the one-row build report."""
+        """Write as CSV; store and return the one-row build report.
+
+        Only a missing or empty folder, or that of another flat table, is written to.
+        """
+        refuse_to_replace(self.table.sparkSession, path)
         facts = write_flat(self.table, self.layout, path, wide_threshold)
         return build_report(self.table.sparkSession, name, path, self.layout, facts)
 
@@ -76,13 +80,13 @@ def scan_path(spark: SparkSession, path: str, out_dir: str, name: str | None = N
     """Scan one table of a directory, or the table at ``path`` itself.
 
     In a directory that is the named table, or else the one with most rows;
-    ``by="bytes"`` takes the largest file there or one level below instead.
+    ``by="bytes"`` takes the one whose files are largest in sum instead.
     """
     if by not in ("rows", "bytes"):
         raise ValueError(f"by must be rows or bytes, got: {by}")
-    if by == "bytes" and table is None:
-        path = largest_input(spark, path, f".{format}").first()["path"]
-    tables = tables_in(spark, path, format) if by == "rows" or table else {}
+    tables = tables_in(spark, path, format)
+    if by == "bytes" and table is None and tables:
+        table = largest_by_bytes(spark, path, format)
     if not tables:
         tables = {table_name(path, format): spark.read.format(format).load(path)}
     chosen, df = choose_table(tables, table)
@@ -97,14 +101,27 @@ def quick_flat(df: DataFrame, *, tags: Tags = None, fill: float | str | None = N
     return Flat(df, flat_layout(df.schema, rows, policies=policies, tags=tags, fill=fill))
 
 
+def quick_path(spark: SparkSession, path: str, out_dir: str, name: str | None = None, *,
+               tags: Tags = None, fill: float | str | None = None, policies: Policies = None,
+               **options) -> Flat:
+    """Scan a path and lay out the stored copy, in one call.
+
+    Manifest and copy stay, also if the flat table cannot be written. ``options`` are those of
+    ``scan_path``.
+    """
+    stored = scan_path(spark, path, out_dir, name, tags=tags, **options)
+    return flat_from_scan(spark, out_dir, fill=fill, policies=policies, name=stored.meta["name"])
+
+
 def flat_from_scan(spark: SparkSession, scan_dir: str, *, tags: Tags = None,
-                   fill: float | str | None = None, policies: Policies = None) -> Flat:
+                   fill: float | str | None = None, policies: Policies = None,
+                   name: str = "*") -> Flat:
     """Lay out from a stored scan; neither the source nor a second profile is needed.
 
-    Policies are those stored in the census, edited there or overridden here; tags
+    Policies are those of the census, as ``set_policies`` left them, or overridden here; tags
     given here win over stored ones.
     """
-    manifest = read_manifest(spark, scan_dir)
+    manifest = read_manifest(spark, scan_dir, name)
     table = read_canonical(spark, manifest.meta["canonical_parquet"],
                            canonical_path(scan_dir, manifest.meta["name"]))
     merged = {**manifest.tags, **resolve_tags(tags)}

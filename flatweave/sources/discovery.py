@@ -1,9 +1,10 @@
-"""Finding the input: the largest file, the table with most rows."""
+"""Finding the input: the tables of a folder, the one with most rows or bytes, the largest file."""
 
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -14,6 +15,44 @@ from pyspark.sql import functions as F
 SMALLEST_INPUT = 1000
 
 
+#: Names that Spark gives to the parts of a table.
+PART = re.compile(r"part-\d+-[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}\b.*")
+
+
+@dataclass(frozen=True)
+class Entry:
+    path: str
+    name: str
+    folder: bool
+
+    @property
+    def hidden(self) -> bool:
+        return self.name.startswith((".", "_"))
+
+
+def _at(spark: SparkSession, path: str) -> tuple:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), place
+
+
+def entries(spark: SparkSession, path: str) -> Iterator[Entry]:
+    """What lies in a folder, at that level only and one after the other; nothing if it is none."""
+    fs, place = _at(spark, path)
+    if not fs.exists(place) or not fs.getFileStatus(place).isDirectory():
+        return
+    found = fs.listStatusIterator(place)
+    while found.hasNext():
+        status = found.next()
+        at = status.getPath()
+        yield Entry(at.toString(), at.getName(), status.isDirectory())
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a path, summed by the file system."""
+    fs, place = _at(spark, path)
+    return fs.getContentSummary(place).getLength()
+
+
 def listed(spark: SparkSession, pattern: str) -> DataFrame | None:
     """Path and size of the files under a pattern, or None if nothing matches.
 
@@ -27,10 +66,12 @@ def listed(spark: SparkSession, pattern: str) -> DataFrame | None:
         raise
 
 
-def largest_input(spark: SparkSession, path: str, suffix: str = ".parquet") -> DataFrame:
+def largest_input(spark: SparkSession, path: str, suffix: str = ".parquet",
+                  smallest: int = SMALLEST_INPUT) -> DataFrame:
     """The largest file with the suffix in a directory or one level below it.
 
-    A path to a file is taken as it is.
+    For inputs that are single files; of tables in several parts see ``tables_in``. Files of at
+    most ``smallest`` bytes hold no table. A path to a file is taken as it is.
     """
     path = path.rstrip("/")
     found = [f for f in (listed(spark, f"{path}/*{suffix}"), listed(spark, f"{path}/*/*{suffix}"))
@@ -44,7 +85,7 @@ def largest_input(spark: SparkSession, path: str, suffix: str = ".parquet") -> D
             raise FileNotFoundError(f"no {suffix} files under {path}")
         return single
     candidates = (reduce(DataFrame.unionAll, found).distinct()
-                  .where(F.col("length") > SMALLEST_INPUT))
+                  .where(F.col("length") > smallest))
     largest = candidates.orderBy(F.desc("length"), "path").limit(1)
     if largest.isEmpty():
         raise FileNotFoundError(f"no {suffix} files under {path}")
@@ -74,18 +115,47 @@ def choose_table(tables: Mapping[str, DataFrame], name: str | None = None) -> tu
     return name, tables[name]
 
 
-def tables_in(spark: SparkSession, path: str, format: str = "parquet") -> dict[str, DataFrame]:
-    """The tables of a directory, one per file or folder named ``<table>.<format>``.
+def _holds_table(spark: SparkSession, path: str, suffix: str) -> bool:
+    """Whether a folder has parts of a table: files with the suffix, or folders ``key=value``."""
+    return any(("=" in e.name) if e.folder else e.name.endswith(suffix)
+               for e in entries(spark, path) if not e.hidden)
+
+
+def table_paths(spark: SparkSession, path: str, format: str = "parquet") -> dict[str, str]:
+    """Name and path of each table in a folder; none if the path is a table itself.
 
-    Part files are not tables of their own: their directory is the table.
+    A table is a file or folder named ``<table>.<format>``, or a folder of such files or of
+    partitions. A folder is a table itself if its name ends so, if it holds the marker of a
+    finished write or partitions, or if all its files are parts named by a writer. Folders are
+    looked into one level deep, and only as far as their first part.
     """
-    path = path.rstrip("/")
-    files = None if path.endswith(f".{format}") else listed(spark, f"{path}/*.{format}")
-    if files is None:
+    path, suffix = path.rstrip("/"), f".{format}"
+    if path.endswith(suffix):
+        return {}
+    inside = list(entries(spark, path))
+    if any(e.name == "_SUCCESS" or (e.folder and "=" in e.name) for e in inside):
+        return {}
+    shown = [e for e in inside if not e.hidden]
+    files = [e for e in shown if not e.folder and e.name.endswith(suffix)]
+    if files and all(PART.fullmatch(e.name) for e in files):
         return {}
-    folder = re.escape(path.rsplit("/", 1)[-1])
-    table = F.regexp_extract("path", rf"/{folder}/([^/]+?)\.{format}(?:/|$)", 1)
-    found = files.select(table.alias("name")).where("name <> '' and name not like 'part-%'")
-    # One row per table.
-    names = sorted(r["name"] for r in found.distinct().collect())
-    return {n: spark.read.format(format).load(f"{path}/{n}.{format}") for n in names}
+    found = files + [e for e in shown if e.folder and (
+        e.name.endswith(suffix) or _holds_table(spark, e.path, suffix))]
+    whole = {e.name for e in found}
+    names: dict[str, str] = {}
+    for e in sorted(found, key=lambda e: e.name):
+        short = e.name.removesuffix(suffix)
+        names[e.name if short != e.name and short in whole else short] = e.path
+    return names
+
+
+def tables_in(spark: SparkSession, path: str, format: str = "parquet") -> dict[str, DataFrame]:
+    """The tables of ``table_paths``, each loaded by itself with its own partitions."""
+    return {name: spark.read.format(format).load(at)
+            for name, at in table_paths(spark, path, format).items()}
+
+
+def largest_by_bytes(spark: SparkSession, path: str, format: str = "parquet") -> str:
+    """The name of the table in a folder whose files sum to most bytes; of equals the first."""
+    sizes = {n: folder_bytes(spark, at) for n, at in table_paths(spark, path, format).items()}
+    return min(sizes, key=lambda n: (-sizes[n], n))

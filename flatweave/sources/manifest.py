@@ -1,8 +1,10 @@
-"""A stored census: one JSON line per column, editable, plus one row of facts."""
+"""A stored census: one JSON line per column, its policies editable, plus one row of facts."""
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -17,6 +19,9 @@ META_SCHEMA = (
     "tool_version string, tags array<struct<name:string,value:int>>")
 
 
+EDIT_SCHEMA = "name string, policy string, edited timestamp"
+
+
 @dataclass(frozen=True)
 class Manifest:
     meta: Row
@@ -45,12 +50,41 @@ def canonical_path(scan_dir: str, name: str) -> str:
 
 
 def write_census(census: DataFrame, path: str) -> None:
+    """Store a census; edits of an earlier one go."""
     # One row per column of the profiled table.
     census.coalesce(1).write.mode("overwrite").json(f"{path}/census")
+    store_edits(census.sparkSession, [], path, "overwrite")
+
+
+def store_edits(spark: SparkSession, edits: list[tuple], path: str, mode: str) -> None:
+    (spark.createDataFrame(edits, EDIT_SCHEMA)
+     .coalesce(1).write.mode(mode).json(f"{path}/policies"))
 
 
 def read_census(spark: SparkSession, path: str) -> list[Row]:
-    return spark.read.schema(CENSUS_SCHEMA).option("mode", "FAILFAST").json(f"{path}/census").collect()
+    """The stored census under the policies last set; a broken line fails."""
+    reader = spark.read.option("mode", "FAILFAST")
+    rows = reader.schema(CENSUS_SCHEMA).json(f"{path}/census").collect()
+    try:  # one row per edit
+        edits = reader.schema(EDIT_SCHEMA).json(f"{path}/policies").orderBy("edited", "name").collect()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        edits = []
+    policies = {e["name"]: e["policy"] for e in edits}
+    return [Row(**(r.asDict() | {"policy": policies.get(r["name"], r["policy"])})) for r in rows]
+
+
+def set_policies(spark: SparkSession, scan_dir: str, policies: Mapping[str, str],
+                 name: str = "*") -> Manifest:
+    """Change policies of a stored scan. They are added to it: nothing stored is rewritten."""
+    stored = read_manifest(spark, scan_dir, name)
+    unknown = sorted(set(policies) - {r["name"] for r in stored.columns})
+    if unknown:
+        raise ValueError(f"policies for columns that do not exist: {unknown}")
+    now = datetime.now()
+    store_edits(spark, [(k, v, now) for k, v in policies.items()], stored.path, "append")
+    return read_manifest(spark, scan_dir, stored.meta["name"])
 
 
 def write_meta(spark: SparkSession, meta: dict, path: str) -> None:

@@ -1,46 +1,38 @@
-"""The derived nested tables under skew and stray values."""
+"""The derived nested tables, and the folder for intermediate ones."""
 
+import os
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
-from checks.fixtures import lines_by_order
+from checks.fixtures import lines_nested, table
+from flatweave import quick_flat
 from flatweave.session import shared_folder
 
+SCALES = ("/root/testdata/sf0.001", "/root/testdata/sf0.01")
 
-def test_a_hot_order_keeps_one_element_per_line_number(spark):
-    hot = spark.range(0, 27000, 1, 4).selectExpr(
-        "7L as l_orderkey", "cast(id % 9 as int) as l_linenumber", "1.0D as l_quantity",
-        "id / 100000 as l_tax", "if(id < 9, 'R', 'A') as l_returnflag")
-    rest = spark.range(0, 54000, 1, 4).selectExpr(
-        "100 + id as l_orderkey", "2 as l_linenumber", "2.0D as l_quantity", "0.5D as l_tax",
-        "'N' as l_returnflag")
-    rows = {r.l_orderkey: r.lines for r in lines_by_order(hot.unionAll(rest)).collect()}
-    assert len(rows) == 54001
-    lines = rows[7]
-    # Numbers 0 and 8 share the place after 7; nothing is lost.
-    assert [x.line for x in lines] == list(range(1, 9))
-    assert sum(x.qty for x in lines) == 27000.0 and lines[7].qty == 2 * lines[0].qty
-    assert {x.flag for x in lines} == {"R"}
-    assert [tuple(x) for x in rows[100]] == [(2, 2.0, "N", 0.5)]
 
-
-def test_the_hot_order_is_combined_before_the_shuffle(spark):
-    lines = spark.createDataFrame(
-        [], "l_orderkey long, l_linenumber int, l_quantity double, l_tax double, l_returnflag string")
-    plan = lines_by_order(lines)._jdf.queryExecution().sparkPlan().toString()
-    assert plan.count("HashAggregate") == 2 and "partial_sum" in plan
-    assert "SortAggregate" not in plan and "collect" not in plan
+@pytest.mark.skipif(not os.path.isdir(SCALES[0]), reason="no test tables")
+def test_no_element_is_lost_and_the_width_follows_the_data(spark):
+    widths = []
+    for sf_dir in SCALES:
+        pieces = table(spark, sf_dir, "documents").selectExpr(
+            "sum(length(text) - length(replace(text, '\\n', '')) + 1) as n").first().n
+        nested = lines_nested(spark, sf_dir).select("event_id", "qty", "line", "flag")
+        assert nested.agg(F.sum(F.size("qty"))).first()[0] == pieces
+        flat = quick_flat(nested)
+        kept = flat.frame("arrays").selectExpr(
+            "sum(size(filter(line, x -> x <> -999))) as n", "max(size(line)) as width").first()
+        assert kept.n == pieces
+        widths.append(kept.width)
+    assert widths[0] < widths[1]
 
 
 def test_shared_folder(spark):
     set_by_cluster = spark.conf.get("spark.checkpoint.dir")
     first, second = shared_folder(spark), shared_folder(spark)
     assert first != second and first.startswith(set_by_cluster)
-
-    def session(master):
-        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default),
-                               sparkContext=SimpleNamespace(master=master))
-    assert shared_folder(session("local[2]")).startswith("/")
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_folder(session("yarn"))
+    warehouse = {"spark.sql.warehouse.dir": "file:/shared/warehouse"}
+    unset = SimpleNamespace(conf=SimpleNamespace(get=lambda key, *default: warehouse.get(key)))
+    assert shared_folder(unset).startswith("file:/shared/warehouse/")

@@ -47,4 +47,4 @@ def test_every_query_is_checked():
 
 def test_entry(spark):
     frame = driver.entry(spark)
-    assert frame.count() == 1500 and frame.columns[0] == "is_order"
+    assert frame.count() == 200 and frame.columns[0] == "is_document"

@@ -2,15 +2,14 @@
 
 import csv
 import glob
-import json
 
 import pytest
 
-from flatweave import flat_from_scan, quick_flat, scan, scan_path
+from flatweave import flat_from_scan, quick_flat, quick_path, scan, scan_path
 from flatweave.operators.census import census
-from flatweave.plans.report import fingerprint, same_table
+from flatweave.plans.report import fingerprint, read_report, same_table
 from flatweave.sources.discovery import choose_table, largest_input, largest_table, tables_in
-from flatweave.sources.manifest import read_manifest
+from flatweave.sources.manifest import read_manifest, set_policies
 
 
 def written(path):
@@ -97,6 +96,34 @@ def test_build_report(reco, folder):
     assert (r.name, r.n_columns, r.n_rows, r.n_dropped, r.dropped, r.tags, r.fill) == (
         "mine", 4, 40, 2, ["jet_pt", "track_d0"], ["t"], "nan")
     assert r.bytes > 100 and r.seconds > 0
+    assert read_report(flat.table.sparkSession, f"{folder}/flat").first() == r
+    flat.write(f"{folder}/flat")  # a flat table may be replaced
+
+
+def test_nothing_else_is_replaced(spark, reco, folder):
+    scan(reco, f"{folder}/scan", "t1", samples=0)
+    flat = flat_from_scan(spark, f"{folder}/scan")
+    for place in ("scan", "scan/t1_canonical.parquet", "scan/t1_manifest"):
+        with pytest.raises(ValueError, match="something else"):
+            flat.write(f"{folder}/{place}")
+    assert flat.write(f"{folder}/scan/flat").first().n_rows == 40
+
+
+def test_a_census_that_lacks_a_column(spark, reco, folder):
+    scan(reco, folder, "t1", samples=0, tags={"t": 1})
+    stored = spark.read.json(f"{folder}/t1_manifest/census").where("name <> 'met'").collect()
+    spark.createDataFrame(stored).write.mode("overwrite").json(f"{folder}/t1_manifest/census")
+    with pytest.raises(ValueError, match="not in the census.*met"):
+        flat_from_scan(spark, folder)
+
+
+def test_quick_path_leaves_its_artifacts(spark, reco, folder):
+    reco.write.parquet(f"{folder}/in/reco.parquet")
+    flat = quick_path(spark, f"{folder}/in", f"{folder}/out", tags={"t": 1}, samples=0,
+                      policies={"jet_pt": "drop"})
+    assert same_table(flat.frame(), quick_flat(reco, tags={"t": 1}, policies={"jet_pt": "drop"}).frame())
+    assert read_manifest(spark, f"{folder}/out").tags == {"t": 1}
+    assert spark.read.parquet(f"{folder}/out/reco_canonical.parquet").count() == 40
 
 
 def test_scan_stores_census_copy_and_facts(spark, reco, folder):
@@ -131,24 +158,13 @@ def test_deep_and_unreadable_columns_in_a_scan(spark, odd, folder):
     assert same_table(quick_flat(odd).frame(), flat_from_scan(spark, folder).frame())
 
 
-def edit_policies(folder, edits):
-    [part] = glob.glob(f"{folder}/t1_manifest/census/part-*")
-    rows = [json.loads(line) for line in open(part)]
-    for r in rows:
-        r["policy"] = edits.get(r["name"], r.get("policy"))
-    with open(part, "w") as f:
-        f.writelines(json.dumps(r) + "\n" for r in rows)
-    # The file system keeps a checksum of what Spark wrote.
-    import os
-    from pathlib import Path
-    crc = Path(part).with_name(f".{Path(part).name}.crc")
-    if crc.exists():
-        os.unlink(crc)
-
-
 def test_rebuild_under_edited_policies(spark, reco, folder):
     scan(reco, folder, "t1", tags={"is_test": 1, "year": 1}, samples=0)
-    edit_policies(folder, {"jet_pt": "first:2", "track_d0": "drop"})
+    set_policies(spark, folder, {"jet_pt": "drop", "track_d0": "drop"})
+    stored = set_policies(spark, folder, {"jet_pt": "first:2"})
+    assert {r.name: r.policy for r in stored.columns}["jet_pt"] == "first:2"
+    with pytest.raises(ValueError, match="do not exist"):
+        set_policies(spark, folder, {"none": "drop"})
     flat = flat_from_scan(spark, folder, fill="nan", tags=["year=2"])
     frame = flat.frame()
     assert frame.columns == ["is_test", "year", "eventNumber", "jet_pt_0", "jet_pt_1", "met", "msvtx_eta"]
@@ -251,11 +267,40 @@ def test_scan_path_chooses_the_table_with_most_rows(spark, reco, folder, format)
     assert flat_from_scan(spark, f"{folder}/out").frame().count() == 40
 
 
-def test_scan_path_takes_the_largest_file(spark, folder):
+def test_no_table_is_dropped_by_its_name(spark, folder):
+    import shutil
+    spark.range(0, 10, 1, 1).write.parquet(f"{folder}/made/a")
+    spark.range(0, 1000, 1, 1).write.parquet(f"{folder}/made/b")
+    import os
+    os.makedirs(f"{folder}/in")
+    for table, name in (("a", "small"), ("b", "part-suppliers")):
+        [part] = glob.glob(f"{folder}/made/{table}/part-*")
+        shutil.copy(part, f"{folder}/in/{name}.parquet")
+    assert sorted(tables_in(spark, f"{folder}/in")) == ["part-suppliers", "small"]
+    assert scan_path(spark, f"{folder}/in", f"{folder}/out", samples=0).meta.n_events == 1000
+
+
+def test_tables_with_different_partitions(spark, folder):
+    rows = spark.range(60).selectExpr("id", "id % 3 as day", "id % 2 as shop")
+    rows.write.partitionBy("day").parquet(f"{folder}/in/days")
+    rows.limit(20).write.partitionBy("shop").parquet(f"{folder}/in/shops.parquet")
+    found = tables_in(spark, f"{folder}/in")
+    assert {n: df.count() for n, df in found.items()} == {"days": 60, "shops": 20}
+    assert tables_in(spark, f"{folder}/in/days") == {}
+
+
+def test_bytes_are_summed_per_table(spark, folder):
+    spark.range(0, 200000, 1, 20).selectExpr("id as many").write.parquet(f"{folder}/in/big")
+    spark.range(0, 30000, 1, 1).selectExpr("id as few").write.parquet(f"{folder}/in/small")
+    stored = scan_path(spark, f"{folder}/in", f"{folder}/out", by="bytes", samples=0)
+    assert (stored.meta.table, stored.meta.n_events) == ("big", 200000)
+
+
+def test_scan_path_takes_the_largest_table(spark, folder):
     spark.range(0, 2000, 1, 1).selectExpr("id as few").write.parquet(f"{folder}/in/a")
     spark.range(0, 9000, 1, 1).selectExpr("id as many").write.parquet(f"{folder}/in/b")
     stored = scan_path(spark, f"{folder}/in", f"{folder}/out", "largest", by="bytes", samples=0)
     assert [r.name for r in stored.columns] == ["many"] and stored.meta.n_events == 9000
-    assert "/in/b/part-" in stored.meta.source
+    assert stored.meta.table == "b"
     with pytest.raises(ValueError, match="rows or bytes"):
         scan_path(spark, f"{folder}/in", f"{folder}/out", by="age")
