@@ -66,7 +66,11 @@ def tokens_of(column: pa.Array, words: int) -> Iterator[tuple[int, int, np.ndarr
 
 # Step 1: shingles that no other document has
 
-SENT = "shard int, chunk long, ids binary, sizes binary, single binary, runs binary, several binary"
+#: A chunk goes to every range of hashes. Its ids and sizes go with one of them only, and what is
+#: counted with a range names the documents that have a hash there, so the rows stay as large in
+#: sum as the hashes however many ranges there are.
+SENT = ("shard int, chunk long, ids binary, sizes binary, single binary, owners binary, "
+        "runs binary, several binary")
 
 
 def _send(shards: int, words: int):
@@ -86,7 +90,7 @@ def _send(shards: int, words: int):
             at = np.flatnonzero(new)
             alone = np.diff(np.append(at, len(tokens))) == 1
             where = (tokens * U64(shards)) // U64(COUNTED) if len(tokens) else tokens
-            rows: list[list] = [[] for _ in range(7)]
+            rows: list[list] = [[] for _ in range(8)]
             chunk = part * (1 << 32) + number
             meta = (np.array(ids, "<i8").tobytes(), np.array(sizes, "<u4").tobytes())
             none = np.zeros(0, np.uint64)
@@ -98,15 +102,16 @@ def _send(shards: int, words: int):
                 else:
                     single, whose, several = none, none.astype(np.int64), none
                 by = np.argsort(whose, kind="stable")
+                owners, runs = np.unique(whose, return_counts=True)
                 first = shard == chunk % shards
                 if first or len(single) or len(several):
                     for cell, value in zip(rows, (
                             shard, chunk, meta[0] if first else None, meta[1] if first else None,
-                            pack48(single[by]),
-                            np.bincount(whose, minlength=len(ids)).astype("<u4").tobytes(),
+                            pack48(single[by]), owners.astype("<u4").tobytes(),
+                            runs.astype("<u4").tobytes(),
                             pack48(several))):
                         cell.append(value)
-            kinds = [pa.int32(), pa.int64()] + [pa.binary()] * 5
+            kinds = [pa.int32(), pa.int64()] + [pa.binary()] * 6
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds)],
                                               names=[n.split()[0] for n in SENT.split(", ")])
 
@@ -128,7 +133,7 @@ def _send(shards: int, words: int):
 
 
 def _lone(table: pa.Table) -> pa.Table:
-    """For one range of hashes: how many of each document's occur once in all."""
+    """For one range of hashes: the documents with hashes that occur once in all, and how many."""
     single = [unpack48(b.as_py()) for b in table.column("single")]
     several = [unpack48(b.as_py()) for b in table.column("several")]
     every = np.concatenate(single + several)
@@ -137,25 +142,27 @@ def _lone(table: pa.Table) -> pa.Table:
     same = ranked[1:] == ranked[:-1]
     lone = np.empty(len(every), dtype=bool)
     lone[order] = ~(np.append(False, same) | np.append(same, False))
-    counts, start = [], 0
-    for tokens, runs in zip(single, table.column("runs")):
+    owners, counts, start = [], [], 0
+    for tokens, whose, runs in zip(single, table.column("owners"), table.column("runs")):
         runs = np.frombuffer(runs.as_py(), "<u4").astype(np.int64)
         sums = np.append(0, np.cumsum(lone[start:start + len(tokens)]))
         ends = np.cumsum(runs)
-        counts.append((sums[ends] - sums[ends - runs]).astype("<u4").tobytes())
+        many = sums[ends] - sums[ends - runs]
+        owners.append(np.frombuffer(whose.as_py(), "<u4")[many > 0].tobytes())
+        counts.append(many[many > 0].astype("<u4").tobytes())
         start += len(tokens)
     return pa.table([table.column("chunk"), table.column("ids"), table.column("sizes"),
-                     pa.array(counts, pa.binary())], names=["chunk", "ids", "sizes", "lone"])
+                     pa.array(owners, pa.binary()), pa.array(counts, pa.binary())],
+                    names=["chunk", "ids", "sizes", "owners", "lone"])
 
 
 def _summed(table: pa.Table) -> pa.Table:
-    ids = sizes = None
-    lone = 0
-    for row in range(table.num_rows):
-        if table.column("ids")[row].is_valid:
-            ids = np.frombuffer(table.column("ids")[row].as_py(), "<i8")
-            sizes = np.frombuffer(table.column("sizes")[row].as_py(), "<u4")
-        lone = lone + np.frombuffer(table.column("lone")[row].as_py(), "<u4").astype(np.int64)
+    [first] = np.flatnonzero(table.column("ids").is_valid().to_numpy())
+    ids = np.frombuffer(table.column("ids")[first].as_py(), "<i8")
+    sizes = np.frombuffer(table.column("sizes")[first].as_py(), "<u4")
+    lone = np.zeros(len(ids), dtype=np.int64)
+    for owners, many in zip(table.column("owners"), table.column("lone")):
+        lone[np.frombuffer(owners.as_py(), "<u4")] += np.frombuffer(many.as_py(), "<u4")
     return pa.table({"doc_id": ids, "n_shingles": sizes.astype(np.int64), "lone": lone})
 
 
@@ -163,7 +170,8 @@ def set_sizes(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """doc_id, n_shingles and lone: counted shingles that occur in no other row."""
     shards = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (docs.mapInArrow(_send(shards, words), SENT)
-            .groupBy("shard").applyInArrow(_lone, "chunk long, ids binary, sizes binary, lone binary")
+            .groupBy("shard").applyInArrow(
+                _lone, "chunk long, ids binary, sizes binary, owners binary, lone binary")
             .groupBy("chunk").applyInArrow(_summed, "doc_id long, n_shingles long, lone long"))
 
 
