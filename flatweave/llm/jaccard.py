@@ -275,6 +275,24 @@ def tree_links(sets: list[np.ndarray], labels: list[int]) -> Iterator[tuple[int,
                 yield order[i], order[j]
 
 
+def least_links(links: list[tuple[int, int]]) -> pa.RecordBatch:
+    """Links (a, b) that connect the same ids, each of them with the least one it is connected to."""
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        low, high = sorted((find(a), find(b)))
+        parent[high] = low
+    found = [(x, find(x)) for x in parent]
+    return pa.RecordBatch.from_pydict({"a": pa.array([a for a, b in found if a != b], pa.int64()),
+                                       "b": pa.array([b for a, b in found if a != b], pa.int64())})
+
+
 def units(rows: DataFrame, exact: bool) -> DataFrame:
     """(bucket, left, right, id, label): what is compared together, of rows (bucket, id, label).
 
@@ -336,8 +354,7 @@ def shared_links(rows: DataFrame, sets: DataFrame) -> DataFrame:
                 for i, j in tree_links([tokens[k] for k in some], now):
                     parent[find(now[i])] = find(now[j])
                     found.append((ids[some[i]], ids[some[j]]))
-        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()),
-                         "b": pa.array([b for _, b in found], pa.int64())})
+        return pa.Table.from_batches([least_links(found)])
 
     right = bodies.select(*(F.col(c).alias(c) for c in ("part", "id", "tokens")))
     return rows.groupBy("part").cogroup(right.groupBy("part")).applyInArrow(compare, "a long, b long")
@@ -355,9 +372,7 @@ def bucket_links(rows: DataFrame, sets: DataFrame) -> DataFrame:
 
         def links() -> pa.RecordBatch:
             found = list(tree_links(sets, labels)) if len(sets) > 1 else []
-            return pa.RecordBatch.from_pydict({
-                "a": pa.array([ids[i] for i, _ in found], pa.int64()),
-                "b": pa.array([ids[j] for _, j in found], pa.int64())})
+            return least_links([(ids[i], ids[j]) for i, j in found])
 
         for batch in batches:
             cells = [batch.column(i).to_pylist() for i in range(5)]
@@ -457,6 +472,10 @@ def _labelled(reps: DataFrame, found: DataFrame) -> DataFrame:
             .withColumn("label", F.coalesce("component", "id")).drop("component"))
 
 
+def _edges(found: DataFrame) -> DataFrame:
+    return found.select(F.col("id").alias("a"), F.col("component").alias("b"))
+
+
 EXPLODED = "token long, id long, label long"
 
 
@@ -503,14 +522,12 @@ def linked_components(docs: DataFrame, words: int = WORDS) -> tuple[DataFrame, D
     keyed = reps.select("id", "tokens").mapInArrow(_least_tokens(ORDERS + 1),
                                                    f"id long, tokens binary, {fields}")
     keyed = stored(keyed.drop("tokens"))
-    links = stored(bucket_links(keyed.select(F.col("least0").alias("bucket"), "id",
-                                             F.col("id").alias("label")), reps))
-    found = stored(components(links))
+    found = stored(components(bucket_links(keyed.select(
+        F.col("least0").alias("bucket"), "id", F.col("id").alias("label")), reps)))
     for i in range(1, ORDERS + 1):
         some = (_labelled(keyed, found).groupBy("label", f"least{i}")
                 .agg(F.min("id").alias("id")).select(F.col(f"least{i}").alias("bucket"), "id", "label"))
-        links = links.unionByName(stored(bucket_links(some, reps)))
-        found = stored(components(links))
+        found = stored(components(bucket_links(some, reps).unionByName(_edges(found))))
 
     # Step 3. A token is closed if all sets that hold it are of one component.
     labels = stored(_labelled(reps.select("id", (F.octet_length("tokens") / 6).cast("long")
@@ -524,7 +541,7 @@ def linked_components(docs: DataFrame, words: int = WORDS) -> tuple[DataFrame, D
     prefix = _extent(some.mapInArrow(_exploded("prefix"), EXPLODED)).where("low <> high")
     meeting = stored(without_repeats(prefix.select(F.col("token").alias("bucket"), "id", "label")))
     last = shared_links(meeting, some)
-    every = links.unionByName(stored(last)).unionByName(equal)
+    every = last.unionByName(_edges(found)).unionByName(equal)
     return sizes.select("doc_id", "n_shingles"), components(every)
 
 
