@@ -45,16 +45,18 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Bytes go that an earlier text holds too; a text of which nothing is left goes whole."""
-    rows = docs.withColumn("_doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(substrings.NO_ID)))
-    runs = (substrings.repeated_runs(rows.select(F.col("_doc").alias("doc"), "text"))
-            .groupBy(F.col("doc").alias("_doc"))
+    doc, tie = substrings.keyed(F.col("doc_id"), F.col("text").cast("string"))
+    rows = docs.withColumn("_doc", doc).withColumn("_tie", tie)
+    runs = (substrings.repeated_runs(rows.select(F.col("_doc").alias("doc"),
+                                                 F.col("_tie").alias("tie"), "text"))
+            .groupBy(F.col("doc").alias("_doc"), F.col("tie").alias("_tie"))
             .agg(F.collect_set(F.struct("start", "windows")).alias("_runs")))
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series, found: pd.Series) -> pd.Series:
         return pd.Series([_cut(text, some) for text, some in zip(texts, found)], dtype=object)
 
-    joined = rows.join(runs, "_doc", "left")
+    joined = rows.join(runs, ["_doc", "_tie"], "left")
     joined = joined.withColumn("_cut", F.when(F.col("_runs").isNull(), F.col("text"))
                                .otherwise(cut("text", "_runs")))
     joined = joined.where("_runs is null or length(trim(_cut)) > 0")

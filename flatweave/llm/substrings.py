@@ -14,6 +14,9 @@ context is the bytes of all windows it stands for:
 
 Equality within a suffix array is that of the bytes. Elsewhere 48 bits of gram, 40 bits of
 context and 63 bits of window hash stand for them.
+
+A document is a distinct pair of id and text, known by (doc, tie): the id and 63 bits of the
+text's hash. Earlier is what comes first in this order; see `keyed`.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flatweave.llm.common import stored
@@ -94,9 +97,23 @@ def long_pieces(offsets: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
                 yield low, high, start, min(start + PIECE + LENGTH - 1, int(offsets[high]))
 
 
+#: Stands in for a null id; its ties are not negative, those of ids are, so null ids come last.
+NO_ID = (1 << 63) - 1
+
+
+def keyed(doc_id: Column, text: Column) -> tuple[Column, Column]:
+    """(doc, tie) of rows: one pair for each distinct id and text, in order of id, null ids last."""
+    tie = F.shiftrightunsigned(F.xxhash64(text), 1)
+    return (F.coalesce(doc_id.cast("long"), F.lit(NO_ID)),
+            F.when(doc_id.isNull(), tie).otherwise(-1 - tie))
+
+
+PLACES = "gram long, context long, doc long, tie long, place long"
+
+
 def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        data, offsets = bytes_of(batch.column(1))
+        data, offsets = bytes_of(batch.column(2))
         for low, high, start, stop in long_pieces(offsets):
             part = np.clip(offsets[low:high + 1], start, stop) - start
             gram, context, row, place = anchors(data[start:stop], part)
@@ -104,8 +121,9 @@ def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 place = place + (start - int(offsets[low]) << START)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(gram.astype(np.int64)), pa.array(context.astype(np.int64)),
-                 batch.column(0).take(pa.array(row + low)), pa.array(place)],
-                names=["gram", "context", "doc", "place"])
+                 batch.column(0).take(pa.array(row + low)),
+                 batch.column(1).take(pa.array(row + low)), pa.array(place)],
+                names=["gram", "context", "doc", "tie", "place"])
 
 
 #: What was decided of an anchor: all its windows repeat; its suffix array or window hashes tell.
@@ -113,30 +131,30 @@ REPEATED, SORTED, HASHED = 1, 2, 3
 
 
 def _decided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come in order of gram, context, doc, place. A gram's rows are held until it ends."""
+    """Rows come in order of gram, context, doc, tie, place. A gram's rows are held until it ends.
+
+    Equal places of one document are the same bytes, found twice; one of them goes on.
+    """
     held: list[np.ndarray] = []
     open_gram, hot = None, False  # of the gram that goes on: whether it is known to be large
 
     def judge(rows: np.ndarray, large: bool) -> pa.RecordBatch:
-        gram, context, doc, place = rows
+        gram, context, doc, tie, place = rows
         new_gram = np.append(True, gram[1:] != gram[:-1])
         new = new_gram | np.append(True, context[1:] != context[:-1])
         which = np.cumsum(new_gram) - 1
         contexts = np.bincount(which, weights=new).astype(np.int64)[which]
-        # Equal places of one document are the same bytes, found twice.
-        same = np.append(False, (doc[1:] == doc[:-1]) & (place[1:] >> START == place[:-1] >> START))
-        lead = new.copy()
-        for i in np.flatnonzero(same & ~new):  # copies of the first occurrence itself
-            lead[i] = lead[i - 1]
-        kind = np.where(~lead, REPEATED, np.where(large | (contexts > CONTEXTS), HASHED,
-                                                  np.where(contexts > 1, SORTED, 0)))
-        keep = np.flatnonzero(kind)
+        same = ~new & np.append(False, (doc[1:] == doc[:-1]) & (tie[1:] == tie[:-1])
+                                & (place[1:] >> START == place[:-1] >> START))
+        kind = np.where(~new, REPEATED, np.where(large | (contexts > CONTEXTS), HASHED,
+                                                 np.where(contexts > 1, SORTED, 0)))
+        keep = np.flatnonzero((kind > 0) & ~same)
         return pa.RecordBatch.from_arrays(
-            [pa.array(x[keep]) for x in (gram, doc, place, kind)],
-            names=["gram", "doc", "place", "kind"])
+            [pa.array(x[keep]) for x in (gram, doc, tie, place, kind)],
+            names=["gram", "doc", "tie", "place", "kind"])
 
     for batch in batches:
-        rows = np.stack([batch.column(i).to_numpy() for i in range(4)])
+        rows = np.stack([batch.column(i).to_numpy() for i in range(5)])
         if not rows.shape[1]:
             continue
         held.append(rows)
@@ -144,8 +162,7 @@ def _decided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if hot and rows[0, 0] == open_gram:
             # The last row judged stays in front, to tell whether the next context is new.
             end = int(np.searchsorted(rows[0], open_gram, side="right"))
-            out = judge(rows[:, :end], True)
-            yield out.slice(1) if out.num_rows and out.column(2)[0].as_py() == rows[2 + 1, 0] else out
+            yield judge(rows[:, :end], True).slice(1)
             if end == rows.shape[1]:
                 held = [rows[:, -1:]]
                 continue
@@ -163,39 +180,47 @@ def _decided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield judge(np.concatenate(held, axis=1), False)
 
 
-CONTEXT = "gram long, doc long, place long, kind int, body binary"
+CONTEXT = "gram long, doc long, tie long, place long, kind int, body binary"
 
 
 def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes of the contexts asked for: doc, text, lists of gram, place and kind."""
+    """The bytes of the contexts asked for: doc, tie, text, lists of gram, place and kind."""
     for batch in batches:
-        data, offsets = bytes_of(batch.column(1))
-        cells: list[list] = [[], [], [], [], []]
-        for row, (doc, asked) in enumerate(zip(batch.column(0).to_pylist(),
-                                               batch.column(2).to_pylist())):
+        data, offsets = bytes_of(batch.column(2))
+        cells: list[list] = [[], [], [], [], [], []]
+        for row, (doc, tie, asked) in enumerate(zip(*(batch.column(i).to_pylist()
+                                                      for i in (0, 1, 3)))):
             for one in asked:
                 start = int(offsets[row]) + (one["place"] >> START)
                 stop = start + (one["place"] >> COUNT & 255) + LENGTH - 1
-                for cell, value in zip(cells, (one["gram"], doc, one["place"], one["kind"],
+                for cell, value in zip(cells, (one["gram"], doc, tie, one["place"], one["kind"],
                                                data[start:stop].tobytes())):
                     cell.append(value)
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cells, kinds)],
                                          names=[n.split()[0] for n in CONTEXT.split(", ")])
 
 
-RUNS = "doc long, start long, windows long"
+RUNS = "doc long, tie long, start long, windows long"
 
 
-def runs_of(doc: np.ndarray, start: np.ndarray) -> pa.RecordBatch:
-    """Repeated windows as runs of successive starts."""
+def ranked(doc: np.ndarray, tie: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rank of each document in order of (doc, tie), and where the first of each rank is."""
+    order = np.lexsort((tie, doc))
+    d, t = doc[order], tie[order]
+    new = np.append(True, (d[1:] != d[:-1]) | (t[1:] != t[:-1]))[:len(d)]
+    rank = np.empty(len(d), dtype=np.int64)
+    rank[order] = np.cumsum(new) - 1
+    return rank, order[new]
+
+
+def runs_of(doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Repeated windows as runs of successive starts: doc, start, windows."""
     order = np.lexsort((start, doc))
     doc, start = doc[order], start[order]
     new = np.append(True, (doc[1:] != doc[:-1]) | (start[1:] != start[:-1] + 1))[:len(doc)]
     at = np.flatnonzero(new)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(doc[at]), pa.array(start[at]), pa.array(np.diff(np.append(at, len(doc))))],
-        names=["doc", "start", "windows"])
+    return doc[at], start[at], np.diff(np.append(at, len(doc)))
 
 
 def sorted_repeats(bodies: list[bytes], lane: np.ndarray, doc: np.ndarray,
@@ -239,10 +264,14 @@ def sorted_repeats(bodies: list[bytes], lane: np.ndarray, doc: np.ndarray,
 
 
 def _sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Contexts in order of gram: a lane a gram, a bounded number of lanes at a time."""
+    """Contexts in order of gram: a lane a gram, a bounded number of lanes at a time.
+
+    Repeated rows of a document bring the same contexts, of which one is taken.
+    """
     bodies: list[bytes] = []
     grams: list[int] = []
     docs: list[int] = []
+    ties: list[int] = []
     places: list[int] = []
     size = 0
 
@@ -251,31 +280,40 @@ def _sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if upto:
             gram = np.array(grams[:upto])
             lane = np.cumsum(np.append(False, gram[1:] != gram[:-1]))
-            doc, start = sorted_repeats(bodies[:upto], lane, np.array(docs[:upto]),
-                                        np.array(places[:upto]) >> START)
-            if len(doc):
-                yield runs_of(doc, start)
-            del bodies[:upto], grams[:upto], docs[:upto], places[:upto]
+            doc, tie = np.array(docs[:upto]), np.array(ties[:upto])
+            rank, first = ranked(doc, tie)
+            which, start = sorted_repeats(bodies[:upto], lane, rank,
+                                          np.array(places[:upto]) >> START)
+            if len(which):
+                which, start, windows = runs_of(which, start)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x) for x in (doc[first[which]], tie[first[which]], start, windows)],
+                    names=["doc", "tie", "start", "windows"])
+            del bodies[:upto], grams[:upto], docs[:upto], ties[:upto], places[:upto]
             size = sum(map(len, bodies))
 
     for batch in batches:
-        for gram, doc, place, body in zip(*(batch.column(i).to_pylist() for i in (0, 1, 2, 4))):
+        for gram, doc, tie, place, body in zip(*(batch.column(i).to_pylist()
+                                                 for i in (0, 1, 2, 3, 5))):
+            if grams and (gram, doc, tie, place) == (grams[-1], docs[-1], ties[-1], places[-1]):
+                continue
             if size > LANES and gram != grams[-1]:
                 yield from flush(len(grams))
             bodies.append(body)
             grams.append(gram)
             docs.append(doc)
+            ties.append(tie)
             places.append(place)
             size += len(body)
     yield from flush(len(grams))
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every window of the contexts, by hash: (window, doc, start)."""
+    """Every window of the contexts, by hash: (window, doc, tie, start)."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        bodies = batch.column(4).to_pylist()
+        bodies = batch.column(5).to_pylist()
         count = np.array([len(b) for b in bodies])
         data = np.frombuffer(b"".join(bodies), dtype=np.uint8)
         first = np.cumsum(count) - count
@@ -285,33 +323,37 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = first[which] + inside
         window = RangeHash(data)(at, at + LENGTH) >> U64(1)
         doc = batch.column(1).to_numpy()[which]
-        start = (batch.column(2).to_numpy() >> START)[which] + inside
+        tie = batch.column(2).to_numpy()[which]
+        start = (batch.column(3).to_numpy() >> START)[which] + inside
         yield pa.RecordBatch.from_arrays(
-            [pa.array(window.astype(np.int64)), pa.array(doc), pa.array(start)],
-            names=["window", "doc", "start"])
+            [pa.array(window.astype(np.int64)), pa.array(doc), pa.array(tie), pa.array(start)],
+            names=["window", "doc", "tie", "start"])
 
 
 def repeated_runs(docs: DataFrame) -> DataFrame:
-    """doc, start, windows: runs of windows of (doc, text) that also start earlier."""
-    found = (docs.mapInArrow(_anchored, "gram long, context long, doc long, place long")
-             .repartition("gram").sortWithinPartitions("gram", "context", "doc", "place"))
-    decided = stored(found.mapInArrow(_decided, "gram long, doc long, place long, kind long"))
-    asked = (decided.where(f"kind <> {REPEATED}").groupBy("doc")
+    """doc, tie, start, windows: runs of windows of (doc, tie, text) that also start earlier.
+
+    Rows that share doc and tie hold the same text (see `keyed`).
+    """
+    found = (docs.mapInArrow(_anchored, PLACES)
+             .repartition("gram").sortWithinPartitions("gram", "context", "doc", "tie", "place"))
+    decided = stored(found.mapInArrow(_decided, "gram long, doc long, tie long, place long, kind long"))
+    asked = (decided.where(f"kind <> {REPEATED}").groupBy("doc", "tie")
              .agg(F.collect_list(F.struct("gram", "place", F.col("kind").cast("int").alias("kind")))
                   .alias("asked")))
-    contexts = stored(docs.join(asked, "doc").select("doc", "text", "asked")
+    contexts = stored(docs.join(asked, ["doc", "tie"]).select("doc", "tie", "text", "asked")
                       .mapInArrow(_bodies, CONTEXT))
     by_suffix = (contexts.where(f"kind = {SORTED}").repartition("gram")
-                 .sortWithinPartitions("gram", "doc", "place").mapInArrow(_sorted, RUNS))
+                 .sortWithinPartitions("gram", "doc", "tie", "place").mapInArrow(_sorted, RUNS))
     windows = contexts.where(f"kind = {HASHED}").mapInArrow(
-        _windows, "window long, doc long, start long")
-    least = windows.groupBy("window").agg(F.min(F.struct("doc", "start")).alias("first"),
+        _windows, "window long, doc long, tie long, start long")
+    least = windows.groupBy("window").agg(F.min(F.struct("doc", "tie", "start")).alias("first"),
                                           F.count(F.lit(1)).alias("n")).where("n > 1")
     by_hash = (windows.join(least, "window")
-               .where("doc <> first.doc or start <> first.start")
-               .select("doc", "start", F.lit(1).cast("long").alias("windows")))
+               .where("doc <> first.doc or tie <> first.tie or start <> first.start")
+               .select("doc", "tie", "start", F.lit(1).cast("long").alias("windows")))
     whole = decided.where(f"kind = {REPEATED}").select(
-        "doc", F.shiftright("place", START).alias("start"),
+        "doc", "tie", F.shiftright("place", START).alias("start"),
         F.shiftright("place", COUNT).bitwiseAND(255).alias("windows"))
     return whole.unionByName(by_suffix).unionByName(by_hash)
 
@@ -325,19 +367,19 @@ def removed_bytes(size: int, start: np.ndarray, windows: np.ndarray) -> np.ndarr
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
-    """doc, n_bytes, n_removed, n_spans, kept (binary) for rows (doc, text).
+    """doc, tie, n_bytes, n_removed, n_spans, kept (binary) for rows (doc, tie, text).
 
-    A null text counts as empty. Rows with the same doc are taken as repeated rows of one text:
+    A null text counts as empty. Rows with the same doc and tie are repeated rows of one text:
     neither is earlier than the other. Texts shorter than LENGTH lose nothing.
     """
-    runs = (repeated_runs(docs).groupBy("doc")
+    runs = (repeated_runs(docs).groupBy("doc", "tie")
             .agg(F.collect_set(F.struct("start", "windows")).alias("runs")))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = bytes_of(batch.column(1))
+            data, offsets = bytes_of(batch.column(2))
             cells: list[list] = [[], [], [], []]
-            for row, found in enumerate(batch.column(2).to_pylist()):
+            for row, found in enumerate(batch.column(3).to_pylist()):
                 text = data[offsets[row]:offsets[row + 1]]
                 if found:
                     gone = removed_bytes(len(text), np.array([r["start"] for r in found]),
@@ -350,24 +392,22 @@ def without_repeats(docs: DataFrame) -> DataFrame:
                     cell.append(value)
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(c, k) for c, k in zip(cells, kinds))],
-                names=["doc", "n_bytes", "n_removed", "n_spans", "kept"])
-
-    return (docs.join(runs, "doc", "left").select("doc", "text", "runs")
-            .mapInArrow(cut, "doc long, n_bytes long, n_removed long, n_spans long, kept binary"))
+                [batch.column(0), batch.column(1), *(pa.array(c, k) for c, k in zip(cells, kinds))],
+                names=["doc", "tie", "n_bytes", "n_removed", "n_spans", "kept"])
 
-
-#: Rows without an id come after all others.
-NO_ID = (1 << 63) - 1
+    return (docs.join(runs, ["doc", "tie"], "left").select("doc", "tie", "text", "runs")
+            .mapInArrow(cut, "doc long, tie long, n_bytes long, n_removed long, n_spans long, kept binary"))
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """Contract of op6: doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row.
 
-    Rows without doc_id count as last, and as repeated rows of one text. Other columns are ignored; an empty table gives no rows.
+    Each distinct text of a doc_id is a document, in order of a hash of the text; so is each
+    distinct text without doc_id, after all others. Only rows equal in both are repeated rows.
+    Other columns are ignored; an empty table gives no rows.
     """
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"),
-                       F.col("text").cast("string").alias("text"))
-    done = without_repeats(rows)
-    return done.select(F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id"), "n_bytes",
+    text = F.col("text").cast("string")
+    doc, tie = keyed(F.col("doc_id"), text)
+    done = without_repeats(docs.select(doc.alias("doc"), tie.alias("tie"), text.alias("text")))
+    return done.select(F.when(F.col("tie") < 0, F.col("doc")).alias("doc_id"), "n_bytes",
                        "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

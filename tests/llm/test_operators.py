@@ -284,6 +284,27 @@ def test_repeats_against_brute_force(spark, docs, texts, nothing):
     assert substrings.deduplicated(nothing).count() == 0
 
 
+def test_texts_that_share_an_id_are_told_apart(spark):
+    rng = np.random.default_rng(8)
+
+    def noise(n):
+        return "".join(map(chr, rng.integers(97, 123, n)))
+
+    first, clean, other, short = noise(400), noise(400), noise(300), noise(40)
+    rows = [(1, first), (None, first), (None, clean), (None, short), (None, clean), (2, clean[:150] + other),
+            (2, first[50:250]), ((1 << 63) - 1, other + first[:120])]
+    got = Counter((r.doc_id, r.n_bytes, r.n_removed) for r in substrings.deduplicated(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == Counter([(1, 400, 0), (None, 400, 400), (None, 400, 150), (None, 40, 0), (None, 400, 150),
+                           (2, 450, 0), (2, 200, 200), ((1 << 63) - 1, 420, 420)])
+    # More contexts than one array takes, of rows that all lack an id.
+    passage = noise(300)
+    texts = [noise(150) + passage + noise(150) for _ in range(45)]
+    many = spark.createDataFrame([(None, t) for t in texts for _ in range(3)], "doc_id long, text string")
+    removed = Counter(r.n_removed >= 300 for r in substrings.deduplicated(many).collect())
+    assert removed == {True: 132, False: 3}
+
+
 def test_many_contexts_go_by_window_hash(spark, monkeypatch):
     rng = np.random.default_rng(2)
     passage = "".join(map(chr, rng.integers(97, 123, 300)))

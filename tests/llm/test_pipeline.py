@@ -31,6 +31,16 @@ def test_stages(spark):
         assert stage(spark, docs.where("false"), "").count() == 0
 
 
+def test_repeats_are_cut_only_where_they_are(spark):
+    first = " ".join(f"word{i} of tongue{i % 7}" for i in range(40))
+    clean = " ".join(f"plain{i} text{i * 7 % 11}" for i in range(40))
+    rows = [(1, first), (None, first), (None, clean), (1, clean[:130])]
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], COLUMNS)
+    out = corpus_pipeline.cut_repeats(spark, docs, "").collect()
+    assert sorted(((r.doc_id or 0), r.text) for r in out) == [
+        (0, clean[130:]), (1, first), (1, clean[:130])]
+
+
 def test_near_copies_and_repeats_are_gone_after_run(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:3]:
