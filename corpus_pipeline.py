@@ -31,16 +31,24 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies, and of repeated rows, the one with the smallest id stays.
+    """Of each group of near copies the one with the smallest id stays, and of repeated rows one.
 
-    Rows without an id cannot be compared by it and stay.
+    A document is a distinct pair of id and text. Those without an id come last; among equals
+    a hash of id and text decides. Rows are repeated if they are equal in id and text.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       F.col("text").cast("string").alias("text")).where("doc_id is not null")
+    text = F.col("text").cast("string")
+    doc_id = F.col("doc_id").cast("long")
+    keyed = docs.withColumn("_key", jaccard.document_key(doc_id, text))
+    rows = keyed.select(F.col("_key").alias("key"), doc_id.alias("doc_id"), text.alias("text"))
     _, found = jaccard.linked_components(rows)
-    gone = found.where("id <> component").select(F.col("id").alias("_gone"))
-    kept = docs.where("doc_id is not null").join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
-    return kept.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
+    placed = found.join(rows.select("key", "doc_id").distinct(), "key")
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
+    first = placed.groupBy("component").agg(F.min(rank).alias("first"))
+    gone = (placed.join(first, "component").where("key <> first.key")
+            .select(F.col("key").alias("_gone")))
+    kept = keyed.join(gone, F.col("_key") == F.col("_gone"), "left_anti")
+    return (kept.groupBy("_key").agg(F.min(F.struct(*docs.columns)).alias("_row"))
+            .select("_row.*"))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

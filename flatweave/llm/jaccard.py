@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flatweave.llm.common import components, stored
@@ -499,23 +499,31 @@ def _not_closed(sets: DataFrame, labels: DataFrame, every: bool) -> DataFrame:
                   .select("id", "n", "label"))
 
 
-def linked_components(docs: DataFrame, words: int = WORDS) -> tuple[DataFrame, DataFrame]:
-    """For rows (doc_id, text): (doc_id, n_shingles) of every row, and (id, component) of ids.
+def document_key(doc_id: Column, text: Column) -> Column:
+    """64 bits that stand for a distinct pair of id and text; the id may be null."""
+    return F.xxhash64(doc_id, text)
 
-    Ids without a link may be missing in the second frame. doc_id must not be null; rows that
-    share one are one document, linked by any of its texts.
+
+def linked_components(docs: DataFrame, words: int = WORDS,
+                      by_id: bool = False) -> tuple[DataFrame, DataFrame]:
+    """For rows (key, doc_id, text): (key, n_shingles) of every row, and (key, component) of keys.
+
+    Keys without a link may be missing in the second frame; components are numbers of their own.
+    Rows that share a key are repeated rows (see `document_key`). By id, the keys of one doc_id
+    are linked too.
     """
-    sizes = stored(set_sizes(docs, words))
+    texts = docs.select("key", "text")
+    sizes = stored(set_sizes(texts, words).withColumnRenamed("doc_id", "key"))
     open_ = (sizes.where(f"n_shingles > 0 and lone * {DENOMINATOR} "
-                         f"<= n_shingles * {DENOMINATOR - NUMERATOR}").select("doc_id").distinct())
-    sets = stored(docs.join(open_, "doc_id", "left_semi").select("doc_id", "text")
+                         f"<= n_shingles * {DENOMINATOR - NUMERATOR}").select("key").distinct())
+    sets = stored(texts.join(open_, "key", "left_semi").select("key", "text")
                   .mapInArrow(_sets(words), "id long, key0 long, key1 long, tokens binary"))
-    reps = stored(sets.groupBy("key0", "key1").agg(F.min("id").alias("id"),
-                                                   F.min_by("tokens", "id").alias("tokens"))
-                  .select("id", "key0", "key1", "tokens"))
-    equal = sets.select("key0", "key1", F.col("id").alias("a")).join(
-        reps.select("key0", "key1", F.col("id").alias("b")), ["key0", "key1"]).where(
-        "a <> b").select("a", "b")
+    # From here on an id is the number of a distinct set.
+    reps = stored(sets.groupBy("key0", "key1").agg(F.first("tokens").alias("tokens"))
+                  .select(F.monotonically_increasing_id().alias("id"), "key0", "key1", "tokens"))
+    members = stored(sets.select("key0", "key1", F.col("id").alias("key"))
+                     .join(reps.select("key0", "key1", "id"), ["key0", "key1"])
+                     .select("key", "id").distinct())
 
     # Step 2. Labels are those of the representatives' components so far.
     fields = ", ".join(f"least{i} long" for i in range(ORDERS + 1))
@@ -540,9 +548,15 @@ def linked_components(docs: DataFrame, words: int = WORDS) -> tuple[DataFrame, D
     some = stored(reps.join(rest.select("id", "label"), "id").select("id", "tokens", "label"))
     prefix = _extent(some.mapInArrow(_exploded("prefix"), EXPLODED)).where("low <> high")
     meeting = stored(without_repeats(prefix.select(F.col("token").alias("bucket"), "id", "label")))
-    last = shared_links(meeting, some)
-    every = last.unionByName(_edges(found)).unionByName(equal)
-    return sizes.select("doc_id", "n_shingles"), components(every)
+    every = shared_links(meeting, some).unionByName(_edges(found))
+    if by_id:
+        named = docs.where("doc_id is not null").select("key", "doc_id").distinct().join(members, "key")
+        least = named.groupBy("doc_id").agg(F.min("id").alias("b"), F.max("id").alias("_most"))
+        every = every.unionByName(named.join(least.where("b <> _most"), "doc_id")
+                                  .where("id <> b").select(F.col("id").alias("a"), "b"))
+    joined = (members.join(components(every), "id", "left")
+              .select("key", F.coalesce("component", "id").alias("component")))
+    return sizes.select("key", "n_shingles"), stored(joined)
 
 
 def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
@@ -550,18 +564,28 @@ def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
     Words are runs of other than white space, A-Z lower-cased. With fewer words than a shingle
     has, the whole sequence is the one shingle; without words, and where the text is null, the
-    set is empty and links with nothing. Rows without doc_id get their n_shingles and no
-    component. Repeated rows give repeated results. Other columns are ignored; an empty table
-    gives no rows.
+    set is empty and links with nothing. Rows that share a doc_id are one document, linked by any
+    of its texts. Each text without doc_id is a document of its own and links as others do; its
+    component is null if no row there has an id. Repeated rows give repeated results. Other
+    columns are ignored; an empty table gives no rows.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.col("text").cast("string").alias("text"))
-    sizes, found = linked_components(rows.where("doc_id is not null"), words)
-    lost = rows.where("doc_id is null").mapInArrow(
-        lambda batches: (pa.RecordBatch.from_pydict(
-            {"n_shingles": pa.array([n for _, n, _ in tokens_of(b.column(1), words)], pa.int64())})
-            for b in batches), "n_shingles long")
-    null = F.lit(None).cast("long")
-    return (sizes.join(found, F.col("doc_id") == F.col("id"), "left")
-            .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
-            .unionByName(lost.select(null.alias("doc_id"), "n_shingles", null.alias("component_id"))))
+    rows = rows.select(document_key(F.col("doc_id"), F.col("text")).alias("key"), "doc_id", "text")
+    sizes, found = linked_components(rows, words, by_id=True)
+    names = rows.select("key", "doc_id").distinct()
+    placed = stored(names.join(found, "key", "left"))
+    # All sets of an id are of one component; those of its texts that cannot link have none.
+    of_id = (placed.where("doc_id is not null and component is not null")
+             .groupBy("doc_id").agg(F.min("component").alias("component")))
+    least = of_id.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    of_id = of_id.join(least, "component").select("doc_id", "component_id")
+    named = placed.where("doc_id is not null").select("key", "doc_id").join(of_id, "doc_id", "left")
+    lost = placed.where("doc_id is null")
+    alone = lost.where("component is null").select(
+        "key", "doc_id", F.lit(None).cast("long").alias("component_id"))
+    lost = (lost.where("component is not null").join(least, "component", "left")
+            .select("key", "doc_id", "component_id"))
+    every = named.select("key", "doc_id", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return (sizes.join(every.unionByName(lost).unionByName(alone), "key")
+            .select("doc_id", "n_shingles", "component_id"))

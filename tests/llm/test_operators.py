@@ -395,6 +395,23 @@ def test_jaccard_against_brute_force(spark, docs, texts, nothing):
     assert jaccard.jaccard_components(nothing).count() == 0
 
 
+def test_jaccard_of_shared_and_missing_ids(spark):
+    def text(word):
+        return " ".join(f"{word}{i}" for i in range(60))
+
+    def near(word):
+        return text(word).replace(f"{word}30", "other")
+
+    # Id 6 is linked by both of its texts, id 9 by its first; rows without an id by their own.
+    rows = [(4, text("a")), (6, near("a")), (6, text("b")), (8, near("b")), (None, text("b")),
+            (None, text("c")), (None, near("c")), (9, text("d")), (9, text("e")), (3, near("d")),
+            (5, "one"), (5, "two"), (None, None)]
+    got = Counter((r.doc_id, r.component_id) for r in jaccard.jaccard_components(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == Counter({(4, 4): 1, (6, 4): 2, (8, 4): 1, (None, 4): 1, (None, None): 3, (9, 3): 2,
+                           (3, 3): 1, (5, 5): 2})
+
+
 def test_tree_links_what_brute_force_links():
     rng = np.random.default_rng(4)
     base = [np.unique(rng.integers(0, 1 << 48, 60).astype(np.uint64)) for _ in range(12)]

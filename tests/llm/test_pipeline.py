@@ -31,6 +31,26 @@ def test_stages(spark):
         assert stage(spark, docs.where("false"), "").count() == 0
 
 
+def test_near_copies_are_found_without_ids(spark):
+    def text(word):
+        return " ".join(f"{word}{i} of {word}{i % 7}" for i in range(60))
+
+    def near(word):
+        return text(word).replace(f"{word}30", "other")
+
+    a, b, c, d = map(text, ("a", "b", "c", "d"))
+    rows = [(5, a), (3, near("a")), (None, a), (None, b), (None, near("b")), (None, c), (None, c),
+            (7, c), (8, d), (8, near("d")), (8, "short"), (8, "short"), (9, "short"), (None, None),
+            (None, None), (None, "1 2")]
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t or "")) for i, t in rows], COLUMNS)
+    out = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()]
+    assert sum(r in ((None, b), (None, near("b"))) for r in out) == 1
+    assert sum(r in ((8, d), (8, near("d"))) for r in out) == 1
+    assert {r for r in out if r[1] not in (b, near("b"), d, near("d"))} == {
+        (3, near("a")), (7, c), (8, "short"), (None, None), (None, "1 2")}
+    assert len(out) == 7
+
+
 def test_repeats_are_cut_only_where_they_are(spark):
     first = " ".join(f"word{i} of tongue{i % 7}" for i in range(40))
     clean = " ".join(f"plain{i} text{i * 7 % 11}" for i in range(40))
@@ -38,7 +58,7 @@ def test_repeats_are_cut_only_where_they_are(spark):
     docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], COLUMNS)
     out = corpus_pipeline.cut_repeats(spark, docs, "").collect()
     assert sorted(((r.doc_id or 0), r.text) for r in out) == [
-        (0, clean[130:]), (1, first), (1, clean[:130])]
+        (0, clean[130:]), (1, clean[:130]), (1, first)]
 
 
 def test_near_copies_and_repeats_are_gone_after_run(spark):
