@@ -23,8 +23,13 @@ FRACTION = 0.8
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents go that have no letter, or whose profile is near that of no language."""
+    """Documents go that have no letter, or whose profile is near that of no language.
+
+    If no row has a language to learn, only those without a letter go.
+    """
     profiles = language.learn_profiles(docs)
+    if not profiles:
+        return docs.where(F.col("text").cast("string").rlike(r"\p{L}"))
     marked = language.identify(docs, profiles, lang_pred="_lang_pred", score="_score")
     return marked.where((F.col("_lang_pred") != language.UNKNOWN)
                         & (F.col("_score") >= LEAST_SCORE)).select(docs.columns)

@@ -31,6 +31,13 @@ def test_stages(spark):
         assert stage(spark, docs.where("false"), "").count() == 0
 
 
+def test_languages_that_cannot_be_learned_are_kept(spark):
+    texts = ["plain words", "Ünïcode", "12 34 ...", "", None, "слово", "1a"]
+    docs = spark.createDataFrame([(i, t, None, "a", 0) for i, t in enumerate(texts)], COLUMNS)
+    out = corpus_pipeline.keep_languages(spark, docs, "")
+    assert out.columns == docs.columns and sorted(r.doc_id for r in out.collect()) == [0, 1, 5, 6]
+
+
 def test_near_copies_are_found_without_ids(spark):
     def text(word):
         return " ".join(f"{word}{i} of {word}{i % 7}" for i in range(60))
