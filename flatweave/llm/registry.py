@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flatweave.llm import (ann, chat, jaccard, kneser, language, mixing, neardup, packing, sharding,
+from flatweave.llm import (ann, chat, fim, jaccard, kneser, language, mixing, neardup, packing, sharding,
                            substrings)
 from flatweave.llm.common import table
 
@@ -53,11 +53,15 @@ def op10_signature_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op11_block_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_language_id, op2_cross_polytope, op3_chat_snapshots,
                                     op4_kneser_ney, op5_mixing, op6_suffix_groups, op7_kd_shards, op8_pca_tiles, op9_packing,
-                                    op10_signature_trees)}
+                                    op10_signature_trees, op11_block_rotation)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat_snapshots": chat.RENDERED_SQL}
+    return {"op3_chat_snapshots": chat.RENDERED_SQL, "op11_block_rotation": fim.DIGESTS_SQL}
