@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flatweave.llm import (ann, chat, fim, jaccard, kneser, language, mixing, neardup, packing, sharding,
+from flatweave.llm import (ann, chat, fim, jaccard, kneser, language, leaks, mixing, neardup, packing, sharding,
                            substrings)
 from flatweave.llm.common import table
 
@@ -57,11 +57,16 @@ def op11_block_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.digests(table(spark, sf_dir, "documents"))
 
 
+def op13_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_language_id, op2_cross_polytope, op3_chat_snapshots,
                                     op4_kneser_ney, op5_mixing, op6_suffix_groups, op7_kd_shards, op8_pca_tiles, op9_packing,
-                                    op10_signature_trees, op11_block_rotation)}
+                                    op10_signature_trees, op11_block_rotation, op13_benchmark_leaks)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat_snapshots": chat.RENDERED_SQL, "op11_block_rotation": fim.DIGESTS_SQL}
+    return {"op3_chat_snapshots": chat.RENDERED_SQL, "op11_block_rotation": fim.DIGESTS_SQL,
+            "op13_benchmark_leaks": leaks.CONTAMINATION_SQL}
