@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from flatweave.llm import (ann, chat, fim, jaccard, kneser, language, leaks, mixing, neardup, packing, sharding,
-                           substrings)
+                           substrings, trie)
 from flatweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,10 @@ def op11_block_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.digests(table(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -64,9 +68,11 @@ def op13_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_language_id, op2_cross_polytope, op3_chat_snapshots,
                                     op4_kneser_ney, op5_mixing, op6_suffix_groups, op7_kd_shards, op8_pca_tiles, op9_packing,
-                                    op10_signature_trees, op11_block_rotation, op13_benchmark_leaks)}
+                                    op10_signature_trees, op11_block_rotation, op12_prefix_trie,
+                                    op13_benchmark_leaks)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op3_chat_snapshots": chat.RENDERED_SQL, "op11_block_rotation": fim.DIGESTS_SQL,
+            "op12_prefix_trie": trie.PREFIX_TRIE_SQL,
             "op13_benchmark_leaks": leaks.CONTAMINATION_SQL}
