@@ -21,10 +21,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from flatweave.llm.bloom import bloom_filter, holds
 from flatweave.llm.common import components, stored
 from flatweave.llm.text import U64, mix, shingle_sets
 
@@ -427,9 +428,13 @@ def _least_tokens(orders: int):
     return least
 
 
-def _sets(words: int):
+def _sets(words: int, wanted: Broadcast | None):
+    """(key, two hashes of the set, its tokens) of the texts whose key the filter may hold."""
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if wanted is not None:
+                keys = batch.column(0).to_numpy(zero_copy_only=False)
+                batch = batch.filter(pa.array(holds(wanted.value, keys)))
             where, bodies, keys = [], [], []
             for row, _, tokens in tokens_of(batch.column(1), words):
                 if len(tokens):
@@ -516,8 +521,12 @@ def linked_components(docs: DataFrame, words: int = WORDS,
     sizes = stored(set_sizes(texts, words).withColumnRenamed("doc_id", "key"))
     open_ = (sizes.where(f"n_shingles > 0 and lone * {DENOMINATOR} "
                          f"<= n_shingles * {DENOMINATOR - NUMERATOR}").select("key").distinct())
-    sets = stored(texts.join(open_, "key", "left_semi").select("key", "text")
-                  .mapInArrow(_sets(words), "id long, key0 long, key1 long, tokens binary"))
+    # A filter of bounded size spares the texts a shuffle. What it lets pass by chance links with
+    # nothing. Beyond its bound the open keys are joined.
+    wanted = bloom_filter(open_)
+    if wanted is None:
+        texts = texts.join(open_, "key", "left_semi").select("key", "text")
+    sets = stored(texts.mapInArrow(_sets(words, wanted), "id long, key0 long, key1 long, tokens binary"))
     # From here on an id is the number of a distinct set.
     reps = stored(sets.groupBy("key0", "key1").agg(F.first("tokens").alias("tokens"))
                   .select(F.monotonically_increasing_id().alias("id"), "key0", "key1", "tokens"))

@@ -50,14 +50,14 @@ def hashed_turns(turns: DataFrame) -> DataFrame:
     rows = turns.select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
         *(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("role", "text")))
-    rows = rows.where("conv_id is not null").withColumn("_one", F.lit(1)).withColumn(
-        "_bucket", F.coalesce(F.floor(F.col("turn") / TURNS_PER_BUCKET), F.lit(-1 << 62)))
+    # Texts are hashed first, so that only the one shuffle that orders the turns carries them.
+    rows = rows.where("conv_id is not null").withColumns({
+        "_one": F.lit(1), "t0": F.xxhash64(F.lit("a"), "role", "text"),
+        "t1": F.xxhash64(F.lit("b"), "role", "text"), "chars": F.length("text").cast("long"),
+        "_bucket": F.coalesce(F.floor(F.col("turn") / TURNS_PER_BUCKET), F.lit(-1 << 62))})
     order = [F.col("turn").asc_nulls_first(), F.col("role"), F.col("text")]
     rows = running_totals(rows, ["conv_id"], "_bucket", order, "_one", "position")
-    return rows.select("conv_id", F.col("position").cast("long").alias("position"),
-                       F.xxhash64(F.lit("a"), "role", "text").alias("t0"),
-                       F.xxhash64(F.lit("b"), "role", "text").alias("t1"),
-                       F.length("text").cast("long").alias("chars"))
+    return rows.select("conv_id", F.col("position").cast("long").alias("position"), "t0", "t1", "chars")
 
 
 def with_heads(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
