@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
 
 import pyarrow as pa
@@ -26,6 +27,18 @@ def stored(frame: DataFrame) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def bucketed(frame: DataFrame, key: str, buckets: int) -> DataFrame:
+    """Write to the shared folder in buckets of one key and read back.
+
+    Joins and groups by the key shuffle only the other side. The table has a name of its own in
+    the session's catalog.
+    """
+    spark, path = frame.sparkSession, shared_folder(frame.sparkSession)
+    name = f"flatweave_{uuid.uuid4().hex}"
+    frame.write.bucketBy(buckets, key).option("path", path).format("parquet").saveAsTable(name)
+    return spark.table(name)
+
+
 def column(frame: DataFrame, name: str) -> Column:
     """A column by its exact name, also if the name holds dots or backticks."""
     return frame["`" + name.replace("`", "``") + "`"]

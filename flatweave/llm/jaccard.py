@@ -8,7 +8,7 @@ threshold. Four steps keep the work near the real links, and none of them loses
 2. Of the rest, equal sets become one. Documents that share their least shingle meet in a
    bucket, and so do, by other hash orders, representatives of the components found so far.
 3. As step 1, for shingles that lie within one component: what cannot link outside is done.
-4. What remains meets in buckets of prefix shingles, which every linked pair must share.
+4. What remains meets in buckets of its rarest shingles, of which every linked pair shares one.
 
 In a bucket a signature tree holds OR-ed bitmaps and size ranges; two nodes are traversed
 together only while the largest overlap their bitmaps allow can still reach the threshold.
@@ -26,8 +26,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flatweave.llm.bloom import bloom_filter, holds
-from flatweave.llm.common import components, stored
-from flatweave.llm.text import U64, mix, shingle_sets
+from flatweave.llm.common import bucketed, components, stored
+from flatweave.llm.text import U64, bytes_of, mix, shingle_sets, slices
 
 WORDS = 5
 #: The threshold as a fraction: 100 * intersection >= 75 * union.
@@ -39,6 +39,14 @@ HELD = 1 << 21
 BLOCK = 1024
 #: Bytes of sets that a part of the last step is planned for.
 PART_BYTES = 2 << 20
+#: Digests of sets that a task remembers as sent, and pairs that it remembers as not linked.
+SETS_KNOWN = 1 << 18
+PAIRS_KNOWN = 1 << 20
+#: Bytes of sets in a bucket of their table.
+TABLE_BYTES = 8 << 20
+#: A token in so large a share of a task's sets, and in so many, is common; and the most of them.
+COMMON_SHARE, COMMON_LEAST = 0.01, 64
+MOST_COMMON = 200_000
 #: Bits of a signature, and children of a tree node.
 BITS = 2048
 FANOUT = 16
@@ -50,7 +58,7 @@ def pack48(tokens: np.ndarray) -> bytes:
     return tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
 
 
-def unpack48(body: bytes) -> np.ndarray:
+def unpack48(body: bytes | np.ndarray) -> np.ndarray:
     out = np.zeros((len(body) // 6, 8), dtype=np.uint8)
     out[:, :6] = np.frombuffer(body, dtype=np.uint8).reshape(-1, 6)
     return out.view("<u8").ravel().astype(np.uint64)
@@ -184,15 +192,24 @@ def bitmap(tokens: np.ndarray) -> np.ndarray:
     return np.packbits(bits).view(np.uint64)
 
 
+class Signatures:
+    """Of some sets the bitmaps, sizes, and tokens beyond the first on a bit.
+
+    An overlap can exceed the common bits by as many as either set has of the last.
+    """
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sizes = np.array([len(s) for s in sets], dtype=np.int64)
+        self.maps = np.stack([bitmap(s) for s in sets]) if sets else np.zeros((0, BITS // 64), np.uint64)
+        self.spare = self.sizes - np.bitwise_count(self.maps).sum(axis=1).astype(np.int64)
+
+
 class Tree:
     """Levels of nodes over sets in order of size; level 0 are the sets themselves."""
 
-    def __init__(self, sets: list[np.ndarray]):
-        sizes = np.array([len(s) for s in sets])
-        maps = np.stack([bitmap(s) for s in sets])
-        # Tokens beyond the first on a bit: an overlap can exceed the common bits by these.
-        spare = sizes - np.bitwise_count(maps).sum(axis=1).astype(np.int64)
-        self.levels = [(maps, sizes, sizes, spare)]
+    def __init__(self, marks: Signatures, which: np.ndarray):
+        sizes = marks.sizes[which]
+        self.levels = [(marks.maps[which], sizes, sizes, marks.spare[which])]
         while len(self.levels[-1][0]) > 1:
             maps, low, high, spare = self.levels[-1]
             at = np.arange(0, len(maps), FANOUT)
@@ -239,14 +256,18 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return both * DENOMINATOR >= NUMERATOR * (len(a) + len(b) - both)
 
 
-def tree_links(sets: list[np.ndarray], labels: list[int]) -> Iterator[tuple[int, int]]:
-    """Links (i, j) that connect whatever the threshold connects; equal labels are connected."""
-    if len(sets) == 2:  # a tree of one leaf
-        if labels[0] != labels[1] and similar(*sets):
-            yield 0, 1
-        return
-    order = sorted(range(len(sets)), key=lambda k: len(sets[k]))
-    sets, first = [sets[k] for k in order], {}
+def tree_links(sets: list[np.ndarray], labels: list[int], marks: Signatures | None = None,
+               which: list[int] | None = None, apart: set | None = None) -> Iterator[tuple[int, int]]:
+    """Links (i, j) that connect whatever the threshold connects; equal labels are connected.
+
+    If the sets meet several times, marks are the signatures of all that may meet, which are the
+    places of these among them, and apart collects the pairs of places that do not link.
+    """
+    marks = marks or Signatures(sets)
+    places = np.arange(len(sets)) if which is None else np.array(which)
+    apart = set() if apart is None else apart
+    order = np.argsort(marks.sizes[places], kind="stable")
+    sets, places, first = [sets[k] for k in order], places[order], {}
     parent = list(range(len(sets)))
     for at, k in enumerate(order):
         parent[at] = first.setdefault(labels[k], at)
@@ -259,7 +280,7 @@ def tree_links(sets: list[np.ndarray], labels: list[int]) -> Iterator[tuple[int,
 
     if len(first) < 2:
         return
-    tree = Tree(sets)
+    tree = Tree(marks, places)
     for p, q in tree.leaf_pairs():
         a = np.arange(p * FANOUT, min((p + 1) * FANOUT, len(sets)))
         b = np.arange(q * FANOUT, min((q + 1) * FANOUT, len(sets)))
@@ -271,9 +292,14 @@ def tree_links(sets: list[np.ndarray], labels: list[int]) -> Iterator[tuple[int,
         x, y = x[keep], y[keep]
         keep = tree.open(0, x, y)
         for i, j in zip(x[keep].tolist(), y[keep].tolist()):
-            if find(i) != find(j) and similar(sets[i], sets[j]):
+            pair = (int(places[i]), int(places[j]))
+            if pair in apart or find(i) == find(j):
+                continue
+            if similar(sets[i], sets[j]):
                 parent[find(i)] = find(j)
-                yield order[i], order[j]
+                yield int(order[i]), int(order[j])
+            else:
+                apart.add(pair)
 
 
 def least_links(links: list[tuple[int, int]]) -> pa.RecordBatch:
@@ -295,37 +321,44 @@ def least_links(links: list[tuple[int, int]]) -> pa.RecordBatch:
 
 
 def units(rows: DataFrame, exact: bool) -> DataFrame:
-    """(bucket, left, right, id, label): what is compared together, of rows (bucket, id, label).
+    """(bucket, left, right, id, label, blocks, least): what is compared together, of rows (bucket, id, label).
+
+    blocks is the number of a bucket's blocks, least its least id.
 
     Buckets of one component are left out. A bucket of more than a block is compared block by
     block: exact, all pairs of blocks; else each block by itself, which may leave links to later
     steps.
     """
     blocks = (rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("low"),
-                                         F.max("label").alias("high"))
+                                         F.max("label").alias("high"), F.min("id").alias("least"))
               .where("n > 1 and low <> high").drop("low", "high"))
     count = F.ceil(F.col("n") / BLOCK).cast("int")
-    rows = (rows.join(blocks, "bucket").withColumn("_of", count)
-            .withColumn("_own", F.pmod(F.xxhash64("id"), F.col("_of")).cast("int")))
+    rows = (rows.join(blocks, "bucket").withColumn("blocks", count)
+            .withColumn("_own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")))
     if exact:
-        rows = (rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_of") - 1)))
+        rows = (rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
                 .withColumn("left", F.least("_own", "_other"))
                 .withColumn("right", F.greatest("_own", "_other")))
     else:
         rows = rows.withColumn("left", F.col("_own")).withColumn("right", F.col("_own"))
-    return rows.select("bucket", "left", "right", "id", "label")
+    return rows.select("bucket", "left", "right", "id", "label", "blocks", "least")
 
 
-def shared_links(rows: DataFrame, sets: DataFrame) -> DataFrame:
-    """All links (a, b) among rows (bucket, id, label) that share a bucket; sets are (id, tokens).
+def shared_links(rows: DataFrame, sets: DataFrame, sizes: DataFrame) -> DataFrame:
+    """All links (a, b) among rows (bucket, id, label) that share a bucket.
 
-    Documents that meet at all tend to meet in many buckets. So buckets are dealt to as many
-    parts as the sets need, and a part gets each set once and knows what it has connected.
+    sets are (id, tokens), sizes (id, n). Documents that meet at all tend to meet in many buckets.
+    So buckets are dealt to as many parts as the sets need, those of one least document to one
+    part, and a part gets each set once and knows what it has connected. A bucket of several blocks
+    is dealt out by pairs of blocks.
     """
-    held = sets.agg(F.coalesce(F.sum(F.octet_length("tokens")), F.lit(0))).first()[0]
+    met = rows.select("id").distinct()
+    held = 6 * (sizes.join(met, "id").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
     parts = max(1, -(-int(held) // PART_BYTES))
-    rows = stored(units(rows, exact=True).withColumn(
-        "part", F.pmod(F.xxhash64("bucket", "left", "right"), F.lit(parts)).cast("int")))
+    rows = units(rows, exact=True)
+    rows = stored(rows.withColumn("part", F.pmod(F.when(F.col("blocks") == 1, F.xxhash64("least"))
+                                                 .otherwise(F.xxhash64("bucket", "left", "right")),
+                                                 F.lit(parts)).cast("int")))
     bodies = (rows.select("part", F.col("id").alias("_id")).distinct()
               .join(sets.select("id", "tokens"), F.col("_id") == F.col("id"))
               .select("part", "id", "tokens"))
@@ -334,6 +367,7 @@ def shared_links(rows: DataFrame, sets: DataFrame) -> DataFrame:
         ids = given.column("id").to_pylist()
         place = {id_: i for i, id_ in enumerate(ids)}
         tokens = [unpack48(b.as_py()) for b in given.column("tokens")]
+        marks, apart = Signatures(tokens), set()
         parent: dict[int, int] = {}
 
         def find(x: int) -> int:
@@ -352,7 +386,9 @@ def shared_links(rows: DataFrame, sets: DataFrame) -> DataFrame:
             now = [find(x) for x in labels[low:high]]
             if len(set(now)) > 1:
                 some = [place[x] for x in who[low:high]]
-                for i, j in tree_links([tokens[k] for k in some], now):
+                if len(apart) > PAIRS_KNOWN:
+                    apart.clear()
+                for i, j in tree_links([tokens[k] for k in some], now, marks, some, apart):
                     parent[find(now[i])] = find(now[j])
                     found.append((ids[some[i]], ids[some[j]]))
         return pa.Table.from_batches([least_links(found)])
@@ -429,49 +465,96 @@ def _least_tokens(orders: int):
 
 
 def _sets(words: int, wanted: Broadcast | None):
-    """(key, two hashes of the set, its tokens) of the texts whose key the filter may hold."""
+    """(key, id, tokens) of the texts whose key the filter may hold.
+
+    An id is 64 bits of the set's digest. A task sends each set's tokens once and null after, so
+    that a text with very many copies is not gathered in one place.
+    """
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: set[int] = set()
         for batch in batches:
             if wanted is not None:
                 keys = batch.column(0).to_numpy(zero_copy_only=False)
                 batch = batch.filter(pa.array(holds(wanted.value, keys)))
-            where, bodies, keys = [], [], []
+            where, bodies, ids = [], [], []
             for row, _, tokens in tokens_of(batch.column(1), words):
                 if len(tokens):
+                    body = pack48(tokens)
+                    id_ = int.from_bytes(hashlib.blake2b(body, digest_size=8).digest(), "little", signed=True)
                     where.append(row)
-                    bodies.append(pack48(tokens))
-                    digest = hashlib.blake2b(bodies[-1], digest_size=16).digest()
-                    keys.append(np.frombuffer(digest, "<i8"))
-            keys = np.array(keys, dtype=np.int64).reshape(-1, 2)
+                    ids.append(id_)
+                    bodies.append(None if id_ in sent else body)
+                    sent.add(id_)
+            if len(sent) > SETS_KNOWN:
+                sent.clear()
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(where, pa.int64())), pa.array(keys[:, 0]),
-                 pa.array(keys[:, 1]), pa.array(bodies, pa.binary())],
-                names=["id", "key0", "key1", "tokens"])
+                [batch.column(0).take(pa.array(where, pa.int64())), pa.array(ids, pa.int64()),
+                 pa.array(bodies, pa.binary())], names=["key", "id", "tokens"])
     return sets
 
 
-def _exploded(part: str):
-    """(token, id, label): of every set its counted tokens, the prefix that a linked set must share, or all."""
+def contained(tokens: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which tokens are among the sorted ones."""
+    if not len(known):
+        return np.zeros(len(tokens), dtype=bool)
+    return known[np.minimum(np.searchsorted(known, tokens), len(known) - 1)] == tokens
+
+
+def _exploded(every: bool, common: Broadcast, those: bool):
+    """(token, id, label, n): of every set its counted tokens or every one; n is the set's size.
+
+    Of the common tokens, or of all others.
+    """
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = common.value
         for batch in batches:
-            tokens, which = [], []
-            for row, body in enumerate(batch.column(1)):
-                mine = unpack48(body.as_py())
-                if part == "prefix":
-                    need = -(-len(mine) * NUMERATOR // DENOMINATOR)
-                    mine = mine[:len(mine) - need + 1]
-                elif part == "counted":
-                    mine = mine[:np.searchsorted(mine, U64(COUNTED))]
-                tokens.append(mine)
-                which.append(np.full(len(mine), row))
-            at = np.concatenate(which) if which else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(tokens).astype(np.int64) if tokens else at),
-                 batch.column(0).take(pa.array(at, pa.int64())),
-                 batch.column(2).take(pa.array(at, pa.int64()))], names=["token", "id", "label"])
+            data, offsets = bytes_of(batch.column(1))
+            # A bounded number of sets at a time: their rows are wider than their bytes.
+            for low, high in slices(offsets):
+                part = offsets[low:high + 1]
+                tokens, sizes = unpack48(data[part[0]:part[-1]]), np.diff(part) // 6
+                keep = np.ones(len(tokens), dtype=bool) if every else tokens < U64(COUNTED)
+                keep &= contained(tokens, known) == those
+                at = np.repeat(np.arange(low, high), sizes)[keep]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(tokens[keep].astype(np.int64)), batch.column(0).take(pa.array(at)),
+                     batch.column(2).take(pa.array(at)), pa.array(sizes[at - low].astype(np.int32))],
+                    names=["token", "id", "label", "n"])
     return explode
 
 
+def common_tokens(sets: DataFrame, most: int = MOST_COMMON) -> Broadcast:
+    """Tokens that some task found in a large share of its sets, so that their rows need no one place.
+
+    They are handled apart, with the same results. Of more than the bound the most frequent count.
+    """
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        size = 0
+
+        def out() -> pa.RecordBatch:
+            tokens, times = np.unique(np.concatenate(held), return_counts=True)
+            many = times >= max(COMMON_LEAST, COMMON_SHARE * len(held))
+            return pa.RecordBatch.from_arrays([pa.array(tokens[many].astype(np.int64)),
+                                               pa.array(times[many].astype(np.int64))], names=["token", "n"])
+
+        for batch in batches:
+            for body in batch.column(0):
+                held.append(unpack48(body.as_py()))
+                size += len(held[-1])
+                if size >= HELD:
+                    yield out()
+                    held.clear()
+                    size = 0
+        if held:
+            yield out()
+
+    found = sets.select("tokens").mapInArrow(count, "token long, n long").groupBy("token").agg(
+        F.sum("n").alias("n")).orderBy(F.desc("n"), "token").limit(most)
+    tokens = np.sort(np.array([r.token for r in found.collect()], dtype=np.uint64))
+    return sets.sparkSession.sparkContext.broadcast(tokens)
+
+
 def _labelled(reps: DataFrame, found: DataFrame) -> DataFrame:
     return (reps.join(found, "id", "left")
             .withColumn("label", F.coalesce("component", "id")).drop("component"))
@@ -481,29 +564,57 @@ def _edges(found: DataFrame) -> DataFrame:
     return found.select(F.col("id").alias("a"), F.col("component").alias("b"))
 
 
-EXPLODED = "token long, id long, label long"
+EXPLODED = "token long, id long, label long, n int"
+
 
+def _extent(sets: DataFrame, labels: DataFrame, every: bool, common: Broadcast) -> DataFrame:
+    """(token, id, label, n, low, high, df) of the sets in labels (id, n, label).
 
-def _extent(rows: DataFrame) -> DataFrame:
-    """Add the least and the largest label of each row's token; one exchange, which can spill."""
+    low and high are the least and the largest label of the sets that hold the token, df is their
+    number. Rows of a common token stay where they are and get what its partial sums tell; those of another
+    meet in one task.
+    """
+    rows = sets.join(labels.select("id", "label"), "id").select("id", "tokens", "label")
+    facts = F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("df")
     by = Window.partitionBy("token")
-    return rows.withColumn("low", F.min("label").over(by)).withColumn("high", F.max("label").over(by))
+    rare = rows.mapInArrow(_exploded(every, common, False), EXPLODED)
+    rare = rare.select("*", *(fact.over(by).alias(name) for fact, name in (
+        (F.min("label"), "low"), (F.max("label"), "high"), (F.count(F.lit(1)), "df"))))
+    many = rows.mapInArrow(_exploded(every, common, True), EXPLODED)
+    # At most MOST_COMMON rows are broadcast.
+    return rare.unionByName(many.join(F.broadcast(many.groupBy("token").agg(*facts)), "token"))
 
 
-def _not_closed(sets: DataFrame, labels: DataFrame, every: bool) -> DataFrame:
+def _not_closed(sets: DataFrame, labels: DataFrame, every: bool, common: Broadcast) -> DataFrame:
     """Of labels (id, n, label) those that can link outside their component, among the sets given.
 
     A token is closed if all these sets that hold it are of one component; a set with more than
     (1 - threshold) of its tokens closed is done. Counted tokens, or every one, are looked at.
     """
-    rows = (sets.join(labels.select("id", "label"), "id").select("id", "tokens", "label")
-            .mapInArrow(_exploded("all" if every else "counted"), EXPLODED))
-    inside = (_extent(rows).where("low = high").groupBy("id").agg(F.count(F.lit(1)).alias("closed")))
+    inside = (_extent(sets, labels, every, common).where("low = high")
+              .groupBy("id").agg(F.count(F.lit(1)).alias("closed")))
     return stored(labels.join(inside, "id", "left")
                   .where(f"coalesce(closed, 0) * {DENOMINATOR} <= n * {DENOMINATOR - NUMERATOR}")
                   .select("id", "n", "label"))
 
 
+def rarest_prefixes(sets: DataFrame, labels: DataFrame, common: Broadcast) -> DataFrame:
+    """(bucket, id, label): where those of labels (id, n, label) meet whatever they may link with.
+
+    Of a set's n tokens, with closed ones first and the others from the rarest to the most common,
+    the first n - ceil(threshold * n) + 1 are its prefix. Two sets of different components share
+    no closed token, and if they link, the first token they share is in both prefixes. So a
+    common line or passage is a bucket only for sets that consist of little else.
+    """
+    open_ = _extent(sets, labels, True, common).where("low <> high").select("token", "id", "df")
+    by = Window.partitionBy("id")
+    ranked = open_.select("token", "id", F.count(F.lit(1)).over(by).alias("open"),
+                          F.row_number().over(by.orderBy("df", "token")).alias("rank"))
+    length = F.expr(f"n - ceil(n * {NUMERATOR} / {DENOMINATOR}) + 1")
+    return (ranked.join(labels, "id").where(F.col("rank") <= length - (F.col("n") - F.col("open")))
+            .select(F.col("token").alias("bucket"), "id", "label"))
+
+
 def document_key(doc_id: Column, text: Column) -> Column:
     """64 bits that stand for a distinct pair of id and text; the id may be null."""
     return F.xxhash64(doc_id, text)
@@ -526,13 +637,12 @@ def linked_components(docs: DataFrame, words: int = WORDS,
     wanted = bloom_filter(open_)
     if wanted is None:
         texts = texts.join(open_, "key", "left_semi").select("key", "text")
-    sets = stored(texts.mapInArrow(_sets(words, wanted), "id long, key0 long, key1 long, tokens binary"))
-    # From here on an id is the number of a distinct set.
-    reps = stored(sets.groupBy("key0", "key1").agg(F.first("tokens").alias("tokens"))
-                  .select(F.monotonically_increasing_id().alias("id"), "key0", "key1", "tokens"))
-    members = stored(sets.select("key0", "key1", F.col("id").alias("key"))
-                     .join(reps.select("key0", "key1", "id"), ["key0", "key1"])
-                     .select("key", "id").distinct())
+    sets = stored(texts.mapInArrow(_sets(words, wanted), "key long, id long, tokens binary"))
+    members = stored(sets.select("key", "id").distinct())
+    held = sets.agg(F.coalesce(F.sum(F.octet_length("tokens")), F.lit(0))).first()[0]
+    buckets = max(1, -(-int(held) // TABLE_BYTES))
+    reps = bucketed(sets.where("tokens is not null").select("id", "tokens").repartition(buckets, "id")
+                    .dropDuplicates(["id"]), "id", buckets)
 
     # Step 2. Labels are those of the representatives' components so far.
     fields = ", ".join(f"least{i} long" for i in range(ORDERS + 1))
@@ -549,15 +659,14 @@ def linked_components(docs: DataFrame, words: int = WORDS,
     # Step 3. A token is closed if all sets that hold it are of one component.
     labels = stored(_labelled(reps.select("id", (F.octet_length("tokens") / 6).cast("long")
                                           .alias("n")), found))
+    common = common_tokens(reps)
     rest = labels
-    for every in (False, True, True):
-        rest = _not_closed(reps, rest, every)
+    for every in (False, True):
+        rest = _not_closed(reps, rest, every, common)
 
     # Step 4. Linked sets share a token of their prefixes.
-    some = stored(reps.join(rest.select("id", "label"), "id").select("id", "tokens", "label"))
-    prefix = _extent(some.mapInArrow(_exploded("prefix"), EXPLODED)).where("low <> high")
-    meeting = stored(without_repeats(prefix.select(F.col("token").alias("bucket"), "id", "label")))
-    every = shared_links(meeting, some).unionByName(_edges(found))
+    meeting = stored(without_repeats(rarest_prefixes(reps, rest, common)))
+    every = shared_links(meeting, reps, rest).unionByName(_edges(found))
     if by_id:
         named = docs.where("doc_id is not null").select("key", "doc_id").distinct().join(members, "key")
         least = named.groupBy("doc_id").agg(F.min("id").alias("b"), F.max("id").alias("_most"))
