@@ -7,7 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from flatweave.llm.text import U64, mix
 
@@ -70,3 +71,20 @@ def bloom_filter(keys: DataFrame, most: int = MOST_KEYS) -> Broadcast | None:
     for block, body in parts.toLocalIterator():
         packed[block * BLOCK // 8:(block + 1) * BLOCK // 8] = np.frombuffer(body, dtype=np.uint8)
     return keys.sparkSession.sparkContext.broadcast(packed)
+
+
+def split_by_keys(frame: DataFrame, key: Column, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key (long) is surely not among the keys, and the others, a few strangers included.
+
+    The first need no join with what the keys stand for, so wide rows that it does not concern
+    are not shuffled. Only the key goes to Python. With too many keys for a filter all rows are others.
+    """
+    wanted = bloom_filter(keys)
+    if wanted is None:
+        return frame.where("false"), frame
+
+    @F.arrow_udf("boolean")
+    def may(found: pa.Array) -> pa.Array:
+        return pa.array(holds(wanted.value, found.to_numpy(zero_copy_only=False)))
+
+    return frame.where(~may(key)), frame.where(may(key))

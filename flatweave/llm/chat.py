@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from flatweave.llm.common import running_totals
+from flatweave.llm.common import running_totals, stored
 
 #: Turns of a conversation that one task orders at a time.
 TURNS_PER_BUCKET = 4096
@@ -23,15 +23,17 @@ def turn_rows(turns: DataFrame) -> DataFrame:
     A hash so far is the XOR of one hash per turn that also covers the turn's position; XOR
     needs no order and cannot overflow, so a conversation of any length is added up in parts.
     """
-    rows = turns.select("conv_id", "turn", "role", "text").where("conv_id is not null")
+    rows = turns.select("conv_id", *(F.col(c).cast(kind).alias(c) for c, kind in (
+        ("turn", "long"), ("role", "string"), ("text", "string")))).where("conv_id is not null")
     rows = (rows.withColumn("_bucket", F.coalesce(F.floor(F.col("turn") / TURNS_PER_BUCKET),
                                                   F.lit(-1 << 62)))
             .withColumn("_one", F.lit(1)))
     order = [F.col("turn").asc_nulls_first(), F.col("role"), F.col("text")]
     rows = running_totals(rows, ["conv_id"], "_bucket", order, "_one", "position").drop("_one")
     for i, seed in enumerate(("a", "b")):
-        rows = rows.withColumn(f"_h{i}", F.xxhash64(F.lit(seed), F.col("position").cast("long"),
-                                                     "role", "text"))
+        # A hash skips nulls, so what is null is hashed too.
+        rows = rows.withColumn(f"_h{i}", F.xxhash64(
+            F.lit(seed), F.col("position").cast("long"), F.isnull("role"), "role", F.isnull("text"), "text"))
     ahead = Window.partitionBy("conv_id").orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, -1)
     sums = rows.groupBy("conv_id", "_bucket").agg(F.bit_xor("_h0").alias("_s0"),
@@ -74,7 +76,8 @@ def rendered(turns: DataFrame, begin: str = "<|im_start|>", end: str = "<|im_end
     equal of an empty one when conversations are compared. Turns without conv_id are left out.
     Repeated rows are turns of their own. Other columns are ignored; an empty table gives none.
     """
-    rows = turn_rows(turns)
+    # Stored once, so that the joins of prefixes read their columns without the texts.
+    rows = stored(turn_rows(turns))
     chat = F.concat(F.lit(begin), F.coalesce("role", F.lit("")), F.lit("\n"),
                     F.coalesce("text", F.lit("")), F.lit(f"{end}\n"))
     return (rows.join(maximal(rows), "conv_id")

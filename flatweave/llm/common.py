@@ -63,7 +63,8 @@ def running_totals(rows: DataFrame, group: Sequence[str], bucket: str, order: Se
 
     Rows are ordered by (bucket, order); bucket must not fall as the order rises. Each task
     orders one bucket of one group only; buckets are summed first and their running sums,
-    one row per bucket, joined back. So a group may be of any size.
+    one row per bucket, joined back by the partitioning that the order has made. So a group may be
+    of any size. Group and bucket must not be null.
     """
     sums = rows.groupBy(*group, bucket).agg(F.sum(weight).alias("_sum"))
     ahead = Window.partitionBy(*group).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
@@ -72,15 +73,8 @@ def running_totals(rows: DataFrame, group: Sequence[str], bucket: str, order: Se
     inside = (Window.partitionBy(*group, bucket).orderBy(*order)
               .rowsBetween(Window.unboundedPreceding, -1))
     local = rows.withColumn("_inside", F.coalesce(F.sum(weight).over(inside), F.lit(0)))
-    keys = [*group, bucket]
-    starts = starts.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), "_start")
-    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
-    condition = same[0]
-    for extra in same[1:]:
-        condition = condition & extra
-    return (local.join(starts, condition)
-            .withColumn(out, F.col("_start") + F.col("_inside"))
-            .drop("_start", "_inside", *(f"_k{i}" for i in range(len(keys)))))
+    return (local.join(starts, [*group, bucket])
+            .withColumn(out, F.col("_start") + F.col("_inside")).drop("_start", "_inside"))
 
 
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:

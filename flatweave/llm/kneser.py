@@ -17,7 +17,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.fs
 from pyspark.sql import Column, DataFrame
@@ -374,14 +373,13 @@ def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     A null or empty text is scored as its end alone; texts of any length are scored whole.
     """
-    @F.pandas_udf("n_tokens long, n_known long, base_score double, score double")
-    def score(texts: pd.Series) -> pd.DataFrame:
-        parts = [(counts, *model.score(words, counts))
-                 for _, words, counts in tokens_of(pa.array(texts, pa.string()))]
-        if not parts:
-            return pd.DataFrame({"n_tokens": [], "n_known": [], "base_score": [], "score": []})
-        counts, logs, base, known = (np.concatenate(x) for x in zip(*parts))
-        return pd.DataFrame({"n_tokens": counts, "n_known": known, "base_score": base, "score": logs})
+    @F.arrow_udf("n_tokens long, n_known long, base_score double, score double")
+    def score(texts: pa.Array) -> pa.Array:
+        parts = [(counts, *model.score(words, counts)) for _, words, counts in tokens_of(texts)]
+        counts, logs, base, known = (np.concatenate(x) for x in zip(*parts)) if parts else [np.zeros(0)] * 4
+        return pa.StructArray.from_arrays(
+            [pa.array(counts.astype(np.int64)), pa.array(known.astype(np.int64)), pa.array(base),
+             pa.array(logs)], names=["n_tokens", "n_known", "base_score", "score"])
 
     new = ("n_tokens", "n_known", "base_score", "score")
     kept = ["`" + c.replace("`", "``") + "`" for c in docs.columns if c.lower() not in new]

@@ -12,12 +12,11 @@ import sys
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flatweave.llm.common import column, remainder
+from flatweave.llm.common import column, fresh, remainder
 
 #: N-grams per profile, the longest n-gram in characters (1 to 3), and most languages told apart.
 PROFILE = 300
@@ -27,8 +26,9 @@ MOST_LANGUAGES = 10_000
 UNKNOWN = "und"
 #: Characters counted at a time, so that memory does not follow the length of a text.
 CHARS_AT_ONCE = 1 << 18
-#: Distinct n-grams of one language a task may hold before it passes them on.
+#: Distinct n-grams a task may hold before it passes them on, of one language and of all.
 GRAMS_HELD = 400_000
+ALL_GRAMS_HELD = 1_000_000
 
 #: A blank within an n-gram's code; not 0, or " a" would have the code of "a".
 BLANK = 1
@@ -130,6 +130,8 @@ def gram_counts(texts: DataFrame, text: str, lang: str) -> DataFrame:
                         yield out(name)
                     else:
                         held[name] = [[codes], [counts], len(codes)]
+            while sum(m[2] for m in held.values()) > ALL_GRAMS_HELD:
+                yield out(max(held, key=lambda name: held[name][2]))
         for name in list(held):
             yield out(name)
 
@@ -149,10 +151,13 @@ def learn_profiles(texts: DataFrame, text: str = "text", lang: str = "lang",
     best = (counts.withColumn("rank", F.row_number().over(part)).where(F.col("rank") <= size)
             .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= size)
             .select("lang", "gram", "rank").orderBy("lang", "rank")
-            .limit(MOST_LANGUAGES * size + 1).toPandas())
-    if best["lang"].nunique() > MOST_LANGUAGES or len(best) > MOST_LANGUAGES * size:
+            .limit(MOST_LANGUAGES * size + 1).toArrow())
+    if len(best) > MOST_LANGUAGES * size:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    return {name: rows["gram"].to_numpy() for name, rows in best.groupby("lang", sort=True)}
+    grams: dict[str, list[int]] = {}
+    for name, gram in zip(best.column("lang").to_pylist(), best.column("gram").to_pylist()):
+        grams.setdefault(name, []).append(gram)
+    return {name: np.array(mine, dtype=np.int64) for name, mine in grams.items()}
 
 
 class Ranks:
@@ -193,14 +198,19 @@ def identify(docs: DataFrame, profiles: dict[str, np.ndarray], text: str = "text
     """
     known = Ranks(profiles, size)
 
-    @F.pandas_udf("pred string, score double")
-    def nearest(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([known.predict(t) for t in texts], columns=["pred", "score"])
+    @F.arrow_udf("pred string, score double")
+    def nearest(texts: pa.Array) -> pa.Array:
+        found = [known.predict(t.as_py()) for t in texts]
+        return pa.StructArray.from_arrays([pa.array([f[0] for f in found], pa.string()),
+                                           pa.array([f[1] for f in found], pa.float64())],
+                                          names=["pred", "score"])
 
     kept = [c for c in docs.columns if c.lower() not in (lang_pred.lower(), score.lower())]
-    return (docs.select(*(column(docs, c) for c in kept), nearest(column(docs, text)).alias("_is"))
+    found = fresh("_is", kept)
+    return (docs.select(*(column(docs, c) for c in kept),
+                        nearest(column(docs, text).cast("string")).alias(found))
             .select(*("`" + c.replace("`", "``") + "`" for c in kept),
-                    F.col("_is.pred").alias(lang_pred), F.col("_is.score").alias(score)))
+                    F.col(f"{found}.pred").alias(lang_pred), F.col(f"{found}.score").alias(score)))
 
 
 def held_out(doc_id: Column) -> Column:

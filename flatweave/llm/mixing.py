@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flatweave.llm.common import ROWS_PER_BUCKET, column, fresh, running_totals, stored
+from flatweave.llm.common import ROWS_PER_BUCKET, column, running_totals, stored
 
 #: Share of all tokens that the mixture has, and how often a document may be taken at most.
 FRACTION = 0.7
@@ -26,6 +26,8 @@ DOMAIN_WEIGHTS = {"d0": 2.0, "d1": 1.0, "d2": 1.0}
 LANGUAGE_WEIGHTS = {"en": 3.0}
 
 LEVELS = ("domain", "language", "source")
+#: Leaves that are broadcast to the documents at most.
+BROADCAST_LEAVES = 200_000
 
 
 def domain_of(source: Column) -> Column:
@@ -102,56 +104,133 @@ def leaf_budgets(leaves: DataFrame, fraction: float = FRACTION, epochs: int = MO
         *LEVELS, "docs", "supply", F.floor(F.col("budget") + 0.5).cast("long").alias("budget"))
 
 
-def mixture(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source",
-            domain: Column | None = None, seed: int = SEED, fraction: float = FRACTION,
-            epochs: int = MOST_EPOCHS, domain_weights: dict[str, float] = DOMAIN_WEIGHTS,
-            language_weights: dict[str, float] = LANGUAGE_WEIGHTS,
-            id_column: str = "doc_id") -> tuple[DataFrame, list[str]]:
-    """All columns of the rows, and how often each is taken; with the names of the columns added.
+def leaf_columns(docs: DataFrame, text: str, lang: str, source: str, domain: Column | None,
+                 id_column: str) -> dict[str, Column]:
+    """What the mixture needs to know of a row: its leaf, its id, a hash of its text, its tokens."""
+    src = F.coalesce(column(docs, source).cast("string"), F.lit(""))
+    body = column(docs, text).cast("string")
+    return {"domain": domain_of(src) if domain is None else F.coalesce(domain, F.lit("")),
+            "language": F.coalesce(column(docs, lang).cast("string"), F.lit("")), "source": src,
+            "_id": column(docs, id_column), "_tie": F.xxhash64(body), "_tokens": token_count(body)}
+
+
+def place_in_epoch(seed: int, whole: Column) -> Column:
+    """Where a document comes in the epoch after so many whole ones of its leaf."""
+    return F.xxhash64(F.lit(seed), whole, F.col("_id"), F.col("_tie"))
+
 
-    Added are domain, language, source as text (null: ''), tokens, epoch_copies and budget (the
-    leaf's), under names that clash with no column. Within an epoch a leaf's rows come in the
-    order of a hash of seed, epoch and id; rows are taken while the tokens before them are fewer
-    than the leaf's budget leaves, so a leaf passes its budget by less than one document. Rows
-    without tokens come free with every epoch begun. Null ids and repeated rows are ordered by
-    their text, then count as ties of no consequence. An empty table gives no rows.
+class Mixture:
+    """What a mixture takes of some documents.
+
+    `placed` has a row for each distinct document (id and text) of a leaf: levels, _id, _tie,
+    _tokens, _n (rows), budget, _whole (epochs that take all of the leaf), _rest (tokens that the
+    next epoch takes), _order and _before (the place in that epoch, and the tokens before it).
     """
-    names = [fresh(n, docs.columns) for n in (*LEVELS, "tokens", "epoch_copies", "budget")]
-    src = F.coalesce(column(docs, source).cast("string"), F.lit(""))
-    lng = F.coalesce(column(docs, lang).cast("string"), F.lit(""))
-    rows = docs.select(
-        F.struct(*(column(docs, c) for c in docs.columns)).alias("_row"),
-        column(docs, id_column).alias("_id"),
-        (domain_of(src) if domain is None else F.coalesce(domain, F.lit(""))).alias("domain"),
-        lng.alias("language"), src.alias("source"),
-        token_count(column(docs, text)).alias("_tokens"),
-        F.xxhash64(column(docs, text)).alias("_tie"))
-    meta = stored(rows.drop("_row"))
-    leaves = meta.groupBy(*LEVELS).agg(F.sum("_tokens").alias("supply"),
-                                       F.count(F.lit(1)).alias("docs"))
-    budgets = stored(leaf_budgets(leaves, fraction, epochs, domain_weights, language_weights))
-    placed = (meta.join(budgets, list(LEVELS))
-              .withColumn("_whole", F.when(F.col("supply") > 0, F.floor(F.col("budget") / F.col("supply")))
-                          .otherwise(F.lit(0)))
-              .withColumn("_rest", F.col("budget") - F.col("_whole") * F.col("supply"))
-              .withColumn("_order", F.xxhash64(F.lit(seed), "_whole", "_id"))
-              # As many buckets as the leaf needs, in the order of the hash.
-              .withColumn("_bucket", F.floor((F.col("_order").cast("double") / 2.0 ** 64 + 0.5)
-                                             * F.ceil(F.col("docs") / ROWS_PER_BUCKET))))
-    placed = running_totals(placed, list(LEVELS), "_bucket", ["_order", "_id", "_tie"], "_tokens",
-                            "_before")
-    taken = placed.select(
-        "_id", "_tie", "_tokens", *LEVELS, "budget",
-        (F.col("_whole") + F.when((F.col("_rest") > 0) & (F.col("_before") < F.col("_rest")), 1)
-         .otherwise(0)).cast("int").alias("epoch_copies"))
-    return taken, names
+
+    def __init__(self, docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source",
+                 domain: Column | None = None, seed: int = SEED, fraction: float = FRACTION,
+                 epochs: int = MOST_EPOCHS, domain_weights: dict[str, float] = DOMAIN_WEIGHTS,
+                 language_weights: dict[str, float] = LANGUAGE_WEIGHTS, id_column: str = "doc_id"):
+        self.docs, self.text, self.seed = docs, text, seed
+        self.columns = leaf_columns(docs, text, lang, source, domain, id_column)
+        keys = list(self.columns)
+        # Rows equal in id and text are counted before they are shuffled.
+        rows = stored(docs.select(*(c.alias(n) for n, c in self.columns.items()))
+                      .groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")))
+        rows = rows.withColumn("_all", F.col("_n") * F.col("_tokens"))
+        leaves = rows.groupBy(*LEVELS).agg(F.sum("_all").alias("supply"), F.count(F.lit(1)).alias("docs"))
+        self.leaves = stored(leaf_budgets(leaves, fraction, epochs, domain_weights, language_weights)
+                             .withColumn("_whole", F.when(F.col("supply") > 0, F.floor(
+                                 F.col("budget") / F.col("supply"))).otherwise(F.lit(0)).cast("long"))
+                             .withColumn("_rest", F.col("budget") - F.col("_whole") * F.col("supply")))
+        placed = (rows.join(self.leaves, list(LEVELS))
+                  .withColumn("_order", place_in_epoch(seed, F.col("_whole")))
+                  # As many buckets as the leaf needs, in the order of the hash.
+                  .withColumn("_bucket", F.floor((F.col("_order").cast("double") / 2.0 ** 64 + 0.5)
+                                                 * F.ceil(F.col("docs") / ROWS_PER_BUCKET))))
+        placed = running_totals(placed, list(LEVELS), "_bucket", ["_order", "_id", "_tie"], "_all",
+                                "_before")
+        # Of the last epoch a document gives the tokens up to the end of the leaf's budget.
+        self.placed = placed.withColumn("_here", F.least(F.greatest(
+            F.col("_rest") - F.col("_before"), F.lit(0)), F.col("_all")).cast("long"))
+
+    def rows(self) -> DataFrame:
+        """levels, _id, _tokens, budget, epoch_copies and tokens_taken of every row."""
+        full = F.when(F.col("_tokens") > 0, F.floor(F.col("_here") / F.col("_tokens"))).when(
+            F.col("_before") < F.col("_rest"), F.col("_n")).otherwise(F.lit(0)).cast("long")
+        part = F.when(F.col("_tokens") > 0, F.col("_here") % F.col("_tokens")).otherwise(F.lit(0))
+        some = self.placed.withColumns({"_full": full, "_part": part.cast("long")})
+        whole, tokens = F.col("_whole"), F.col("_tokens")
+
+        def kind(copies: Column, taken: Column, many: Column) -> Column:
+            return F.struct(copies.cast("int").alias("epoch_copies"),
+                            (whole * tokens + taken).cast("long").alias("tokens_taken"),
+                            many.cast("long").alias("many"))
+
+        cut = F.when(F.col("_part") > 0, 1).otherwise(0)
+        kinds = F.array(kind(whole + 1, tokens, F.col("_full")), kind(whole + 1, F.col("_part"), cut),
+                        kind(whole, F.lit(0), F.col("_n") - F.col("_full") - cut))
+        kept = [*LEVELS, "_id", "_tokens", "budget"]
+        some = some.select(*kept, "_tie", F.explode(F.filter(kinds, lambda k: k["many"] > 0)).alias("_k"))
+        some = some.select(*kept, "_tie", "_k.*", F.explode(F.expr(
+            f"sequence(0, _k.many - 1, {ROWS_PER_BUCKET})")).alias("_from"))
+        if not self.placed.where(F.col("_n") > ROWS_PER_BUCKET).isEmpty():
+            some = some.repartition("_id", "_tie", "_from")  # very many equal rows, in parts
+        return some.select(*kept, "epoch_copies", "tokens_taken", F.explode(F.expr(
+            f"sequence(1, least(many - _from, {ROWS_PER_BUCKET}))")).alias("_")).drop("_")
+
+    def texts(self) -> DataFrame:
+        """The documents taken, all columns, a row for every epoch that takes one.
+
+        Where each leaf's budget ends is one row per leaf, so the documents themselves are not
+        shuffled. The text at the end is cut after its last token taken; n_chars is then its own.
+        """
+        ends = self.placed.where("_tokens > 0 and _before < _rest and _before + _all >= _rest").select(
+            *LEVELS, F.struct("_order", "_id", "_tie").alias("_end"), "_tokens", "_here")
+        ends = self.leaves.select(*LEVELS, "_whole", "_rest").join(
+            ends.select(*LEVELS, "_end", (F.col("_here") / F.col("_tokens")).cast("long").alias("_full"),
+                        (F.col("_here") % F.col("_tokens")).alias("_part")), list(LEVELS), "left")
+        ends = stored(ends)
+        if ends.count() <= BROADCAST_LEAVES:
+            ends = F.broadcast(ends)
+        row = F.struct(*(column(self.docs, c).alias(c) for c in self.docs.columns))
+        docs = self.docs.select(row.alias("_row"), *(
+            c.alias(n) for n, c in self.columns.items() if n != "_tokens")).join(ends, list(LEVELS))
+        docs = docs.withColumn("_at", F.struct(place_in_epoch(self.seed, F.col("_whole")).alias("_order"),
+                                               "_id", "_tie"))
+        last = F.col("_rest") > 0
+        copies = F.col("_whole") + F.when(last & (F.col("_at") < F.col("_end")), 1).otherwise(0)
+        whole = docs.withColumn("_copies", copies).where("_copies > 0").select(
+            "_row", F.explode(F.expr("sequence(1, _copies)")).alias("_")).select("_row.*")
+        # Rows at the end of a leaf's budget are equal in id and text: so many are taken whole, one in part.
+        edge = (docs.where(last & (F.col("_at") == F.col("_end"))).groupBy(*LEVELS)
+                .agg(F.first("_row").alias("_row"), F.first("_full").alias("_full"),
+                     F.first("_part").alias("_part")))
+        again = edge.where("_full > 0").select(
+            "_row", F.explode(F.expr("sequence(1, _full)")).alias("_")).select("_row.*")
+        part = edge.where("_part > 0").select("_row.*", "_part")
+        cut = F.array_join(F.slice(F.regexp_extract_all(
+            column(part, self.text).cast("string"), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0)),
+            F.lit(1), part[part.columns[-1]].cast("int")), "")
+        new = {self.text: cut, "n_chars": F.length(cut).cast("long")}
+        part = part.select(*(new.get(c, column(part, c)).alias(c) for c in self.docs.columns))
+        return whole.unionByName(again).unionByName(part)
+
+
+def taken_texts(docs: DataFrame, **options) -> DataFrame:
+    """The texts that a mixture takes; see `Mixture` for the options and `mixed` for odd rows."""
+    return Mixture(docs, **options).texts()
 
 
 def mixed(docs: DataFrame) -> DataFrame:
     """op5: what the mixture takes of every document.
 
-    doc_id, domain, language, source, tokens, budget of the leaf, epoch_copies (0: left out).
+    doc_id, domain, language, source, tokens, budget of the leaf, epoch_copies (0: left out) and
+    tokens_taken, whose sum over a leaf is its budget. Within an epoch a leaf's documents come in
+    the order of a hash of seed, epoch, id and text; the one where the budget ends is taken up to
+    that token. Documents without tokens come free with every epoch that reaches them. Null
+    source, lang and domain count as empty; null ids are told apart by their texts; of rows equal
+    in both, as many are taken as the budget allows. An empty table gives no rows.
     """
-    taken, _ = mixture(docs)
-    return taken.select(F.col("_id").alias("doc_id"), *LEVELS, F.col("_tokens").alias("tokens"),
-                        "budget", "epoch_copies")
+    return Mixture(docs).rows().select(F.col("_id").alias("doc_id"), *LEVELS, F.col("_tokens").alias("tokens"),
+                                       "budget", "epoch_copies", "tokens_taken")

@@ -15,18 +15,19 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from flatweave.llm.common import stored
+from flatweave.llm.common import fresh, stored
+from flatweave.llm.text import bytes_of, slices
 
 #: Tokens of a window, and of a piece of a document's tail at most.
 CAPACITY = 1024
 PIECE = 256
-#: Pieces that are spread over windows together, about.
-BATCH = 1024
+#: Windows that are filled together, about.
+BATCH = 256
 #: The id that ends a document.
 END = 0
 VOCABULARY = "byte_bpe_50k.json"
@@ -57,9 +58,7 @@ def encoder(path: str):
     if path not in _encoders:
         import public_tokenizers
         import tiktoken
-        from tokenizers import Tokenizer
 
-        own = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
             made = json.load(file)
         special = [t["content"] for t in made["added_tokens"]]
@@ -68,10 +67,14 @@ def encoder(path: str):
                  if token not in special}
         fast = tiktoken.Encoding("vocabulary", pat_str=public_tokenizers.PATTERN,
                                  mergeable_ranks=ranks, special_tokens={})
+        own: list = []  # its tables are as large again, so they are made when a text needs them
 
         def encode(text: str) -> list[int]:
             if any(s in text for s in special):
-                return own.encode(text, add_special_tokens=False).ids
+                if not own:
+                    from tokenizers import Tokenizer
+                    own.append(Tokenizer.from_file(path))
+                return own[0].encode(text, add_special_tokens=False).ids
             return fast.encode_ordinary(text)
 
         _encoders[path] = encode
@@ -91,21 +94,23 @@ def pieces_of(docs: DataFrame, path: str, capacity: int = CAPACITY,
     def tokenized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path)
         for batch in batches:
-            where: list[int] = []
-            cells: list[list[int]] = [[], [], [], []]
-            for i, text in enumerate(batch.column(1)):
-                ids = np.array([*encode(text.as_py() or ""), END], dtype="<u4")
-                start = 0
-                for length in cut(len(ids), capacity, piece):
-                    where.append(i)
-                    for cell, value in zip(cells, (start, length, zlib.crc32(
-                            ids[start:start + length].tobytes()), len(ids))):
-                        cell.append(value)
-                    start += length
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(where, pa.int64())),
-                 *(pa.array(c, pa.int64()) for c in cells)],
-                names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+            offsets = bytes_of(batch.column(1))[1]
+            for low, high in slices(offsets):  # some 20 pieces a document: a bounded slice at a time
+                where: list[int] = []
+                cells: list[list[int]] = [[], [], [], []]
+                for i in range(low, high):
+                    ids = np.array([*encode(batch.column(1)[i].as_py() or ""), END], dtype="<u4")
+                    start = 0
+                    for length in cut(len(ids), capacity, piece):
+                        where.append(i)
+                        for cell, value in zip(cells, (start, length, zlib.crc32(
+                                ids[start:start + length].tobytes()), len(ids))):
+                            cell.append(value)
+                        start += length
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(where, pa.int64())),
+                     *(pa.array(c, pa.int64()) for c in cells)],
+                    names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.col("text").cast("string").alias("text")).mapInArrow(
@@ -150,44 +155,66 @@ def differencing(sizes: np.ndarray, windows: int) -> np.ndarray:
     return out
 
 
+def spread(sizes: np.ndarray, windows: int) -> np.ndarray:
+    """The window of each size, by differencing over classes of equal sizes.
+
+    As often as a size fills all windows it is dealt to each of them: such a partial partition has no
+    imbalance and changes none it is merged with. What is left of each size, fewer than there are
+    windows, is merged by differencing, so the work follows the different sizes.
+    """
+    order = np.argsort(sizes, kind="stable")
+    ranked = sizes[order]
+    first = np.searchsorted(ranked, ranked, side="left")
+    count = np.searchsorted(ranked, ranked, side="right") - first
+    place = np.arange(len(sizes)) - first
+    dealt = place < count // windows * windows
+    out = np.empty(len(sizes), dtype=np.int64)
+    out[order[dealt]] = place[dealt] % windows
+    out[order[~dealt]] = differencing(ranked[~dealt], windows)
+    return out
+
+
 def packed_windows(sizes: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:
     """The window of each piece, no window above capacity, with as few windows as do."""
     windows = max(1, -(-int(sizes.sum()) // capacity))
     while True:
-        found = differencing(sizes, windows)
+        found = spread(sizes, windows)
         if np.bincount(found, weights=sizes).max(initial=0) <= capacity:
             return found
         windows += 1
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, batch: int = BATCH) -> DataFrame:
-    """Add sequence_id and offset to pieces with doc_id, start and length.
+    """Add sequence_id and offset to stored pieces with a column length.
 
-    Full pieces are sequences of their own. The others meet in batches by a hash, so that one
-    document, source or length never decides a batch. Sequence ids are unique, not gapless.
+    Full pieces are sequences of their own. The others meet in batches dealt by a hash of their
+    place in the table, never of what they hold, so that equal rows, in any number, are spread like
+    others. Sequence ids are unique, not gapless.
     """
-    full = pieces.where(F.col("length") >= capacity)
     rest = pieces.where(F.col("length") < capacity)
-    batches = max(1, -(-rest.count() // batch))
-
-    def spread(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["length", "doc_id", "start", "ids_crc32"],
-                                ascending=[False, True, True, True], kind="stable",
-                                ignore_index=True)
-        window = packed_windows(rows["length"].to_numpy(), capacity)
-        rows["sequence_id"] = rows["batch"].to_numpy() * (1 << 20) + window
-        rows["offset"] = rows.groupby("sequence_id")["length"].cumsum() - rows["length"]
-        return rows.drop(columns="batch")
-
-    columns = [f"`{c}`" for c in pieces.columns]
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
-    spread_out = (rest.withColumn("batch", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"),
-                                                  F.lit(batches)))
-                  .groupBy("batch")
-                  .applyInPandas(spread, f"{kinds}, sequence_id long, offset long"))
+    tokens = rest.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    batches = max(1, -(-tokens // (batch * capacity)))
+    columns = pieces.columns
+    added = [fresh(n, columns) for n in ("_batch", "sequence_id", "offset")]
+    schema = StructType([*pieces.schema.fields, *(StructField(n, LongType()) for n in added[1:])])
+
+    def filled(rows: pa.Table) -> pa.Table:
+        sizes = rows.column("length").to_numpy()
+        window = packed_windows(sizes, capacity)
+        order = np.lexsort((-sizes, window))
+        rows, window, sizes = rows.take(pa.array(order)), window[order], sizes[order]
+        ahead = np.cumsum(sizes) - sizes
+        first = np.searchsorted(window, window, side="left")
+        sequence = rows.column(added[0])[0].as_py() * (1 << 20) + window
+        return pa.table([*(rows.column(c) for c in columns), pa.array(sequence),
+                         pa.array(ahead - ahead[first])], names=schema.names)
+
+    number = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(batches))
+    spread_out = rest.withColumn(added[0], number).groupBy(added[0]).applyInArrow(filled, schema)
     # Full windows are numbered by partition and place, below zero.
-    alone = full.select(*columns, (-1 - F.monotonically_increasing_id()).alias("sequence_id"),
-                        F.lit(0).cast("long").alias("offset"))
+    alone = pieces.where(F.col("length") >= capacity).select(
+        "*", (-1 - F.monotonically_increasing_id()).alias(added[1]),
+        F.lit(0).cast("long").alias(added[2]))
     return spread_out.unionByName(alone)
 
 

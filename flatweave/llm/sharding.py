@@ -21,8 +21,10 @@ from flatweave.llm.common import ROWS_PER_BUCKET, running_totals, stored
 SHARDS = 24
 #: Bins of a histogram, rounds of refinement, and the share of a shard a cut may be off by.
 BINS = 512
-ROUNDS = 4
+ROUNDS = 6
 TOLERANCE = 1e-4
+#: Bins narrower than this hold no two different points.
+FINEST = 2.0 ** -42
 
 
 @dataclass(frozen=True)
@@ -34,10 +36,18 @@ class Cut:
     at: float
 
 
-def spread(value: Column, id_column: Column) -> Column:
-    """Whole numbers as points of a line: equal ones lie apart by a hash of the id, in [0, 1)."""
-    noise = F.xxhash64(F.lit("spread"), id_column)
-    return value.cast("double") + F.shiftrightunsigned(noise, 11).cast("double") / F.lit(2.0 ** 53)
+def spread(value: Column, place: Column, ordinal: Column) -> Column:
+    """Whole numbers as points of a line: equal ones lie apart by 41 bits in [0, 1).
+
+    Of these, 24 are a hash of the row's content, so that they do not depend on where a row lies. The
+    last 17 come from its ordinal: rows that are equal altogether lie side by side, and a cut may
+    fall between them.
+    """
+    def bits(seed: str, hashed: Column, many: int) -> Column:
+        return F.shiftrightunsigned(F.xxhash64(F.lit(seed), hashed), 64 - many).cast("double")
+
+    return (value.cast("double") + bits("spread", place, 24) / F.lit(2.0 ** 24)
+            + bits("copies", ordinal, 17) / F.lit(2.0 ** 41))
 
 
 def dimensions(docs: DataFrame) -> dict[str, Column]:
@@ -96,6 +106,7 @@ def cuts_of(points: DataFrame, names: list[str], shards: dict[int, int],
     chosen: dict[int, float] = {}
     axis = axis_of({n: x[0] for n, x in nodes.items()}, names)
     for _ in range(ROUNDS):
+        chosen |= {n: s[0] for n, s in spans.items() if n not in chosen and (s[1] - s[0]) / BINS < FINEST}
         active = {n: s for n, s in spans.items() if n not in chosen}
         if not active:
             break
@@ -155,8 +166,8 @@ def sharded(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
 
     doc_id, size (UTF-8 bytes of the text, null: none, plus 8), text_crc32, law, shard, slot and
     grown_shard (null). Every row gets a shard, repeated rows and null ids too; equal texts may
-    lie in several shards, since one group of copies may outweigh a shard. An empty table gives
-    no rows. Columns other than doc_id, text, source and lang are ignored.
+    lie in several shards, since one group of copies may outweigh a shard, and rows that are equal
+    altogether are dealt by their ordinal in the table. An empty table gives no rows. Columns other than doc_id, text, source and lang are ignored.
     """
     body = F.coalesce(F.col("text").cast("string"), F.lit(""))
     meta = docs.select(
@@ -166,15 +177,16 @@ def sharded(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
         *(F.col(c) for c in ("source", "lang") if c in docs.columns))
     found = dimensions(docs)
     place = F.xxhash64("doc_id", "text_crc32", "size")
-    points = stored(meta.select("doc_id", "size", "text_crc32", place.alias("_place"),
-                                *(spread(value, F.xxhash64(F.lit(name), place)).alias(name)
-                                  for name, value in found.items())))
+    meta = meta.withColumns({"_place": place, "_ordinal": F.monotonically_increasing_id()})
+    points = stored(meta.select("doc_id", "size", "text_crc32", "_place", "_ordinal", *(
+        spread(value, F.xxhash64(F.lit(name), "_place"), F.col("_ordinal")).alias(name)
+        for name, value in found.items())))
     rows = shard_points(points, sorted(found), shards)
-    rows = rows.select("doc_id", "size", "text_crc32", F.col("shard").cast("int"), "_place")
+    rows = rows.select("doc_id", "size", "text_crc32", F.col("shard").cast("int"), "_place", "_ordinal")
     count = points.count()
     buckets = max(1, -(-count // (shards * ROWS_PER_BUCKET)))
     rows = (rows.withColumn("_one", F.lit(1))
-            .withColumn("_bucket", F.pmod(F.col("_place"), F.lit(buckets))))
-    rows = running_totals(rows, ["shard"], "_bucket", ["_place", "doc_id"], "_one", "slot")
+            .withColumn("_bucket", F.pmod(F.xxhash64("_place", "_ordinal"), F.lit(buckets))))
+    rows = running_totals(rows, ["shard"], "_bucket", ["_place", "_ordinal"], "_one", "slot")
     return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
                        F.col("slot").cast("long"), F.lit(None).cast("int").alias("grown_shard"))

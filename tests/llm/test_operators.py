@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from flatweave.llm import (ann, chat, jaccard, kneser, language, mixing, neardup, packing, sharding,
                            substrings, suffixes)
@@ -148,7 +149,9 @@ def test_chat_against_sql(spark):
              (2, 2, "user", "c"), (3, 0, "user", "a"), (3, 1, "assistant", None), (4, 0, "user", ""),
              (5, 0, "user", None), (6, 0, "user", "a"), (6, 1, "assistant", "b"), (6, 2, "user", "c"),
              (7, 3, "user", "a"), (7, 9, "assistant", "b"), (8, None, None, None), (None, 0, "user", "z"),
-             (9, 0, "user", "a"), (9, 0, "user", "a"), (9, 1, "user", "x" * 9000)]
+             (9, 0, "user", "a"), (9, 0, "user", "a"), (9, 1, "user", "x" * 9000),
+             # A null role before a text, and that text as a role before a null: no equals.
+             (21, 0, None, "user"), (22, 0, "user", None), (23, 0, None, "user"), (23, 1, "x", "y")]
     frame = spark.createDataFrame([(*t, 1) for t in turns],
                                   "conv_id long, turn long, role string, text string, position int")
     con = duckdb.connect()
@@ -157,7 +160,7 @@ def test_chat_against_sql(spark):
     want = sorted(con.sql(f"select {', '.join(columns)} from ({chat.RENDERED_SQL})").fetchall())
     got = chat.rendered(frame)
     assert sorted(tuple(r) for r in got.select(columns).collect()) == want
-    assert {r[0] for r in want} == {2, 3, 4, 5, 8, 9}
+    assert {r[0] for r in want} == {2, 3, 4, 5, 8, 9, 23} and 5 in {r[0] for r in want}
     assert chat.rendered(frame.where("false")).count() == 0
 
 
@@ -244,11 +247,48 @@ def test_mixture_takes_prefixes(spark, docs, nothing):
     for r in rows:
         leaves[r.domain, r.language, r.source].append(r)
     for leaf in leaves.values():
-        got, most = sum(r.tokens * r.epoch_copies for r in leaf), max(r.tokens for r in leaf)
-        assert leaf[0].budget <= got < leaf[0].budget + max(most, 1) or got == sum(r.tokens for r in leaf) * 2
+        assert sum(r.tokens_taken for r in leaf) == leaf[0].budget
+        cut = [r for r in leaf if r.tokens_taken not in (r.tokens * r.epoch_copies,)]
+        assert len(cut) <= 1 and all(0 < r.tokens * r.epoch_copies - r.tokens_taken < r.tokens for r in cut)
     assert mixing.mixed(nothing).count() == 0
 
 
+def test_texts_are_the_prefix_of_the_epochs(spark, docs, texts):
+    """Which documents are taken, by a plain walk over the hash order of every leaf."""
+    rows = spark.createDataFrame(
+        [(None if i % 5 == 3 else i, " ".join(f"w{j}" for j in range(i % 13)) + " " * (i % 2), "en" if i % 3 else None,
+          f"s{i % 2}", 7, 1, 2) for i in range(120)] + [(7, "same text of five words", "en", "s1", 7, 1, 2)] * 40
+        + [(None, "x y z", "en", "s0", 7, 1, 2)] * 50, DOCS).repartition(3)
+    for fraction, epochs in ((0.7, 2), (1.0, 2), (0.3, 1), (2.0, 2), (0.0, 1)):
+        mixture = mixing.Mixture(rows, fraction=fraction, epochs=epochs)
+        info = mixture.placed.collect()
+        leaves = defaultdict(list)
+        for r in info:
+            leaves[r.domain, r.language, r.source].append(r)
+        want = Counter()
+        for leaf in leaves.values():
+            left = leaf[0].budget
+            supply = sum(r._n * r._tokens for r in leaf)
+            whole = left // supply if supply else 0
+            left -= whole * supply
+            for r in sorted(leaf, key=lambda r: (r._order, r._id is not None, r._id or 0, r._tie)):
+                for _ in range(r._n):
+                    taken = min(left, r._tokens)
+                    if left > 0 and (taken or not r._tokens):
+                        want[r._id, r.domain, taken, r._tokens] += 1
+                    left -= taken
+                want[r._id, r.domain, r._tokens, r._tokens] += whole * r._n
+        got = mixture.texts()
+        assert got.columns == rows.columns
+        held = got.collect()
+        assert Counter((r.doc_id, len(words(r.text))) for r in held) == sum(
+            (Counter({(k[0], k[2]): n}) for k, n in want.items() if n), Counter())
+        assert all(r.n_chars in (7, len(r.text)) for r in held)
+        sums = mixture.rows().collect()
+        assert len(sums) == rows.count()
+        assert sum(r.tokens_taken for r in sums) == sum(len(words(r.text)) for r in held)
+
+
 # 6
 
 def test_suffix_arrays():
@@ -334,8 +374,63 @@ def test_shards(spark, docs, nothing):
     assert sharding.sharded(nothing).count() == 0
 
 
+def test_cuts_equal_a_plain_tree(spark):
+    """The same points cut by sorting whole nodes: what passes the weighted median goes right."""
+    real = spark.read.parquet(f"{SMALL}/documents.parquet")
+    names = ["by_lang", "by_size", "by_source"]
+    place = F.xxhash64("doc_id")
+    points = real.select("doc_id", (F.octet_length("text") + 8).cast("long").alias("size"), "source", "lang")
+    found = sharding.dimensions(points)
+    points = points.select("doc_id", "size", *(sharding.spread(found[n], F.xxhash64(F.lit(n), place), F.col("doc_id"))
+                                               .alias(n) for n in names)).cache()
+    rows = [r.asDict() for r in points.collect()]
+    whole = {n: max(r[n] for r in rows) - min(r[n] for r in rows) for n in names}
+    want = {}
+
+    def cut(part, first, shards):
+        if shards == 1:
+            want.update((r["doc_id"], first) for r in part)
+            return
+        width = {n: (max(r[n] for r in part) - min(r[n] for r in part)) / whole[n] for n in names}
+        axis = max(names, key=lambda n: width[n])
+        aim, total, left = sum(r["size"] for r in part) * (shards // 2) / shards, 0, []
+        for r in sorted(part, key=lambda r: r[axis]):
+            total += r["size"]
+            if total > aim:
+                break
+            left.append(r)
+        kept = {r["doc_id"] for r in left}
+        cut(left, first, shards // 2)
+        cut([r for r in part if r["doc_id"] not in kept], first + shards // 2, shards - shards // 2)
+
+    cut(rows, 0, 7)
+    assert {r.doc_id: r.shard for r in sharding.shard_points(points, names, 7, tolerance=0.0).collect()} == want
+
+
+def test_many_equal_rows_are_dealt_out(spark):
+    docs = spark.range(8000).selectExpr(
+        "if(id < 4000, null, id) as doc_id", "if(id < 4000, 'the same text', repeat('x', int(id % 97))) as text",
+        "'s' as source", "'en' as lang")
+    sizes = defaultdict(list)
+    for r in sharding.sharded(docs).collect():
+        sizes[r.shard].append((r.size, r.slot))
+    sums = [sum(s for s, _ in part) for part in sizes.values()]
+    assert set(sizes) == set(range(24)) and max(sums) - min(sums) <= 2 * 105
+    assert all(sorted(s for _, s in part) == list(range(len(part))) for part in sizes.values())
+
+
 # 9
 
+def test_a_hundred_thousand_equal_rows_are_packed(spark):
+    docs = spark.range(100_000).selectExpr("cast(null as long) as doc_id",
+                                           "if(id % 2 = 0, null, 'five words are in here') as text")
+    rows = packing.packed(docs).groupBy("sequence_id").agg(F.sum("length").alias("n"), F.count("*").alias("k"))
+    made = rows.agg(F.sum("n").alias("tokens"), F.sum("k").alias("pieces"), F.max("n").alias("most"),
+                    F.count("*").alias("windows")).first()
+    assert made.pieces == 100_000 and made.most <= 1024
+    assert made.tokens / 1024 / made.windows >= 0.99
+
+
 def test_packing(spark, docs, texts, nothing):
     from tokenizers import Tokenizer
 
@@ -368,6 +463,17 @@ def test_packing(spark, docs, texts, nothing):
     assert packing.packed(nothing).count() == 0
 
 
+def test_classes_of_equal_sizes_spread_as_well_as_differencing():
+    rng = np.random.default_rng(6)
+    for sizes in (np.full(1000, 7), rng.integers(1, 257, 900), np.append(np.full(500, 256), rng.integers(1, 99, 80))):
+        windows = -(-int(sizes.sum()) // 1024)
+        found = packing.spread(sizes, windows)
+        assert ((0 <= found) & (found < windows)).all()
+        sums = np.bincount(found, weights=sizes, minlength=windows)
+        plain = np.bincount(packing.differencing(sizes, windows), weights=sizes, minlength=windows)
+        assert np.ptp(sums) <= max(np.ptp(plain), sizes.max())
+
+
 def test_differencing_is_near_equal():
     sizes = np.sort(np.random.default_rng(0).integers(1, 256, 400))[::-1]
     sums = np.bincount(packing.differencing(sizes, 40), weights=sizes, minlength=40)
