@@ -1,7 +1,8 @@
 """The corpus pipeline: documents through five stages, each calling one training-data operator.
 
 Every stage takes (spark, docs, sf_dir) and returns a frame that is written as Parquet and read
-again as the next one's docs. All but the last return the columns of documents.
+again as the next one's docs. All but the last return the columns of documents. A stage adds
+columns only under names that clash with none, so any further columns pass as they are.
 """
 
 from __future__ import annotations
@@ -9,17 +10,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flatweave.llm import jaccard, language, mixing, packing, substrings
-from flatweave.llm.common import stored, table
+from flatweave.llm.bloom import split_by_keys
+from flatweave.llm.common import column, fresh, stored, table
 
 #: A text whose profile agrees less than this with every language is no language.
 LEAST_SCORE = 0.2
-#: Share of the tokens that the mixture keeps. In one epoch no document is repeated.
-FRACTION = 0.8
+#: Tokens of the mixture as a share of the input's, and how often a document is taken at most.
+FRACTION, EPOCHS = 1.0, 2
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,56 +31,69 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """
     profiles = language.learn_profiles(docs)
     if not profiles:
-        return docs.where(F.col("text").cast("string").rlike(r"\p{L}"))
-    marked = language.identify(docs, profiles, lang_pred="_lang_pred", score="_score")
-    return marked.where((F.col("_lang_pred") != language.UNKNOWN)
-                        & (F.col("_score") >= LEAST_SCORE)).select(docs.columns)
+        return docs.where(column(docs, "text").cast("string").rlike(r"\p{L}"))
+    pred, score = (fresh(n, docs.columns) for n in ("_lang_pred", "_score"))
+    marked = language.identify(docs, profiles, lang_pred=pred, score=score)
+    return marked.where((F.col(pred) != language.UNKNOWN)
+                        & (F.col(score) >= LEAST_SCORE)).drop(pred, score)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the one with the smallest id stays, and of repeated rows one.
 
     A document is a distinct pair of id and text. Those without an id come last; among equals
-    a hash of id and text decides. Rows are repeated if they are equal in id and text.
+    a hash of id and text decides. Rows are repeated if they are equal in id and text; the one
+    that stays is told by a hash of all its columns.
     """
-    text = F.col("text").cast("string")
-    doc_id = F.col("doc_id").cast("long")
-    keyed = docs.withColumn("_key", jaccard.document_key(doc_id, text))
-    rows = keyed.select(F.col("_key").alias("key"), doc_id.alias("doc_id"), text.alias("text"))
+    name = fresh("_key", docs.columns)
+    text, doc_id = column(docs, "text").cast("string"), column(docs, "doc_id").cast("long")
+    keyed = docs.withColumn(name, jaccard.document_key(doc_id, text))
+    rows = keyed.select(F.col(name).alias("key"), doc_id.alias("doc_id"), text.alias("text"))
     _, found = jaccard.linked_components(rows)
-    placed = found.join(rows.select("key", "doc_id").distinct(), "key")
+    names = stored(rows.groupBy("key").agg(F.max("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n")))
+    placed = found.join(names, "key")
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
     first = placed.groupBy("component").agg(F.min(rank).alias("first"))
-    gone = (placed.join(first, "component").where("key <> first.key")
-            .select(F.col("key").alias("_gone")))
-    kept = keyed.join(gone, F.col("_key") == F.col("_gone"), "left_anti")
-    return (kept.groupBy("_key").agg(F.min(F.struct(*docs.columns)).alias("_row"))
-            .select("_row.*"))
+    gone = stored(placed.join(first, "component").where("key <> first.key").select("key"))
+    repeated = names.where("n > 1").select("key")
+    # Only rows that go, or are repeated, are shuffled with their texts.
+    alone, perhaps = split_by_keys(keyed, F.col(name), gone.unionAll(repeated).distinct())
+    kept = perhaps.join(gone, F.col(name) == F.col("key"), "left_anti")
+    row = F.struct(*(column(kept, c).alias(c) for c in docs.columns))
+    one = (kept.groupBy(name).agg(F.max_by(row, F.xxhash64(F.to_json(row))).alias("_row"))
+           .select("_row.*"))
+    return alone.drop(name).unionByName(one)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Bytes go that an earlier text holds too; a text of which nothing is left goes whole."""
-    doc, tie = substrings.keyed(F.col("doc_id"), F.col("text").cast("string"))
-    rows = docs.withColumn("_doc", doc).withColumn("_tie", tie)
-    runs = (substrings.repeated_runs(rows.select(F.col("_doc").alias("doc"),
-                                                 F.col("_tie").alias("tie"), "text"))
-            .groupBy(F.col("doc").alias("_doc"), F.col("tie").alias("_tie"))
-            .agg(F.collect_set(F.struct("start", "windows")).alias("_runs")))
-
-    @F.pandas_udf("string")
-    def cut(texts: pd.Series, found: pd.Series) -> pd.Series:
-        return pd.Series([_cut(text, some) for text, some in zip(texts, found)], dtype=object)
-
-    joined = rows.join(runs, ["_doc", "_tie"], "left")
-    joined = joined.withColumn("_cut", F.when(F.col("_runs").isNull(), F.col("text"))
-                               .otherwise(cut("text", "_runs")))
-    joined = joined.where("_runs is null or length(trim(_cut)) > 0")
-    fresh = {"text": F.col("_cut"), "n_chars": F.when(F.col("_runs").isNull(), F.col("n_chars"))
-             .otherwise(F.length("_cut")).cast("long")}
-    return joined.select(*(fresh.get(c, F.col(c)).alias(c) for c in docs.columns))
-
-
-def _cut(text: str | None, runs) -> str | None:
+    names = [fresh(n, docs.columns) for n in ("_doc", "_tie", "_runs")]
+    doc, tie = substrings.keyed(column(docs, "doc_id"), column(docs, "text").cast("string"))
+    rows = docs.withColumns(dict(zip(names, (doc, tie))))
+    runs = stored(substrings.repeated_runs(rows.select(
+        F.col(names[0]).alias("doc"), F.col(names[1]).alias("tie"),
+        column(rows, "text").cast("string").alias("text")))
+        .groupBy("doc", "tie").agg(F.collect_set(F.struct("start", "windows")).alias("runs")))
+
+    @F.arrow_udf("string")
+    def cut(texts: pa.Array, found: pa.Array) -> pa.Array:
+        return pa.array([_cut(t.as_py(), some.as_py()) for t, some in zip(texts, found)], pa.string())
+
+    # Only texts that may hold a repeat are shuffled.
+    alone, perhaps = split_by_keys(rows, F.xxhash64(*names[:2]),
+                                   runs.select(F.xxhash64("doc", "tie").alias("key")).distinct())
+    joined = perhaps.join(runs.toDF(*names), names[:2], "left")
+    found, text = F.col(names[2]), column(joined, "text").cast("string")
+    after = fresh("_cut", [*docs.columns, *names])
+    joined = joined.withColumn(after, F.when(found.isNull(), text).otherwise(cut(text, found)))
+    joined = joined.where(found.isNull() | (F.length(F.trim(after)) > 0))
+    new = {"text": F.col(after), "n_chars": F.when(found.isNull(), F.col("n_chars")).otherwise(
+        F.length(after)).cast("long")}
+    return alone.drop(*names[:2]).unionByName(
+        joined.select(*(new.get(c, column(joined, c)).alias(c) for c in docs.columns)))
+
+
+def _cut(text: str | None, runs: list | None) -> str | None:
     if text is None or runs is None:
         return text
     body = np.frombuffer(text.encode("utf-8", "replace"), dtype=np.uint8)
@@ -88,12 +103,13 @@ def _cut(text: str | None, runs) -> str | None:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mixture takes, once each; repeated rows go or stay together."""
-    taken, _ = mixing.mixture(docs, fraction=FRACTION, epochs=1)
-    taken = (taken.where("epoch_copies > 0")
-             .select(F.col("_id").alias("_taken"), F.col("_tie").alias("_taken_tie")).distinct())
-    return docs.join(taken, F.col("doc_id").eqNullSafe(F.col("_taken"))
-                     & F.xxhash64("text").eqNullSafe(F.col("_taken_tie")), "left_semi")
+    """The mixture has as many tokens as its input, dealt by the weights.
+
+    A document of a scarce leaf comes as a row for every epoch that takes it; the last one that
+    a leaf takes is cut at the token where the leaf's budget ends, and is then named by its
+    own n_chars.
+    """
+    return mixing.taken_texts(docs, fraction=FRACTION, epochs=EPOCHS)
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
