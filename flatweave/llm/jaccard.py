@@ -37,8 +37,9 @@ COUNTED = int(0.375 * 2 ** 48)
 #: Shingles a task holds before it passes them on; documents of a bucket compared at a time.
 HELD = 1 << 21
 BLOCK = 1024
-#: Bytes of sets that a part of the last step is planned for.
+#: Bytes of sets, and rows of buckets, that a part of the last step is planned for.
 PART_BYTES = 2 << 20
+PART_ROWS = 8192
 #: Digests of sets that a task remembers as sent, and pairs that it remembers as not linked.
 SETS_KNOWN = 1 << 18
 PAIRS_KNOWN = 1 << 20
@@ -354,8 +355,8 @@ def shared_links(rows: DataFrame, sets: DataFrame, sizes: DataFrame) -> DataFram
     """
     met = rows.select("id").distinct()
     held = 6 * (sizes.join(met, "id").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
-    parts = max(1, -(-int(held) // PART_BYTES))
-    rows = units(rows, exact=True)
+    rows = stored(units(rows, exact=True))
+    parts = max(1, -(-int(held) // PART_BYTES), -(-rows.count() // PART_ROWS))
     rows = stored(rows.withColumn("part", F.pmod(F.when(F.col("blocks") == 1, F.xxhash64("least"))
                                                  .otherwise(F.xxhash64("bucket", "left", "right")),
                                                  F.lit(parts)).cast("int")))
@@ -500,33 +501,39 @@ def contained(tokens: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, tokens), len(known) - 1)] == tokens
 
 
-def _exploded(every: bool, common: Broadcast, those: bool):
-    """(token, id, label, n): of every set its counted tokens or every one; n is the set's size.
+def _slices(batch: pa.RecordBatch, every: bool) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first row, row of each token, tokens, sizes of the sets) of a bounded number of sets.
 
-    Of the common tokens, or of all others.
+    Of all tokens, or of the counted ones.
     """
+    data, offsets = bytes_of(batch.column(1))
+    for low, high in slices(offsets):
+        part = offsets[low:high + 1]
+        tokens, sizes = unpack48(data[part[0]:part[-1]]), np.diff(part) // 6
+        rows = np.repeat(np.arange(high - low), sizes)
+        if not every:
+            rows, tokens = rows[tokens < U64(COUNTED)], tokens[tokens < U64(COUNTED)]
+        yield low, rows, tokens, sizes
+
+
+def _exploded(every: bool, common: np.ndarray):
+    """(token, id, label) of every set (id, tokens, label), common tokens left out."""
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = common.value
         for batch in batches:
-            data, offsets = bytes_of(batch.column(1))
-            # A bounded number of sets at a time: their rows are wider than their bytes.
-            for low, high in slices(offsets):
-                part = offsets[low:high + 1]
-                tokens, sizes = unpack48(data[part[0]:part[-1]]), np.diff(part) // 6
-                keep = np.ones(len(tokens), dtype=bool) if every else tokens < U64(COUNTED)
-                keep &= contained(tokens, known) == those
-                at = np.repeat(np.arange(low, high), sizes)[keep]
+            for low, rows, tokens, _ in _slices(batch, every):
+                keep = ~contained(tokens, common)
+                at = pa.array(rows[keep] + low)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(tokens[keep].astype(np.int64)), batch.column(0).take(pa.array(at)),
-                     batch.column(2).take(pa.array(at)), pa.array(sizes[at - low].astype(np.int32))],
-                    names=["token", "id", "label", "n"])
+                    [pa.array(tokens[keep].astype(np.int64)), batch.column(0).take(at),
+                     batch.column(2).take(at)], names=["token", "id", "label"])
     return explode
 
 
-def common_tokens(sets: DataFrame, most: int = MOST_COMMON) -> Broadcast:
+def common_tokens(sets: DataFrame, most: int = MOST_COMMON) -> np.ndarray:
     """Tokens that some task found in a large share of its sets, so that their rows need no one place.
 
     They are handled apart, with the same results. Of more than the bound the most frequent count.
+    Sorted; they go to the tasks with the code that needs them.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -551,8 +558,69 @@ def common_tokens(sets: DataFrame, most: int = MOST_COMMON) -> Broadcast:
 
     found = sets.select("tokens").mapInArrow(count, "token long, n long").groupBy("token").agg(
         F.sum("n").alias("n")).orderBy(F.desc("n"), "token").limit(most)
-    tokens = np.sort(np.array([r.token for r in found.collect()], dtype=np.uint64))
-    return sets.sparkSession.sparkContext.broadcast(tokens)
+    return np.sort(np.array([r.token for r in found.collect()], dtype=np.uint64))
+
+
+def common_facts(sets: DataFrame, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each common token whether one label has all sets (id, tokens, label) with it, and their number.
+
+    Each task adds up its own sets, so a token in very many of them is as many rows as there are tasks.
+    """
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        least = np.full(len(common), np.iinfo(np.int64).max)
+        most, many = np.full(len(common), np.iinfo(np.int64).min), np.zeros(len(common), np.int64)
+        for batch in batches:
+            labels = batch.column(2).to_numpy()
+            for low, rows, tokens, _ in _slices(batch, True):
+                keep = contained(tokens, common)
+                at, label = np.searchsorted(common, tokens[keep]), labels[rows[keep] + low]
+                np.minimum.at(least, at, label)
+                np.maximum.at(most, at, label)
+                many += np.bincount(at, minlength=len(common))
+        seen = np.flatnonzero(many)
+        yield pa.RecordBatch.from_arrays([pa.array(x[seen]) for x in (np.arange(len(common)), least, most, many)],
+                                         names=["place", "low", "high", "df"])
+
+    closed, df = np.zeros(len(common), dtype=bool), np.zeros(len(common), np.int64)
+    if len(common):
+        sums = sets.mapInArrow(add, "place long, low long, high long, df long").groupBy("place").agg(
+            F.min("low").alias("low"), F.max("high").alias("high"), F.sum("df").alias("df"))
+        for place, low, high, many in sums.collect():  # at most MOST_COMMON rows
+            closed[place], df[place] = low == high, many
+    return closed, df
+
+
+def _summed_up(every: bool, common: np.ndarray, closed: np.ndarray, df: np.ndarray):
+    """What a set's common tokens are, one row a set: (id, n, label, closed, room, needed).
+
+    closed counts those of one label. If all other tokens came first in the order of a prefix,
+    with closed ones at the front, then room places of it were left, and needed are the tokens
+    there; a room below zero tells how many of the other tokens are beyond the prefix.
+    """
+    def sum_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low, rows, tokens, sizes in _slices(batch, every):
+                keep = contained(tokens, common)
+                rows, at = rows[keep], np.searchsorted(common, tokens[keep])
+                held = np.bincount(rows, minlength=len(sizes))
+                shut = np.bincount(rows[closed[at]], minlength=len(sizes))
+                length = sizes - -(-sizes * NUMERATOR // DENOMINATOR) + 1
+                room = length - shut - (sizes - held)
+                rows, at = rows[~closed[at]], at[~closed[at]]
+                order = np.lexsort((at, df[at], rows))
+                rows, at = rows[order], at[order]
+                rank = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left")
+                first = rank < room[rows]
+                ends = np.append(0, np.cumsum(np.bincount(rows[first], minlength=len(sizes))))
+                needed = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)),
+                                                  pa.array(common[at[first]].astype(np.int64)))
+                some = slice(low, low + len(sizes))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0)[some], pa.array(sizes), batch.column(2)[some], pa.array(shut),
+                     pa.array(room), needed], names=["id", "n", "label", "closed", "room", "needed"])
+    return sum_up
+
+
 
 
 def _labelled(reps: DataFrame, found: DataFrame) -> DataFrame:
@@ -564,55 +632,53 @@ def _edges(found: DataFrame) -> DataFrame:
     return found.select(F.col("id").alias("a"), F.col("component").alias("b"))
 
 
-EXPLODED = "token long, id long, label long, n int"
+EXPLODED = "token long, id long, label long"
+SUMMED = "id long, n long, label long, closed long, room long, needed array<long>"
 
 
-def _extent(sets: DataFrame, labels: DataFrame, every: bool, common: Broadcast) -> DataFrame:
-    """(token, id, label, n, low, high, df) of the sets in labels (id, n, label).
+def _extents(sets: DataFrame, labels: DataFrame, every: bool, common: np.ndarray) -> tuple[DataFrame, DataFrame]:
+    """Of the sets in labels (id, n, label): (token, id, low, high, df), and SUMMED for each set.
 
     low and high are the least and the largest label of the sets that hold the token, df is their
-    number. Rows of a common token stay where they are and get what its partial sums tell; those of another
-    meet in one task.
+    number; rows of one token meet in one task. Common tokens are not among them, but in the sums.
     """
     rows = sets.join(labels.select("id", "label"), "id").select("id", "tokens", "label")
-    facts = F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("df")
     by = Window.partitionBy("token")
-    rare = rows.mapInArrow(_exploded(every, common, False), EXPLODED)
-    rare = rare.select("*", *(fact.over(by).alias(name) for fact, name in (
-        (F.min("label"), "low"), (F.max("label"), "high"), (F.count(F.lit(1)), "df"))))
-    many = rows.mapInArrow(_exploded(every, common, True), EXPLODED)
-    # At most MOST_COMMON rows are broadcast.
-    return rare.unionByName(many.join(F.broadcast(many.groupBy("token").agg(*facts)), "token"))
+    rare = rows.mapInArrow(_exploded(every, common), EXPLODED)
+    rare = rare.select("token", "id", F.min("label").over(by).alias("low"), F.max("label").over(by).alias("high"),
+                       F.count(F.lit(1)).over(by).alias("df"))
+    closed, df = common_facts(rows, common)
+    return rare, rows.mapInArrow(_summed_up(every, common, closed, df), SUMMED)
 
 
-def _not_closed(sets: DataFrame, labels: DataFrame, every: bool, common: Broadcast) -> DataFrame:
+def _not_closed(sets: DataFrame, labels: DataFrame, every: bool, common: np.ndarray) -> DataFrame:
     """Of labels (id, n, label) those that can link outside their component, among the sets given.
 
     A token is closed if all these sets that hold it are of one component; a set with more than
     (1 - threshold) of its tokens closed is done. Counted tokens, or every one, are looked at.
     """
-    inside = (_extent(sets, labels, every, common).where("low = high")
-              .groupBy("id").agg(F.count(F.lit(1)).alias("closed")))
-    return stored(labels.join(inside, "id", "left")
-                  .where(f"coalesce(closed, 0) * {DENOMINATOR} <= n * {DENOMINATOR - NUMERATOR}")
+    rare, sums = _extents(sets, labels, every, common)
+    inside = rare.where("low = high").groupBy("id").agg(F.count(F.lit(1)).alias("_shut"))
+    return stored(sums.join(inside, "id", "left")
+                  .where(f"(coalesce(_shut, 0) + closed) * {DENOMINATOR} <= n * {DENOMINATOR - NUMERATOR}")
                   .select("id", "n", "label"))
 
 
-def rarest_prefixes(sets: DataFrame, labels: DataFrame, common: Broadcast) -> DataFrame:
+def rarest_prefixes(sets: DataFrame, labels: DataFrame, common: np.ndarray) -> DataFrame:
     """(bucket, id, label): where those of labels (id, n, label) meet whatever they may link with.
 
-    Of a set's n tokens, with closed ones first and the others from the rarest to the most common,
+    Of a set's n tokens, with closed ones first, then from the rarest on and the common ones last,
     the first n - ceil(threshold * n) + 1 are its prefix. Two sets of different components share
     no closed token, and if they link, the first token they share is in both prefixes. So a
     common line or passage is a bucket only for sets that consist of little else.
     """
-    open_ = _extent(sets, labels, True, common).where("low <> high").select("token", "id", "df")
-    by = Window.partitionBy("id")
-    ranked = open_.select("token", "id", F.count(F.lit(1)).over(by).alias("open"),
-                          F.row_number().over(by.orderBy("df", "token")).alias("rank"))
-    length = F.expr(f"n - ceil(n * {NUMERATOR} / {DENOMINATOR}) + 1")
-    return (ranked.join(labels, "id").where(F.col("rank") <= length - (F.col("n") - F.col("open")))
-            .select(F.col("token").alias("bucket"), "id", "label"))
+    rare, sums = _extents(sets, labels, True, common)
+    sums, by = stored(sums), Window.partitionBy("id")
+    ranked = rare.where("low <> high").select(
+        "token", "id", F.count(F.lit(1)).over(by).alias("open"),
+        F.row_number().over(by.orderBy("df", "token")).alias("rank"))
+    return (ranked.join(sums, "id").where("rank <= room + open").select(F.col("token").alias("bucket"), "id", "label")
+            .unionByName(sums.select(F.explode("needed").alias("bucket"), "id", "label")))
 
 
 def document_key(doc_id: Column, text: Column) -> Column:

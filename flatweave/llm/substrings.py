@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flatweave.llm.bloom import split_by_keys
 from flatweave.llm.common import stored
 from flatweave.llm.suffixes import suffix_arrays
 from flatweave.llm.text import U64, RangeHash, bytes_of, mix, slices
@@ -37,6 +38,8 @@ LENGTH = 100
 GRAM = 32
 #: Contexts of a gram that one suffix array takes.
 CONTEXTS = 32
+#: Anchors that a task looks through together before it sends them on.
+ANCHORS = 1 << 19
 #: Bytes whose anchors are found, and bytes of lanes whose suffixes are sorted, at a time.
 PIECE = 1 << 18
 LANES = 1 << 20
@@ -108,76 +111,131 @@ def keyed(doc_id: Column, text: Column) -> tuple[Column, Column]:
             F.when(doc_id.isNull(), tie).otherwise(-1 - tie))
 
 
-PLACES = "gram long, context long, doc long, tie long, place long"
+PLACES = "gram long, context long, doc long, tie long, place long, kind int"
+
+#: What is known of an anchor: nothing yet; all its windows repeat; its suffix array or the hashes
+#: of its windows tell.
+OPEN, REPEATED, SORTED, HASHED = 0, 1, 2, 3
+#: In place of a context: some task has seen more contexts of the gram than a suffix array takes.
+LARGE = -1
 
 
 def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The anchors of all windows, with what a task can tell of them by itself.
+
+    Of a chunk's anchors with one gram and context only the first can be the first of all; the
+    others are repeated. A gram with more contexts than a suffix array takes needs no further
+    count. So a passage in very many documents sends few rows to the task that its gram is dealt to.
+    """
+    held: list[tuple[np.ndarray, ...]] = []
+    size = 0
+
+    def flush() -> pa.RecordBatch:
+        cells = [np.concatenate(x) for x in zip(*held)] if held else [np.zeros(0, np.int64)] * 5
+        return _batch(*_told(*cells))
+
     for batch in batches:
         data, offsets = bytes_of(batch.column(2))
+        docs, ties = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
         for low, high, start, stop in long_pieces(offsets):
             part = np.clip(offsets[low:high + 1], start, stop) - start
             gram, context, row, place = anchors(data[start:stop], part)
             if high - low == 1:
                 place = place + (start - int(offsets[low]) << START)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(gram.astype(np.int64)), pa.array(context.astype(np.int64)),
-                 batch.column(0).take(pa.array(row + low)),
-                 batch.column(1).take(pa.array(row + low)), pa.array(place)],
-                names=["gram", "context", "doc", "tie", "place"])
-
-
-#: What was decided of an anchor: all its windows repeat; its suffix array or window hashes tell.
-REPEATED, SORTED, HASHED = 1, 2, 3
+            held.append((gram.astype(np.int64), context.astype(np.int64), docs[row + low],
+                         ties[row + low], place))
+            size += len(gram)
+            if size >= ANCHORS:
+                yield flush()
+                held.clear()
+                size = 0
+    if held:
+        yield flush()
+
+
+def _batch(*cells: np.ndarray) -> pa.RecordBatch:
+    names = [n.split()[0] for n in PLACES.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in cells], names=names)
+
+
+def _told(gram, context, doc, tie, place) -> tuple[np.ndarray, ...]:
+    """Columns of PLACES for a chunk's anchors; the same place of one document is kept once."""
+    kind = np.zeros(len(gram), dtype=np.int32)
+    order = np.argsort((gram.view(U64) * U64(0x9E3779B97F4A7C15)) ^ context.view(U64), kind="stable")
+    g, c = gram[order], context[order]
+    twin = np.append(False, (g[1:] == g[:-1]) & (c[1:] == c[:-1]))[:len(g)]
+    several = order[twin | np.append(twin[1:], False)[:len(g)]]
+    rows = several[np.lexsort([x[several] for x in (place, tie, doc, context, gram)])]
+    later = np.append(False, (gram[rows][1:] == gram[rows][:-1])
+                      & (context[rows][1:] == context[rows][:-1]))[:len(rows)]
+    kind[rows[later]] = REPEATED
+    same = later & np.append(False, (doc[rows][1:] == doc[rows][:-1]) & (tie[rows][1:] == tie[rows][:-1])
+                             & (place[rows][1:] >> START == place[rows][:-1] >> START))[:len(rows)]
+    keep = np.ones(len(gram), dtype=bool)
+    keep[rows[same]] = False
+    found, counts = np.unique(gram[kind == OPEN], return_counts=True)
+    large = found[counts > CONTEXTS]
+    kind[np.isin(gram, large) & (kind == OPEN)] = HASHED
+    cells = [x[keep] for x in (gram, context, doc, tie, place, kind)]
+    marks = (large, *(np.full(len(large), x, np.int64) for x in (LARGE, 0, 0, 0)),
+             np.full(len(large), OPEN, np.int32))
+    return tuple(np.concatenate(x) for x in zip(cells, marks))
 
 
 def _decided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come in order of gram, context, doc, tie, place. A gram's rows are held until it ends.
+    """Rows of PLACES come in order of kind, gram, context, doc, tie, place.
 
-    Equal places of one document are the same bytes, found twice; one of them goes on.
+    What is told already passes. Of an open gram only the first row of each context waits for the
+    end of the gram, and no more than a suffix array takes; any other is repeated.
     """
-    held: list[np.ndarray] = []
-    open_gram, hot = None, False  # of the gram that goes on: whether it is known to be large
-
-    def judge(rows: np.ndarray, large: bool) -> pa.RecordBatch:
-        gram, context, doc, tie, place = rows
-        new_gram = np.append(True, gram[1:] != gram[:-1])
-        new = new_gram | np.append(True, context[1:] != context[:-1])
-        which = np.cumsum(new_gram) - 1
-        contexts = np.bincount(which, weights=new).astype(np.int64)[which]
-        same = ~new & np.append(False, (doc[1:] == doc[:-1]) & (tie[1:] == tie[:-1])
-                                & (place[1:] >> START == place[:-1] >> START))
-        kind = np.where(~new, REPEATED, np.where(large | (contexts > CONTEXTS), HASHED,
-                                                 np.where(contexts > 1, SORTED, 0)))
-        keep = np.flatnonzero((kind > 0) & ~same)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(x[keep]) for x in (gram, doc, tie, place, kind)],
-            names=["gram", "doc", "tie", "place", "kind"])
+    last = None  # the open row before
+    wait = np.zeros((5, 0), dtype=np.int64)
+    large = False  # the open gram has more contexts than a suffix array takes
+
+    def out(rows: np.ndarray, kind) -> pa.RecordBatch:
+        kinds = np.broadcast_to(np.asarray(kind, dtype=np.int64), rows.shape[1:])
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (*rows[[0, 2, 3, 4]], kinds)],
+                                          names=["gram", "doc", "tie", "place", "kind"])
+
+    def close(rows: np.ndarray, wide: np.ndarray | bool) -> pa.RecordBatch:
+        """First rows of whole grams; wide tells of which grams many contexts were seen elsewhere."""
+        grams, which, counts = np.unique(rows[0], return_inverse=True, return_counts=True)
+        many = (counts > CONTEXTS) | np.isin(grams, wide)
+        kind = np.where(many, HASHED, np.where(counts > 1, SORTED, OPEN))[which]
+        return out(rows[:, kind > OPEN], kind[kind > OPEN])
 
     for batch in batches:
-        rows = np.stack([batch.column(i).to_numpy() for i in range(5)])
+        cells = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(6)])
+        told = cells[5] != OPEN
+        if told.any():
+            yield out(cells[:5, told], cells[5, told])
+        rows = cells[:5, ~told]
         if not rows.shape[1]:
             continue
-        held.append(rows)
-        rows = np.concatenate(held, axis=1)
-        if hot and rows[0, 0] == open_gram:
-            # The last row judged stays in front, to tell whether the next context is new.
-            end = int(np.searchsorted(rows[0], open_gram, side="right"))
-            yield judge(rows[:, :end], True).slice(1)
-            if end == rows.shape[1]:
-                held = [rows[:, -1:]]
-                continue
-            rows, hot = rows[:, end:], False
-        tail = int(np.searchsorted(rows[0], rows[0, -1], side="left"))
-        if tail:
-            yield judge(rows[:, :tail], False)
-        rows = rows[:, tail:]
-        distinct = 1 + int((rows[1, 1:] != rows[1, :-1]).sum())
-        if distinct > CONTEXTS:
-            yield judge(rows, True)
-            open_gram, hot, rows = rows[0, 0], True, rows[:, -1:]
-        held = [rows]
-    if held and not hot:
-        yield judge(np.concatenate(held, axis=1), False)
+        before = np.concatenate([rows[:, :1] if last is None else last, rows[:, :-1]], axis=1)
+        new = (rows[0] != before[0]) | (rows[1] != before[1])
+        new[0] |= last is None
+        same = ~new & (rows[2] == before[2]) & (rows[3] == before[3]) & (rows[4] >> START == before[4] >> START)
+        marked = rows[1] == LARGE
+        repeated = ~new & ~same & ~marked
+        if repeated.any():
+            yield out(rows[:, repeated], REPEATED)
+        wide = rows[0, marked]
+        if last is not None and large:
+            wide = np.append(wide, last[0])
+        if last is not None and rows[0, 0] != last[0, 0]:
+            large = False
+        firsts = np.concatenate([wait, rows[:, new & ~marked]], axis=1)
+        tail = firsts[0] == rows[0, -1]
+        if not tail.all():
+            yield close(firsts[:, ~tail], wide)
+        wait, last = firsts[:, tail], rows[:, -1:]
+        large = bool((wide == last[0, 0]).any()) or wait.shape[1] > CONTEXTS
+        if large and wait.shape[1]:
+            yield out(wait, HASHED)
+            wait = wait[:, :0]
+    if wait.shape[1]:
+        yield close(wait, np.zeros(0, np.int64))
 
 
 CONTEXT = "gram long, doc long, tie long, place long, kind int, body binary"
@@ -335,13 +393,18 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
 
     Rows that share doc and tie hold the same text (see `keyed`).
     """
-    found = (docs.mapInArrow(_anchored, PLACES)
-             .repartition("gram").sortWithinPartitions("gram", "context", "doc", "tie", "place"))
+    # Rows of an open gram meet; others only pass, in any task.
+    deal = F.when(F.col("kind") == OPEN, F.col("gram")).otherwise(F.xxhash64("doc", "place"))
+    found = (docs.mapInArrow(_anchored, PLACES).repartition(deal)
+             .sortWithinPartitions("kind", "gram", "context", "doc", "tie", "place"))
     decided = stored(found.mapInArrow(_decided, "gram long, doc long, tie long, place long, kind long"))
     asked = (decided.where(f"kind <> {REPEATED}").groupBy("doc", "tie")
              .agg(F.collect_list(F.struct("gram", "place", F.col("kind").cast("int").alias("kind")))
                   .alias("asked")))
-    contexts = stored(docs.join(asked, ["doc", "tie"]).select("doc", "tie", "text", "asked")
+    # Only texts of which contexts are asked are shuffled.
+    _, perhaps = split_by_keys(docs, F.xxhash64("doc", "tie"), decided.where(f"kind <> {REPEATED}").select(
+        F.xxhash64("doc", "tie").alias("key")).distinct())
+    contexts = stored(perhaps.join(asked, ["doc", "tie"]).select("doc", "tie", "text", "asked")
                       .mapInArrow(_bodies, CONTEXT))
     by_suffix = (contexts.where(f"kind = {SORTED}").repartition("gram")
                  .sortWithinPartitions("gram", "doc", "tie", "place").mapInArrow(_sorted, RUNS))
@@ -370,10 +433,13 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     """doc, tie, n_bytes, n_removed, n_spans, kept (binary) for rows (doc, tie, text).
 
     A null text counts as empty. Rows with the same doc and tie are repeated rows of one text:
-    neither is earlier than the other. Texts shorter than LENGTH lose nothing.
+    neither is earlier than the other. Texts shorter than LENGTH lose nothing. Only texts that hold
+    a repeat are shuffled.
     """
-    runs = (repeated_runs(docs).groupBy("doc", "tie")
-            .agg(F.collect_set(F.struct("start", "windows")).alias("runs")))
+    runs = stored(repeated_runs(docs).groupBy("doc", "tie")
+                  .agg(F.collect_set(F.struct("start", "windows")).alias("runs")))
+    alone, perhaps = split_by_keys(docs, F.xxhash64("doc", "tie"),
+                                   runs.select(F.xxhash64("doc", "tie").alias("key")).distinct())
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -395,8 +461,12 @@ def without_repeats(docs: DataFrame) -> DataFrame:
                 [batch.column(0), batch.column(1), *(pa.array(c, k) for c, k in zip(cells, kinds))],
                 names=["doc", "tie", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    return (docs.join(runs, ["doc", "tie"], "left").select("doc", "tie", "text", "runs")
-            .mapInArrow(cut, "doc long, tie long, n_bytes long, n_removed long, n_spans long, kept binary"))
+    whole = alone.select("doc", "tie", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"),
+                         *(F.lit(0).cast("long").alias(n) for n in ("n_removed", "n_spans")),
+                         F.coalesce("text", F.lit("")).cast("binary").alias("kept"))
+    return whole.unionByName(perhaps.join(runs, ["doc", "tie"], "left").select("doc", "tie", "text", "runs")
+                             .mapInArrow(cut, "doc long, tie long, n_bytes long, n_removed long, "
+                                              "n_spans long, kept binary"))
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
