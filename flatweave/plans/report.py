@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, StructType
 
 from flatweave.functions.names import quoted
 from flatweave.plans.layout import FlatLayout
@@ -45,23 +46,44 @@ def refuse_to_replace(spark: SparkSession, path: str) -> None:
         raise ValueError(f"{path} holds something else than a flat table, choose another folder")
 
 
+def null_marks(expr: str, kind: DataType) -> str:
+    """Which parts of a value are NULL, as booleans in the value's own shape."""
+    if isinstance(kind, ArrayType):
+        return f"transform({expr}, x -> {null_marks('x', kind.elementType)})"
+    if isinstance(kind, StructType):
+        parts = [null_marks(f"{expr}.{quoted(f.name)}", f.dataType) for f in kind]
+        return f"named_struct('is', isnull({expr}){''.join(f', {chr(39)}p{i}{chr(39)}, {x}' for i, x in enumerate(parts))})"
+    return f"isnull({expr})"
+
+
 def row_print(df: DataFrame, salt: str) -> Column:
-    """A hash of all cells of a row; NULLs are marked, as hashing skips them."""
-    cells = ", ".join(f"{quoted(c)}, isnull({quoted(c)})" for c in df.columns)
-    return F.expr(f"xxhash64('{salt}', {cells})")
+    """A hash of all cells of a row, values first and then what is NULL, as hashing skips NULLs.
+
+    A list folds into the hash element by element, so a row of padded arrays has the print of the
+    same row with a column per slot. Whole lists are told from NULL by `list_print`.
+    """
+    cells = [*(quoted(c) for c in df.columns),
+             *(null_marks(quoted(f.name), f.dataType) for f in df.schema)]
+    return F.expr(f"xxhash64('{salt}', {', '.join(cells)})")
+
+
+def list_print(df: DataFrame) -> Column:
+    """How many elements each list has, NULL lists apart; constant for a table of padded arrays."""
+    lists = [f"coalesce(size({quoted(f.name)}), -1)" for f in df.schema if isinstance(f.dataType, ArrayType)]
+    return F.expr(f"xxhash64({', '.join(lists)})") if lists else F.lit(0).cast("long")
 
 
 def fingerprint(df: DataFrame, *more: Column) -> DataFrame:
-    """A row-order-free print of a table: its count and sums of two row hashes.
+    """A row-order-free print of a table: its count and two sums of row hashes.
 
-    Equal tables have equal prints; different ones agree with a chance of about
-    2^-128. Each task reduces its rows to one, so nothing wide is shuffled. Further
-    aggregates are taken along in the same pass.
+    Equal tables have equal prints; two tables that differ in a row agree with a chance of about
+    2^-64. Each task reduces its rows to one, so nothing wide is shuffled, and every cell is
+    hashed once. Further aggregates are taken along in the same pass.
     """
-    total = lambda salt: F.coalesce(F.sum(row_print(df, salt).cast("decimal(38,0)")), F.lit(0))
-    return df.agg(F.count(F.lit(1)).alias("n_rows"),
-                  total("a").cast("string").alias("print_a"),
-                  total("b").cast("string").alias("print_b"), *more)
+    printed = df.select("*", row_print(df, "a").alias("_print"), list_print(df).alias("_lists"))
+    total = lambda x: F.coalesce(F.sum(x.cast("decimal(38,0)")), F.lit(0)).cast("string")
+    return printed.agg(F.count(F.lit(1)).alias("n_rows"), total(F.col("_print")).alias("print_a"),
+                       total(F.xxhash64(F.lit("b"), "_print", "_lists")).alias("print_b"), *more)
 
 
 def same_table(left: DataFrame, right: DataFrame) -> bool:

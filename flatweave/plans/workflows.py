@@ -15,7 +15,7 @@ from flatweave.operators.samples import SAMPLE_ROWS
 from flatweave.plans.layout import FlatLayout, flat_layout
 from flatweave.plans.policy import resolve_tags
 from flatweave.plans.report import build_report, refuse_to_replace
-from flatweave.sources.canonical import read_canonical, write_canonical
+from flatweave.sources.canonical import Canonical, read_canonical
 from flatweave.sources.discovery import choose_table, largest_by_bytes, tables_in
 from flatweave.sources.flat_csv import WIDE_THRESHOLD, write_flat
 from flatweave.sources.manifest import (Manifest, canonical_path, manifest_path, read_census,
@@ -54,18 +54,21 @@ def scan(df: DataFrame, out_dir: str, name: str, *, tags: Tags = None, note: str
          write_parquet: bool = True, samples: int = SAMPLE_ROWS, deep_profile: bool = True,
          order_by: list[str] | None = None, source: str | None = None,
          table: str | None = None, all_tables: list[str] | None = None) -> Manifest:
-    """Profile ``df`` and store its census, and its lists-intact copy, in ``out_dir``."""
+    """Profile ``df`` and store its census, and its lists-intact copy, in ``out_dir``.
+
+    With a copy, the source is computed once: the copy is written first and then profiled.
+    """
     stamped = resolve_tags(tags)
-    path, started = manifest_path(out_dir, name), time.monotonic()
-    write_census(census(df, deep_profile, samples, order_by), path)
+    path = manifest_path(out_dir, name)
+    copy = Canonical(df, canonical_path(out_dir, name), stamped) if write_parquet else None
+    measured, started = copy.measured if copy else df, time.monotonic()
+    write_census(census(measured, deep_profile, samples, order_by), path)
     columns = read_census(df.sparkSession, path)
     seconds = time.monotonic() - started
-    copy = None
-    if write_parquet:
-        copy = write_canonical(df, columns, canonical_path(out_dir, name), stamped)
+    rows = count_rows(measured, columns)
     meta = {"name": name, "source": source, "table": table, "all_tables": all_tables,
-            "n_events": count_rows(df, columns), "note": note, "generated": datetime.now(),
-            "census_seconds": seconds, "canonical_parquet": copy, "tags": stamped}
+            "n_events": rows, "note": note, "generated": datetime.now(), "census_seconds": seconds,
+            "canonical_parquet": copy.finish(columns) if copy else None, "tags": stamped}
     write_meta(df.sparkSession, meta, path)
     return read_manifest(df.sparkSession, out_dir, name)
 

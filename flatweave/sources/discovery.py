@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +18,10 @@ SMALLEST_INPUT = 1000
 
 #: Names that Spark gives to the parts of a table.
 PART = re.compile(r"part-\d+-[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}\b.*")
+#: Names without an ending that other writers give to parts, such as 000000_0.
+BARE_PART = re.compile(r"\d+(_\d+)*")
+#: Formats whose files tell their schema in a footer.
+FOOTERS = ("parquet", "orc")
 
 
 @dataclass(frozen=True)
@@ -47,6 +52,14 @@ def entries(spark: SparkSession, path: str) -> Iterator[Entry]:
         yield Entry(at.toString(), at.getName(), status.isDirectory())
 
 
+def replace_folder(spark: SparkSession, new: str, old: str) -> None:
+    """Put a folder in the place of another one."""
+    fs, target = _at(spark, old)
+    fs.delete(target, True)
+    if not fs.rename(_at(spark, new)[1], target):
+        raise OSError(f"{new} could not be renamed to {old}")
+
+
 def folder_bytes(spark: SparkSession, path: str) -> int:
     """Bytes of all files below a path, summed by the file system."""
     fs, place = _at(spark, path)
@@ -117,17 +130,59 @@ def choose_table(tables: Mapping[str, DataFrame], name: str | None = None) -> tu
 
 def _holds_table(spark: SparkSession, path: str, suffix: str) -> bool:
     """Whether a folder has parts of a table: files with the suffix, or folders ``key=value``."""
-    return any(("=" in e.name) if e.folder else e.name.endswith(suffix)
+    return any(("=" in e.name) if e.folder else e.name.endswith(suffix) or BARE_PART.fullmatch(e.name)
                for e in entries(spark, path) if not e.hidden)
 
 
-def table_paths(spark: SparkSession, path: str, format: str = "parquet") -> dict[str, str]:
-    """Name and path of each table in a folder; none if the path is a table itself.
+def _pattern(name: str) -> str:
+    """A file name with every number in it as one mark."""
+    return re.sub(r"\d+", "#", name)
+
+
+def one_schema(spark: SparkSession, paths: Sequence[str], format: str) -> bool:
+    """Whether files can be parts of one table: no footer has a column that the first one lacks.
+
+    The footers are read and merged by Spark's own job. Formats without a footer say yes.
+    """
+    if format not in FOOTERS:
+        return True
+    first = spark.read.format(format).load(paths[0]).schema
+    try:
+        merged = spark.read.format(format).option("mergeSchema", True).load(list(paths)).schema
+    except (PySparkException, Py4JJavaError):  # columns of one name and different types
+        return False
+    names = lambda schema: [(f.name, f.dataType) for f in schema]
+    return names(merged) == names(first)
+
+
+def _grouped(spark: SparkSession, files: list[Entry], format: str) -> dict[str, tuple[str, ...]]:
+    """Name and paths of the tables that some files of a folder are.
+
+    Files whose names differ in numbers only, such as part-0 and part-1, are one table if their
+    schemas allow it; it is named by what the names share. Any other file is a table.
+    """
+    suffix, alike = f".{format}", {}
+    for e in files:
+        alike.setdefault(_pattern(e.name.removesuffix(suffix)), []).append(e)
+    names: dict[str, tuple[str, ...]] = {}
+    for pattern, some in sorted(alike.items()):
+        shared = pattern.replace("#", "").strip(" -_.")
+        paths = tuple(e.path for e in sorted(some, key=lambda e: e.name))
+        if len(some) > 1 and one_schema(spark, paths, format):
+            names[shared if shared and shared not in names and shared not in alike else pattern] = paths
+        else:
+            names |= {e.name.removesuffix(suffix): (e.path,) for e in some}
+    return names
+
+
+def table_paths(spark: SparkSession, path: str, format: str = "parquet") -> dict[str, tuple[str, ...]]:
+    """Name and paths of each table in a folder; none if the path is a table itself.
 
-    A table is a file or folder named ``<table>.<format>``, or a folder of such files or of
-    partitions. A folder is a table itself if its name ends so, if it holds the marker of a
-    finished write or partitions, or if all its files are parts named by a writer. Folders are
-    looked into one level deep, and only as far as their first part.
+    A table is a file or folder named ``<table>.<format>``, a folder of such files or of
+    partitions, or several files whose names differ in numbers only and whose schemas agree. A
+    folder is a table itself if its name ends so, if it holds the marker of a finished write or
+    partitions, or if all its files are parts of one table. Folders are looked into one level
+    deep, and only as far as their first part.
     """
     path, suffix = path.rstrip("/"), f".{format}"
     if path.endswith(suffix):
@@ -136,26 +191,29 @@ def table_paths(spark: SparkSession, path: str, format: str = "parquet") -> dict
     if any(e.name == "_SUCCESS" or (e.folder and "=" in e.name) for e in inside):
         return {}
     shown = [e for e in inside if not e.hidden]
-    files = [e for e in shown if not e.folder and e.name.endswith(suffix)]
+    files = [e for e in shown if not e.folder and (
+        e.name.endswith(suffix) or BARE_PART.fullmatch(e.name))]
     if files and all(PART.fullmatch(e.name) for e in files):
         return {}
-    found = files + [e for e in shown if e.folder and (
+    folders = [e for e in shown if e.folder and (
         e.name.endswith(suffix) or _holds_table(spark, e.path, suffix))]
-    whole = {e.name for e in found}
-    names: dict[str, str] = {}
-    for e in sorted(found, key=lambda e: e.name):
+    names = _grouped(spark, files, format)
+    if len(names) == 1 and len(files) > 1 and not folders:
+        return {}
+    for e in sorted(folders, key=lambda e: e.name):
         short = e.name.removesuffix(suffix)
-        names[e.name if short != e.name and short in whole else short] = e.path
-    return names
+        names[e.name if short in names else short] = (e.path,)
+    return dict(sorted(names.items()))
 
 
 def tables_in(spark: SparkSession, path: str, format: str = "parquet") -> dict[str, DataFrame]:
     """The tables of ``table_paths``, each loaded by itself with its own partitions."""
-    return {name: spark.read.format(format).load(at)
+    return {name: spark.read.format(format).load(list(at))
             for name, at in table_paths(spark, path, format).items()}
 
 
 def largest_by_bytes(spark: SparkSession, path: str, format: str = "parquet") -> str:
     """The name of the table in a folder whose files sum to most bytes; of equals the first."""
-    sizes = {n: folder_bytes(spark, at) for n, at in table_paths(spark, path, format).items()}
+    sizes = {n: sum(folder_bytes(spark, p) for p in at)
+             for n, at in table_paths(spark, path, format).items()}
     return min(sizes, key=lambda n: (-sizes[n], n))

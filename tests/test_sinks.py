@@ -7,7 +7,7 @@ import pytest
 
 from flatweave import flat_from_scan, quick_flat, quick_path, scan, scan_path
 from flatweave.operators.census import census
-from flatweave.plans.report import fingerprint, read_report, same_table
+from flatweave.plans.report import fingerprint, read_report, row_print, same_table
 from flatweave.sources.discovery import choose_table, largest_input, largest_table, tables_in
 from flatweave.sources.manifest import read_manifest, set_policies
 
@@ -304,3 +304,58 @@ def test_scan_path_takes_the_largest_table(spark, folder):
     assert stored.meta.table == "b"
     with pytest.raises(ValueError, match="rows or bytes"):
         scan_path(spark, f"{folder}/in", f"{folder}/out", by="age")
+
+
+def test_numbered_files_are_one_table(spark, folder):
+    import os
+    import shutil
+    spark.range(0, 3000, 1, 1).selectExpr("id", "array(id) as v").write.parquet(f"{folder}/made/a")
+    spark.range(0, 2000, 1, 1).selectExpr("id", "array(id) as v").write.parquet(f"{folder}/made/b")
+    spark.range(0, 400, 1, 1).selectExpr("cast(id as string) as id", "id as other").write.parquet(f"{folder}/made/c")
+
+    def put(place, *names):
+        os.makedirs(f"{folder}/{place}")
+        for table, name in zip("abc", names):
+            shutil.copy(glob.glob(f"{folder}/made/{table}/part-*")[0], f"{folder}/{place}/{name}")
+
+    for place, names in (("one", ("part-0.parquet", "part-1.parquet")), ("two", ("data_0.parquet", "data_1.parquet")),
+                         ("three", ("000000_0", "000001_0"))):
+        put(place, *names)
+        assert tables_in(spark, f"{folder}/{place}") == {}
+        assert scan_path(spark, f"{folder}/{place}", f"{folder}/{place}_out", samples=0).meta.n_events == 5000
+    # Next to another table; and of another schema, where each file is a table.
+    put("mixed", "data_0.parquet", "data_1.parquet", "small.parquet")
+    assert {n: df.count() for n, df in tables_in(spark, f"{folder}/mixed").items()} == {"data": 5000, "small": 400}
+    stored = scan_path(spark, f"{folder}/mixed", f"{folder}/mixed_out", by="bytes", samples=0)
+    assert (stored.meta.table, stored.meta.n_events) == ("data", 5000)
+    put("apart", "x1.parquet", "y1.parquet", "x2.parquet")
+    assert {n: df.count() for n, df in tables_in(spark, f"{folder}/apart").items()} == {"x1": 3000, "x2": 400, "y1": 2000}
+
+
+def test_scan_computes_its_source_once(spark, odd, reco, folder):
+    for df, name in ((reco, "reco"), (odd, "odd")):
+        seen = spark.sparkContext.accumulator(0)
+
+        def counted(batches):
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+
+        plain = df.select(*(c for c in df.columns if c.isalnum() or "_" in c)).drop("m")
+        source = plain.mapInArrow(counted, plain.schema)
+        flat = scan(source, f"{folder}/{name}", name, order_by=None)
+        assert seen.value == plain.count() and flat.meta.n_events == plain.count()
+        assert same_table(flat_from_scan(spark, f"{folder}/{name}").frame(), quick_flat(plain).frame())
+    assert "empty_b" not in spark.read.parquet(f"{folder}/reco/reco_canonical.parquet").columns
+
+
+def test_a_row_of_arrays_has_the_print_of_the_wide_row(spark, reco, odd):
+    for df in (reco, odd):
+        flat = quick_flat(df, fill="nan")
+        wide, arrays = flat.frame(), flat.frame("arrays")
+        prints = [f.select(row_print(f, "a").alias("p")).collect() for f in (wide, arrays)]
+        assert sorted(r.p for r in prints[0]) == sorted(r.p for r in prints[1])
+    one, two, three = (spark.sql(f"select array({x}) as v") for x in ("1, null", "null, 1", "1"))
+    assert not same_table(one, two) and not same_table(one, three)
+    none = spark.sql("select cast(null as array<int>) as v")
+    assert not same_table(none, spark.sql("select cast(array() as array<int>) as v"))
