@@ -133,20 +133,24 @@ def best_of(ids: np.ndarray, base: np.ndarray, query_ids: np.ndarray, queries: n
     """
     b_norm, q_norm = np.sqrt((base * base).sum(axis=1)), np.sqrt((queries * queries).sum(axis=1))
     unit = base / b_norm[:, None]
+    # An id with several vectors may come several times among the nearest; enough are looked at.
+    most = k * int(np.unique(ids, return_counts=True)[1].max(initial=1))
     for low in range(0, len(queries), 256):
         part = queries[low:low + 256] / q_norm[low:low + 256, None]
         near = part @ unit.T
         near[query_ids[low:low + 256, None] == ids[None, :]] = -np.inf
         for i, row in enumerate(near):
-            if len(row) > k:
-                floor = np.partition(row, len(row) - k)[len(row) - k] - 1e-9
+            if len(row) > most:
+                floor = np.partition(row, len(row) - most)[len(row) - most] - 1e-9
                 at = np.flatnonzero((row >= floor) & (row > -np.inf))
             else:
                 at = np.flatnonzero(row > -np.inf)
             q = low + i
             exact = (base[at] * queries[q]).sum(axis=1) / (b_norm[at] * q_norm[q])
-            order = np.lexsort((ids[at], -exact))[:k]
-            yield int(query_ids[q]), ids[at][order], exact[order]
+            order = np.lexsort((ids[at], -exact))
+            if most > k:
+                order = order[np.sort(np.unique(ids[at][order], return_index=True)[1])]
+            yield int(query_ids[q]), ids[at][order[:k]], exact[order[:k]]
 
 
 def _compared(k: int):
@@ -196,11 +200,12 @@ def search(base: DataFrame, queries: DataFrame, k: int = 5, tables: int = TABLES
     """query_id, rank, vec_id, score: the k nearest rows of base found for each query row.
 
     Both sides have id, v, dim (see `usable`). Rows of other dimensions are never compared; the
-    row with the query's own id is left out. Ties go to the smaller id; repeated ids count once.
+    rows with the query's own id are left out. Ties go to the smaller id. Equal rows count once;
+    an id with several vectors has, as a query and as a candidate, the best score of any.
     A query that finds fewer than k in its buckets is compared to all rows instead, in blocks, so
     it returns k unless fewer exist. Empty sides give no rows.
     """
-    base, queries = base.dropDuplicates(["id"]), queries.dropDuplicates(["id"])
+    base, queries = base.dropDuplicates(["id", "v"]), queries.dropDuplicates(["id", "v"])
     rotations = Rotations(tables)
     filed = in_blocks(stored(addresses(base, 1, rotations)),
                       stored(addresses(queries, probes, rotations)), k)
@@ -212,7 +217,7 @@ def search(base: DataFrame, queries: DataFrame, k: int = 5, tables: int = TABLES
                                                                       F.lit(FALLBACK - 1).cast("long")))), k)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (found.join(short.select(F.col("id").alias("query_id")), "query_id", "left_anti")
-            .unionByName(whole)
+            .unionByName(whole.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")))
             .withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
 

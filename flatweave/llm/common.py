@@ -27,6 +27,13 @@ def stored(frame: DataFrame) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme that Spark would read it by, so that workers read the same place."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return system.makeQualified(place).toString()
+
+
 def bucketed(frame: DataFrame, key: str, buckets: int) -> DataFrame:
     """Write to the shared folder in buckets of one key and read back.
 

@@ -22,12 +22,14 @@ import pyarrow.fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flatweave.llm.common import remainder
+from flatweave.llm.common import qualified, remainder
 from flatweave.session import shared_folder
 from flatweave.llm.text import U64, mix, rows_of_words
 
 #: Word pairs a task sorts at a time before it passes them on.
 PAIRS_HELD = 1 << 21
+#: Bytes of text that a shard is planned for.
+SHARD_BYTES = 16 << 20
 #: Weight given to each word in the base model.
 BASE = 0.1
 
@@ -187,7 +189,7 @@ def _add_pairs(folder: str, shards: int):
     return add
 
 
-TOTALS = ("n1 long, n2 long, n3 long, n4 long, m1 long, m2 long, m3 long, m4 long, pairs long, "
+TOTALS = ("shard long, paired long, n1 long, n2 long, n3 long, n4 long, m1 long, m2 long, m3 long, m4 long, pairs long, "
           "words long, tokens long")
 
 
@@ -219,7 +221,7 @@ def _add_words(folder: str):
         stats = joined[2][1] + (joined[2][2] << 32)
         pairs = stats.reshape(-1, 4).sum(axis=0).tolist()
         lower = [int((columns["preceded"] == i).sum()) for i in (1, 2, 3, 4)]
-        values = [*pairs, *lower, int(columns["preceded"].sum()), int((columns["count"] > 0).sum()),
+        values = [shard, int(len(joined[0][0]) > 0), *pairs, *lower, int(columns["preceded"].sum()), int((columns["count"] > 0).sum()),
                   int(columns["count"].sum())]
         return pa.table({name.split()[0]: pa.array([v], pa.int64())
                          for name, v in zip(TOTALS.split(", "), values)})
@@ -227,11 +229,10 @@ def _add_words(folder: str):
 
 
 def filesystem(path: str) -> tuple[pa.fs.FileSystem, str]:
-    if "://" in path or path.startswith("file:"):
-        if path.startswith("file:"):
-            return pa.fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
-        return pa.fs.FileSystem.from_uri(path)
-    return pa.fs.LocalFileSystem(), path
+    """The file system of a path with a scheme, as every worker sees it, and the path there."""
+    if path.startswith("file:"):
+        return pa.fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
+    return pa.fs.FileSystem.from_uri(path)
 
 
 def write(folder: str, name: str, values: np.ndarray) -> None:
@@ -245,12 +246,17 @@ def write(folder: str, name: str, values: np.ndarray) -> None:
 
 
 def array(folder: str, name: str, kind: str) -> np.ndarray:
-    """An array of the model: mapped if the folder is mounted, else read once per worker."""
+    """An array of the model: mapped if the folder is mounted, else read once per worker.
+
+    A missing file is an error: it means that this worker does not see the shared folder.
+    """
     key = f"{folder}/{name}"
     if key not in _opened:
         system, path = filesystem(folder)
         info = system.get_file_info(f"{path}/{name}")
-        if info.type != pa.fs.FileType.File or not info.size:
+        if info.type != pa.fs.FileType.File:
+            raise FileNotFoundError(f"{key} is missing: is the folder shared by all workers?")
+        if not info.size:
             _opened[key] = np.zeros(0, dtype=kind)
         elif isinstance(system, pa.fs.LocalFileSystem):
             _opened[key] = np.memmap(f"{path}/{name}", dtype=kind, mode="r")
@@ -275,13 +281,17 @@ class Model:
     tokens: int
     #: Kinds of words preceded by one, two, more different words.
     lower: tuple[int, int, int]
+    #: Shards that have words, and that have pairs; only these have files.
+    held: frozenset[int]
+    paired: frozenset[int]
 
     def found(self, keys: np.ndarray, shard: np.ndarray, name: str) -> tuple[np.ndarray, np.ndarray]:
         """For sorted keys: which are in the array, and where in their shard."""
         at, hit = np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
         bounds = np.searchsorted(shard, np.arange(self.shards + 1))
+        there = self.held if name.startswith("words") else self.paired
         for s, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
-            if a < b:
+            if a < b and s in there:
                 known = array(self.folder, name.format(s), "<u8")
                 if len(known):
                     place = np.minimum(np.searchsorted(known, keys[a:b]), len(known) - 1)
@@ -352,20 +362,27 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
 
 
 def learn(texts: DataFrame, text: str = "text", shards: int | None = None) -> Model:
-    """Count a model over all rows; its arrays go to the cluster's shared folder."""
+    """Count a model over all rows; its arrays go to the cluster's shared folder.
+
+    There are as many shards as the texts' bytes ask for, so that a shard's size does not follow
+    the input.
+    """
     spark = texts.sparkSession
-    shards = min(1 << 16, shards or int(spark.conf.get("spark.sql.shuffle.partitions")))
-    folder = shared_folder(spark)
-    pairs = (texts.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-             .mapInArrow(_pairs(shards), PAIRS))
+    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    if shards is None:
+        size = texts.agg(F.coalesce(F.sum(F.octet_length(body)), F.lit(0))).first()[0]
+        shards = -(-size // SHARD_BYTES)
+    shards = max(1, min(1 << 16, shards))
+    folder = qualified(spark, shared_folder(spark))
+    pairs = texts.select(body.alias("text")).mapInArrow(_pairs(shards), PAIRS)
     words = pairs.groupBy("shard").applyInArrow(_add_pairs(folder, shards), WORDS)
-    sums = words.groupBy("shard").applyInArrow(_add_words(folder), TOTALS)
-    names = [n.split()[0] for n in TOTALS.split(", ")]
-    row = sums.agg(*(F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names)).first()
+    sums = words.groupBy("shard").applyInArrow(_add_words(folder), TOTALS).collect()  # a row a shard
+    row = {n.split()[0]: sum(r[n.split()[0]] for r in sums) for n in TOTALS.split(", ")}
     lower = [row["m1"], row["m2"], row["words"] - row["m1"] - row["m2"]]
     return Model(folder, shards, discounts(*(row[f"n{i}"] for i in (1, 2, 3, 4))),
                  discounts(*(row[f"m{i}"] for i in (1, 2, 3, 4))), row["pairs"], row["words"],
-                 row["tokens"], tuple(lower))
+                 row["tokens"], tuple(lower), frozenset(r["shard"] for r in sums),
+                 frozenset(r["shard"] for r in sums if r["paired"]))
 
 
 def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:

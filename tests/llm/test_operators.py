@@ -72,6 +72,42 @@ def test_language_accuracy_and_odd_texts(spark, docs, nothing):
     assert kept.columns.count("lang_pred") == 1 and "Lang_Pred" not in kept.columns
 
 
+def plain_grams(text):
+    """Letters lower-cased one by one, runs of others as one blank; n-grams of 1 to 3, none of blanks alone."""
+    runs = re.sub(r"\0+", "\0", "\0" + "".join(
+        (c.lower() if len(c.lower()) == 1 else c) if c.isalpha() else "\0" for c in text) + "\0")
+    if len(runs) < 2:
+        return Counter()
+    return Counter(runs[i:i + n] for n in (1, 2, 3) for i in range(len(runs) - n + 1) if runs[i:i + n] != "\0")
+
+
+def test_languages_equal_plain_out_of_place_distance(spark, docs):
+    def ranked(grams, size=300):
+        code = lambda g: sum((1 if c == "\0" else ord(c)) << 21 * (len(g) - 1 - i) for i, c in enumerate(g))
+        return sorted(grams, key=lambda g: (-grams[g], code(g)))[:size]
+
+    real = spark.read.parquet(f"{SMALL}/documents.parquet").where("doc_id < 60")
+    frame = real.select("doc_id", "text", "lang").unionByName(
+        docs.select((F.col("doc_id") + 1000).alias("doc_id"), "text", "lang"))
+    rows = frame.collect()
+    learned = defaultdict(Counter)
+    for r in rows:
+        if r.lang and r.text and zlib.crc32(str(r.doc_id).encode()) % 4 != 2:
+            learned[r.lang] += plain_grams(r.text)
+    profiles = {lang: {g: i for i, g in enumerate(ranked(grams))} for lang, grams in learned.items()}
+    got = {r.doc_id: r for r in language.predictions(frame).collect()}
+    for r in rows:
+        mine = ranked(plain_grams(r.text or ""))
+        if not mine:
+            assert (got[r.doc_id].lang_pred, got[r.doc_id].score) == ("und", 0.0)
+            continue
+        away = {lang: sum(abs(known[g] - i) if g in known else 300 for i, g in enumerate(mine))
+                for lang, known in profiles.items()}
+        best = min(sorted(away), key=away.get)
+        assert got[r.doc_id].lang_pred == best, r.doc_id
+        assert got[r.doc_id].score == pytest.approx(1 - away[best] / (300 * len(mine)))
+
+
 def test_profiles_rank_by_count():
     codes, counts = language.grams_of("aab aab", 2)
     assert counts.sum() == 6 + 8 and language.profile_of(codes, counts, 1)[0] == ord("a")
@@ -120,6 +156,25 @@ def test_nearest_recall_order_and_odd_vectors(spark, vectors):
     assert ann.nearest(few).count() == 2
 
 
+def test_an_id_with_several_vectors_has_its_best(spark):
+    rng = np.random.default_rng(11)
+    rows = [(i % 20, rng.normal(size=6)) for i in range(60)] + [(100, rng.normal(size=6)) for _ in range(3)]
+    frame = spark.createDataFrame([(i, v.tolist(), None) for i, v in rows] * 2,
+                                  "vec_id long, embedding array<double>, label string")
+    got = defaultdict(list)
+    for r in sorted(ann.nearest(frame).collect(), key=lambda r: (r.query_id, r["rank"])):
+        got[r.query_id].append((r.vec_id, round(r.score, 9)))
+    for q in (0, 100):
+        best = {}
+        for a in (v for i, v in rows if i == q):
+            for i, b in rows:
+                if i != q:
+                    best[i] = max(best.get(i, -2), a @ b / (np.linalg.norm(a) * np.linalg.norm(b)))
+        assert {i: s for i, s in got[q]}.items() <= {i: round(s, 9) for i, s in best.items()}.items()
+        assert len(got[q]) == 5 and len({i for i, _ in got[q]}) == 5
+    assert set(got) == {0, 100}
+
+
 def test_rotations_keep_lengths():
     x = np.random.default_rng(0).normal(size=(5, 12))
     for y in ann.Rotations(2).coordinates(x):
