@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from flatweave.llm.bloom import bloom_filter, holds
 from flatweave.llm.common import bucketed, components, stored
-from flatweave.llm.text import U64, bytes_of, mix, shingle_sets, slices
+from flatweave.llm.text import U64, bytes_of, mix, released, shingle_sets, slices
 
 WORDS = 5
 #: The threshold as a fraction: 100 * intersection >= 75 * union.
@@ -179,7 +179,7 @@ def _summed(table: pa.Table) -> pa.Table:
 def set_sizes(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """doc_id, n_shingles and lone: counted shingles that occur in no other row."""
     shards = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (docs.mapInArrow(_send(shards, words), SENT)
+    return (docs.mapInArrow(released(_send(shards, words)), SENT)
             .groupBy("shard").applyInArrow(
                 _lone, "chunk long, ids binary, sizes binary, owners binary, lone binary")
             .groupBy("chunk").applyInArrow(_summed, "doc_id long, n_shingles long, lone long"))
@@ -425,7 +425,7 @@ def bucket_links(rows: DataFrame, sets: DataFrame) -> DataFrame:
         if len(sets) > 1:
             yield links()
 
-    return rows.mapInArrow(compare, "a long, b long")
+    return rows.mapInArrow(released(compare), "a long, b long")
 
 
 def without_repeats(rows: DataFrame) -> DataFrame:
@@ -644,7 +644,7 @@ def _extents(sets: DataFrame, labels: DataFrame, every: bool, common: np.ndarray
     """
     rows = sets.join(labels.select("id", "label"), "id").select("id", "tokens", "label")
     by = Window.partitionBy("token")
-    rare = rows.mapInArrow(_exploded(every, common), EXPLODED)
+    rare = rows.mapInArrow(released(_exploded(every, common)), EXPLODED)
     rare = rare.select("token", "id", F.min("label").over(by).alias("low"), F.max("label").over(by).alias("high"),
                        F.count(F.lit(1)).over(by).alias("df"))
     closed, df = common_facts(rows, common)
@@ -703,7 +703,7 @@ def linked_components(docs: DataFrame, words: int = WORDS,
     wanted = bloom_filter(open_)
     if wanted is None:
         texts = texts.join(open_, "key", "left_semi").select("key", "text")
-    sets = stored(texts.mapInArrow(_sets(words, wanted), "key long, id long, tokens binary"))
+    sets = stored(texts.mapInArrow(released(_sets(words, wanted)), "key long, id long, tokens binary"))
     members = stored(sets.select("key", "id").distinct())
     held = sets.agg(F.coalesce(F.sum(F.octet_length("tokens")), F.lit(0))).first()[0]
     buckets = max(1, -(-int(held) // TABLE_BYTES))

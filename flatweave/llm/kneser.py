@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from flatweave.llm.common import qualified, remainder
 from flatweave.session import shared_folder
-from flatweave.llm.text import U64, mix, rows_of_words
+from flatweave.llm.text import U64, mix, released, rows_of_words
 
 #: Word pairs a task sorts at a time before it passes them on.
 PAIRS_HELD = 1 << 21
@@ -374,7 +374,7 @@ def learn(texts: DataFrame, text: str = "text", shards: int | None = None) -> Mo
         shards = -(-size // SHARD_BYTES)
     shards = max(1, min(1 << 16, shards))
     folder = qualified(spark, shared_folder(spark))
-    pairs = texts.select(body.alias("text")).mapInArrow(_pairs(shards), PAIRS)
+    pairs = texts.select(body.alias("text")).mapInArrow(released(_pairs(shards)), PAIRS)
     words = pairs.groupBy("shard").applyInArrow(_add_pairs(folder, shards), WORDS)
     sums = words.groupBy("shard").applyInArrow(_add_words(folder), TOTALS).collect()  # a row a shard
     row = {n.split()[0]: sum(r[n.split()[0]] for r in sums) for n in TOTALS.split(", ")}

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flatweave.llm.common import column, fresh, remainder
+from flatweave.llm.text import release, released
 
 #: N-grams per profile, the longest n-gram in characters (1 to 3), and most languages told apart.
 PROFILE = 300
@@ -137,7 +138,7 @@ def gram_counts(texts: DataFrame, text: str, lang: str) -> DataFrame:
 
     rows = texts.select(column(texts, lang).alias("lang"), column(texts, text).alias("text")).where(
         "lang is not null and text is not null")
-    counted = rows.mapInArrow(count, "lang string, gram long, n long")
+    counted = rows.mapInArrow(released(count), "lang string, gram long, n long")
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
@@ -201,6 +202,7 @@ def identify(docs: DataFrame, profiles: dict[str, np.ndarray], text: str = "text
     @F.arrow_udf("pred string, score double")
     def nearest(texts: pa.Array) -> pa.Array:
         found = [known.predict(t.as_py()) for t in texts]
+        release()
         return pa.StructArray.from_arrays([pa.array([f[0] for f in found], pa.string()),
                                            pa.array([f[1] for f in found], pa.float64())],
                                           names=["pred", "score"])

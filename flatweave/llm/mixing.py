@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flatweave.llm.common import ROWS_PER_BUCKET, column, running_totals, stored
+from flatweave.llm.common import ROWS_PER_BUCKET, column, fresh, running_totals, stored
 
 #: Share of all tokens that the mixture has, and how often a document may be taken at most.
 FRACTION = 0.7
@@ -208,10 +208,11 @@ class Mixture:
                      F.first("_part").alias("_part")))
         again = edge.where("_full > 0").select(
             "_row", F.explode(F.expr("sequence(1, _full)")).alias("_")).select("_row.*")
-        part = edge.where("_part > 0").select("_row.*", "_part")
+        tokens = fresh("_part", self.docs.columns)
+        part = edge.where("_part > 0").select("_row.*", F.col("_part").cast("int").alias(tokens))
         cut = F.array_join(F.slice(F.regexp_extract_all(
             column(part, self.text).cast("string"), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0)),
-            F.lit(1), part[part.columns[-1]].cast("int")), "")
+            F.lit(1), F.col(tokens)), "")
         new = {self.text: cut, "n_chars": F.length(cut).cast("long")}
         part = part.select(*(new.get(c, column(part, c)).alias(c) for c in self.docs.columns))
         return whole.unionByName(again).unionByName(part)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from flatweave.llm.common import fresh, stored
-from flatweave.llm.text import bytes_of, slices
+from flatweave.llm.text import bytes_of, released, resident, slices
 
 #: Tokens of a window, and of a piece of a document's tail at most.
 CAPACITY = 1024
@@ -32,8 +32,6 @@ BATCH = 256
 END = 0
 VOCABULARY = "byte_bpe_50k.json"
 
-_encoders: dict[str, object] = {}
-
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
     import public_tokenizers
@@ -55,30 +53,28 @@ def encoder(path: str):
     public tokenizer libraries gives the same ids from the same vocabulary. Texts that hold one
     of the file's special tokens go to the file's own library.
     """
-    if path not in _encoders:
-        import public_tokenizers
-        import tiktoken
-
-        with open(path, encoding="utf-8") as file:
-            made = json.load(file)
-        special = [t["content"] for t in made["added_tokens"]]
-        back = byte_of_char()
-        ranks = {bytes(back[c] for c in token): i for token, i in made["model"]["vocab"].items()
-                 if token not in special}
-        fast = tiktoken.Encoding("vocabulary", pat_str=public_tokenizers.PATTERN,
-                                 mergeable_ranks=ranks, special_tokens={})
-        own: list = []  # its tables are as large again, so they are made when a text needs them
-
-        def encode(text: str) -> list[int]:
-            if any(s in text for s in special):
-                if not own:
-                    from tokenizers import Tokenizer
-                    own.append(Tokenizer.from_file(path))
-                return own[0].encode(text, add_special_tokens=False).ids
-            return fast.encode_ordinary(text)
-
-        _encoders[path] = encode
-    return _encoders[path]
+    import public_tokenizers
+    import tiktoken
+
+    with open(path, encoding="utf-8") as file:
+        made = json.load(file)
+    special = [t["content"] for t in made["added_tokens"]]
+    back = byte_of_char()
+    ranks = {bytes(back[c] for c in token): i for token, i in made["model"]["vocab"].items()
+             if token not in special}
+    fast = tiktoken.Encoding("vocabulary", pat_str=public_tokenizers.PATTERN,
+                             mergeable_ranks=ranks, special_tokens={})
+    own: list = []  # its tables are as large again, so they are made when a text needs them
+
+    def encode(text: str) -> list[int]:
+        if any(s in text for s in special):
+            if not own:
+                from tokenizers import Tokenizer
+                own.append(Tokenizer.from_file(path))
+            return own[0].encode(text, add_special_tokens=False).ids
+        return fast.encode_ordinary(text)
+
+    return encode
 
 
 def cut(tokens: int, capacity: int = CAPACITY, piece: int = PIECE) -> list[int]:
@@ -92,7 +88,7 @@ def pieces_of(docs: DataFrame, path: str, capacity: int = CAPACITY,
               piece: int = PIECE) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens of every piece of every document."""
     def tokenized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path)
+        encode = resident(path, lambda: encoder(path))
         for batch in batches:
             offsets = bytes_of(batch.column(1))[1]
             for low, high in slices(offsets):  # some 20 pieces a document: a bounded slice at a time
@@ -114,7 +110,7 @@ def pieces_of(docs: DataFrame, path: str, capacity: int = CAPACITY,
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.col("text").cast("string").alias("text")).mapInArrow(
-        tokenized, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
+        released(tokenized, path), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
 
 
 def differencing(sizes: np.ndarray, windows: int) -> np.ndarray:

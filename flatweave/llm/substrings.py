@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from flatweave.llm.bloom import split_by_keys
 from flatweave.llm.common import stored
 from flatweave.llm.suffixes import suffix_arrays
-from flatweave.llm.text import U64, RangeHash, bytes_of, mix, slices
+from flatweave.llm.text import U64, RangeHash, bytes_of, mix, released, slices
 
 LENGTH = 100
 #: Bytes of a gram. A window holds LENGTH - GRAM + 1 of them.
@@ -395,9 +395,9 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     """
     # Rows of an open gram meet; others only pass, in any task.
     deal = F.when(F.col("kind") == OPEN, F.col("gram")).otherwise(F.xxhash64("doc", "place"))
-    found = (docs.mapInArrow(_anchored, PLACES).repartition(deal)
+    found = (docs.mapInArrow(released(_anchored), PLACES).repartition(deal)
              .sortWithinPartitions("kind", "gram", "context", "doc", "tie", "place"))
-    decided = stored(found.mapInArrow(_decided, "gram long, doc long, tie long, place long, kind long"))
+    decided = stored(found.mapInArrow(released(_decided), "gram long, doc long, tie long, place long, kind long"))
     asked = (decided.where(f"kind <> {REPEATED}").groupBy("doc", "tie")
              .agg(F.collect_list(F.struct("gram", "place", F.col("kind").cast("int").alias("kind")))
                   .alias("asked")))
@@ -405,11 +405,11 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     _, perhaps = split_by_keys(docs, F.xxhash64("doc", "tie"), decided.where(f"kind <> {REPEATED}").select(
         F.xxhash64("doc", "tie").alias("key")).distinct())
     contexts = stored(perhaps.join(asked, ["doc", "tie"]).select("doc", "tie", "text", "asked")
-                      .mapInArrow(_bodies, CONTEXT))
+                      .mapInArrow(released(_bodies), CONTEXT))
     by_suffix = (contexts.where(f"kind = {SORTED}").repartition("gram")
-                 .sortWithinPartitions("gram", "doc", "tie", "place").mapInArrow(_sorted, RUNS))
+                 .sortWithinPartitions("gram", "doc", "tie", "place").mapInArrow(released(_sorted), RUNS))
     windows = contexts.where(f"kind = {HASHED}").mapInArrow(
-        _windows, "window long, doc long, tie long, start long")
+        released(_windows), "window long, doc long, tie long, start long")
     least = windows.groupBy("window").agg(F.min(F.struct("doc", "tie", "start")).alias("first"),
                                           F.count(F.lit(1)).alias("n")).where("n > 1")
     by_hash = (windows.join(least, "window")

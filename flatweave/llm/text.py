@@ -7,7 +7,8 @@ They depend on the bytes alone, so equal strings agree across tasks and runs.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,44 @@ LOWER[ord("A"):ord("Z") + 1] += 32
 
 _tables: dict[str, np.ndarray] = {}
 
+Work = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+#: Large tables that a worker keeps between tasks of one operator, by name.
+_resident: dict[str, object] = {}
+
+
+def resident(name: str, make: Callable[[], object]) -> object:
+    """A large table by name; a worker keeps one at a time."""
+    if name not in _resident:
+        _resident.clear()
+        _resident[name] = make()
+    return _resident[name]
+
+
+def release(keep: str | None = None) -> None:
+    """Give freed memory back: workers are kept between tasks, and their allocators keep what they had.
+
+    Large tables go too, but for the one named.
+    """
+    for name in [n for n in _resident if n != keep]:
+        del _resident[name]
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def released(work: Work, keep: str | None = None) -> Work:
+    """The same work over a partition's batches; freed memory goes back before and after."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release(keep)
+        try:
+            yield from work(batches)
+        finally:
+            release(keep)
+    return run
+
 
 def mix(x: np.ndarray) -> np.ndarray:
     """Finish a 64-bit hash: every input bit reaches every output bit."""

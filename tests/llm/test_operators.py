@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -357,6 +358,66 @@ def test_suffix_arrays():
             assert (found[start:start + len(lane)] - start).tolist() == suffixes.naive(lane)
 
 
+def decided_rows(batches):
+    return [r for b in substrings._decided(iter(batches)) for r in b.to_pylist()]
+
+
+def place_batches(rows, size):
+    rows = sorted(rows, key=lambda r: (r[5], *r[:5]))
+    names = [n.split()[0] for n in substrings.PLACES.split(", ")]
+    for low in range(0, len(rows), size):
+        cells = list(zip(*rows[low:low + size]))
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if n == "kind" else pa.int64())
+                                          for n, c in zip(names, cells)], names=names)
+
+
+def test_places_are_decided_alike_in_any_batches():
+    rng = np.random.default_rng(2)
+    rows = []
+    for gram in range(60):
+        for _ in range(int(rng.integers(1, 120)) if gram % 3 == 0 else int(rng.integers(1, 5))):
+            rows.append((gram, int(rng.integers(0, 50 if gram % 2 else 3)), int(rng.integers(0, 9)), 0,
+                         int(rng.integers(0, 40)) << 16 | 1 << 8, 0))
+    rows += [(7, substrings.LARGE, 0, 0, 0, 0), (200, 5, 1, 0, 1 << 8, substrings.HASHED),
+             (201, 5, 1, 0, 1 << 8, substrings.REPEATED)]
+    known = defaultdict(set)
+    for gram, context, *_, kind in rows:
+        if kind == 0 and context != substrings.LARGE:
+            known[gram].add(context)
+    want, seen, first = Counter(), set(), set()
+    for gram, context, doc, tie, place, kind in sorted(rows, key=lambda r: (r[5], *r[:5])):
+        if kind:
+            want[gram, doc, tie, place, kind] += 1
+        elif context != substrings.LARGE and (gram, context, doc, tie, place >> 16) not in seen:
+            large = len(known[gram]) > substrings.CONTEXTS or gram == 7
+            here = substrings.HASHED if large else substrings.SORTED if len(known[gram]) > 1 else 0
+            here = substrings.REPEATED if (gram, context) in first else here
+            want[gram, doc, tie, place, here] += here > 0
+            seen.add((gram, context, doc, tie, place >> 16))
+            first.add((gram, context))
+    for size in (1, 7, 100, 10_000):
+        got = Counter(tuple(r.values()) for r in decided_rows(place_batches(rows, size)))
+        assert got == +want, size
+
+
+def test_one_gram_of_four_million_rows_needs_no_memory():
+    import tracemalloc
+
+    def batches():
+        for k in range(400):
+            n = np.arange(10_000) + 10_000 * k
+            zero = np.zeros(10_000, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(zero + 5), pa.array(zero + 9), pa.array(n), pa.array(zero), pa.array(zero + 256),
+                 pa.array(zero.astype(np.int32))], names=["gram", "context", "doc", "tie", "place", "kind"])
+
+    tracemalloc.start()
+    rows = sum(b.num_rows for b in substrings._decided(batches()))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 4_000_000 - 1 and peak < 16 << 20
+
+
 def test_repeats_against_brute_force(spark, docs, texts, nothing):
     seen, want = set(), {}
     for i, text in enumerate(texts):
