@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +38,7 @@ def unit_rows(v: np.ndarray) -> np.ndarray:
 def principal_axes(rows: DataFrame) -> dict[int, np.ndarray]:
     """By dimension of the vectors: the axes in order of falling variance, as columns.
 
-    Every task adds up outer products; what comes to the driver is dim * dim sums.
+    Every task adds up outer products; what comes to the driver is one array for each of dim rows.
     """
     def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -47,19 +48,25 @@ def principal_axes(rows: DataFrame) -> dict[int, np.ndarray]:
                 unit = unit_rows(matrix(batch.filter(pa.array(dims == dim)).column(0)))
                 sums[dim] = sums.get(dim, 0) + unit.T @ unit
         for dim, total in sums.items():
-            at = np.arange(dim * dim)
-            yield pa.RecordBatch.from_pydict({"dim": np.full(dim * dim, dim, np.int32),
-                                              "at": at, "value": total.ravel()})
+            yield _sums(dim, np.arange(dim), total)
 
-    totals = (rows.select("v", "dim").mapInArrow(products, "dim int, at long, value double")
-              .groupBy("dim", "at").agg(F.sum("value").alias("value")).toPandas())
-    found = {}
-    for dim, part in totals.groupby("dim"):
-        square = np.zeros(dim * dim)
-        square[part["at"].to_numpy()] = part["value"].to_numpy()
-        square = square.reshape(dim, dim)
-        found[int(dim)] = np.linalg.eigh((square + square.T) / 2)[1][:, ::-1]
-    return found
+    def added(table: pa.Table) -> pa.Table:
+        total = matrix(table.column("sums")).sum(axis=0)
+        return pa.Table.from_batches([_sums(table.column("dim")[0].as_py(),
+                                            table.column("row")[:1].to_numpy(), total[None, :])])
+
+    kinds = "dim int, row int, sums array<double>"
+    totals = rows.select("v", "dim").mapInArrow(products, kinds).groupBy("dim", "row").applyInArrow(added, kinds)
+    squares: dict[int, np.ndarray] = {}
+    for dim, row, sums in totals.toLocalIterator():
+        squares.setdefault(dim, np.zeros((dim, dim)))[row] = sums
+    return {dim: np.linalg.eigh((x + x.T) / 2)[1][:, ::-1] for dim, x in squares.items()}
+
+
+def _sums(dim: int, rows: np.ndarray, total: np.ndarray) -> pa.RecordBatch:
+    lists = pa.ListArray.from_arrays(np.arange(0, total.size + 1, dim, dtype=np.int32), total.ravel())
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), dim, np.int32)),
+                                       pa.array(rows.astype(np.int32)), lists], names=["dim", "row", "sums"])
 
 
 def close_pairs(a: np.ndarray, b: np.ndarray, v_a: np.ndarray, v_b: np.ndarray,
@@ -102,7 +109,8 @@ def forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return label
 
 
-def _linked(threshold: float):
+def _linked(threshold: float, axes: Broadcast):
+    """Tiles come as original vectors; they are rotated where they are compared."""
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
         found = {"id": np.zeros(0, np.int64), "links": np.zeros(0, np.int64),
                  "root": np.zeros(0, np.int64)}
@@ -110,8 +118,9 @@ def _linked(threshold: float):
             same = left.column("tile")[0].as_py() == right.column("tile")[0].as_py()
             ids_a, ids_b = (t.column("id").to_numpy() for t in (left, right))
             many_a, many_b = (t.column("copies").to_numpy() for t in (left, right))
-            pairs = close_pairs(*(matrix(t.column(c)) for c in ("p", "v") for t in (left, right)),
-                                threshold)
+            turn = axes.value[left.column("dim")[0].as_py()]
+            v_a, v_b = (matrix(t.column("v")) for t in (left, right))
+            pairs = close_pairs(unit_rows(v_a) @ turn, unit_rows(v_b) @ turn, v_a, v_b, threshold)
             links_a, links_b = np.zeros(len(ids_a), np.int64), np.zeros(len(ids_b), np.int64)
             ends_i, ends_j, held = [], [], 0
             ids = np.concatenate([ids_a, ids_b])
@@ -156,27 +165,24 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     reps = stored(good.select("id", "label", "v", "dim", *keys).groupBy("key0", "key1").agg(
         F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("label").alias("label"),
         F.first("v").alias("v"), F.first("dim").alias("dim")))
-    axes = principal_axes(reps)
+    axes = reps.sparkSession.sparkContext.broadcast(principal_axes(reps))  # dim * dim numbers
 
-    def rotated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def along(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             dims = batch.column(4).to_numpy()
             for dim in np.unique(dims):
                 part = batch.filter(pa.array(dims == dim))
-                p = unit_rows(matrix(part.column(3))) @ axes[int(dim)]
-                lists = pa.ListArray.from_arrays(
-                    np.arange(0, p.size + 1, dim, dtype=np.int32), p.ravel())
-                yield pa.RecordBatch.from_arrays([*part.columns, lists, pa.array(p[:, 0])],
-                                                 names=[*part.schema.names, "p", "first"])
+                first = unit_rows(matrix(part.column(3))) @ axes.value[int(dim)][:, 0]
+                yield part.append_column("first", pa.array(first))
 
     laid = (reps.select("id", "copies", "label", "v", "dim")
-            .mapInArrow(rotated, f"id long, copies long, label {dict(reps.dtypes)['label']}, "
-                                 "v array<double>, dim int, p array<double>, first double")
+            .mapInArrow(along, f"id long, copies long, label {dict(reps.dtypes)['label']}, "
+                               "v array<double>, dim int, first double")
             .withColumn("slice", F.floor((F.col("first") + 1) * (SLICES / 2)))
             .withColumn("one", F.lit(1)))
     laid = running_totals(laid, ["label", "dim"], "slice", ["first", "id"], "one", "place")
     laid = stored(laid.withColumn("tile", F.floor(F.col("place") / TILE))
-                  .select("id", "copies", "label", "dim", "tile", "p", "v", "first"))
+                  .select("id", "copies", "label", "dim", "tile", "v", "first"))
 
     # Tiles of a label whose ranges of the first component come near enough; one row per tile.
     tiles = laid.groupBy("label", "dim", "tile").agg(F.min("first").alias("low"),
@@ -189,11 +195,11 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
         .select("label", "dim", "left", "right"))
     sides = [laid.withColumnRenamed("tile", side).join(pairs, ["label", "dim", side])
              .select(*(F.col(c).alias(c) for c in ("label", "dim", "left", "right")),
-                     F.col(side).alias("tile"), *(F.col(c).alias(c) for c in ("id", "copies", "p", "v")))
+                     F.col(side).alias("tile"), *(F.col(c).alias(c) for c in ("id", "copies", "v")))
              for side in ("left", "right")]
     by = ["label", "dim", "left", "right"]
     found = stored(sides[0].groupBy(*by).cogroup(sides[1].groupBy(*by))
-                   .applyInArrow(_linked(threshold), "id long, links long, root long"))
+                   .applyInArrow(_linked(threshold, axes), "id long, links long, root long"))
 
     linked = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
     counts = found.groupBy("id").agg(F.sum("links").alias("links"))
