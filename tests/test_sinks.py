@@ -2,12 +2,14 @@
 
 import csv
 import glob
+from pathlib import Path
 
 import pytest
 
 from flatweave import flat_from_scan, quick_flat, quick_path, scan, scan_path
 from flatweave.operators.census import census
 from flatweave.plans.report import fingerprint, read_report, row_print, same_table
+from flatweave.session import cleanup, shared_folder, table_prefix
 from flatweave.sources.discovery import choose_table, largest_input, largest_table, tables_in
 from flatweave.sources.manifest import read_manifest, set_policies
 
@@ -359,3 +361,14 @@ def test_a_row_of_arrays_has_the_print_of_the_wide_row(spark, reco, odd):
     assert not same_table(one, two) and not same_table(one, three)
     none = spark.sql("select cast(null as array<int>) as v")
     assert not same_table(none, spark.sql("select cast(array() as array<int>) as v"))
+
+
+def test_cleanup_takes_only_this_applications_tables(spark):
+    folder = Path(spark.conf.get("spark.checkpoint.dir")) / "flatweave"
+    (folder / "other").mkdir(parents=True, exist_ok=True)
+    name = table_prefix(spark) + "one"
+    spark.range(3).write.bucketBy(2, "id").option("path", shared_folder(spark)).saveAsTable(name)
+    assert spark.table(name).count() == 3 and len(list(folder.iterdir())) == 2
+    cleanup(spark)
+    assert [p.name for p in folder.iterdir()] == ["other"]
+    assert not spark.catalog.tableExists(name)
