@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from flatweave.session import shared_folder
+from flatweave.session import shared_folder, table_prefix
 
 #: Rows that one task orders at a time where rows are numbered within groups.
 ROWS_PER_BUCKET = 4096
@@ -41,7 +41,7 @@ def bucketed(frame: DataFrame, key: str, buckets: int) -> DataFrame:
     the session's catalog.
     """
     spark, path = frame.sparkSession, shared_folder(frame.sparkSession)
-    name = f"flatweave_{uuid.uuid4().hex}"
+    name = table_prefix(spark) + uuid.uuid4().hex
     frame.write.bucketBy(buckets, key).option("path", path).format("parquet").saveAsTable(name)
     return spark.table(name)
 
