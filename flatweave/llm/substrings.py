@@ -39,7 +39,7 @@ GRAM = 32
 #: Contexts of a gram that one suffix array takes.
 CONTEXTS = 32
 #: Anchors that a task looks through together before it sends them on.
-ANCHORS = 1 << 19
+ANCHORS = 1 << 18
 #: Bytes whose anchors are found, and bytes of lanes whose suffixes are sorted, at a time.
 PIECE = 1 << 18
 LANES = 1 << 20
@@ -404,7 +404,8 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     # Only texts of which contexts are asked are shuffled.
     _, perhaps = split_by_keys(docs, F.xxhash64("doc", "tie"), decided.where(f"kind <> {REPEATED}").select(
         F.xxhash64("doc", "tie").alias("key")).distinct())
-    contexts = stored(perhaps.join(asked, ["doc", "tie"]).select("doc", "tie", "text", "asked")
+    # Merged, so that no task needs a worker for the filter and another one for the bodies.
+    contexts = stored(perhaps.join(asked.hint("merge"), ["doc", "tie"]).select("doc", "tie", "text", "asked")
                       .mapInArrow(released(_bodies), CONTEXT))
     by_suffix = (contexts.where(f"kind = {SORTED}").repartition("gram")
                  .sortWithinPartitions("gram", "doc", "tie", "place").mapInArrow(released(_sorted), RUNS))
@@ -464,7 +465,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     whole = alone.select("doc", "tie", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"),
                          *(F.lit(0).cast("long").alias(n) for n in ("n_removed", "n_spans")),
                          F.coalesce("text", F.lit("")).cast("binary").alias("kept"))
-    return whole.unionByName(perhaps.join(runs, ["doc", "tie"], "left").select("doc", "tie", "text", "runs")
+    return whole.unionByName(perhaps.join(runs.hint("merge"), ["doc", "tie"], "left").select("doc", "tie", "text", "runs")
                              .mapInArrow(cut, "doc long, tie long, n_bytes long, n_removed long, "
                                               "n_spans long, kept binary"))
 
