@@ -82,7 +82,8 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # Only texts that may hold a repeat are shuffled.
     alone, perhaps = split_by_keys(rows, F.xxhash64(*names[:2]),
                                    runs.select(F.xxhash64("doc", "tie").alias("key")).distinct())
-    joined = perhaps.join(runs.toDF(*names), names[:2], "left")
+    # Merged, so that no task needs a worker for the filter and another one for the cut.
+    joined = perhaps.join(runs.toDF(*names).hint("merge"), names[:2], "left")
     found, text = F.col(names[2]), column(joined, "text").cast("string")
     after = fresh("_cut", [*docs.columns, *names])
     joined = joined.withColumn(after, F.when(found.isNull(), text).otherwise(cut(text, found)))
