@@ -34,6 +34,13 @@ def qualified(spark: SparkSession, path: str) -> str:
     return system.makeQualified(place).toString()
 
 
+def shards_for(texts: DataFrame, text: Column, share: float, shard_bytes: int) -> int:
+    """Parts for a share of the texts' bytes, none above shard_bytes; as many as Spark shuffles to at least."""
+    size = texts.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
+    return max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+               -(-int(size * share) // shard_bytes))
+
+
 def bucketed(frame: DataFrame, key: str, buckets: int) -> DataFrame:
     """Write to the shared folder in buckets of one key and read back.
 

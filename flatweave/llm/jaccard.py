@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flatweave.llm.bloom import bloom_filter, holds
-from flatweave.llm.common import bucketed, components, stored
+from flatweave.llm.common import bucketed, components, shards_for, stored
 from flatweave.llm.text import U64, bytes_of, mix, released, shingle_sets, slices
 
 WORDS = 5
@@ -37,6 +37,8 @@ COUNTED = int(0.375 * 2 ** 48)
 #: Shingles a task holds before it passes them on; documents of a bucket compared at a time.
 HELD = 1 << 21
 BLOCK = 1024
+#: Bytes of counted shingles that a range of hashes is planned for.
+SHARD_BYTES = 16 << 20
 #: Bytes of sets, and rows of buckets, that a part of the last step is planned for.
 PART_BYTES = 2 << 20
 PART_ROWS = 8192
@@ -178,7 +180,7 @@ def _summed(table: pa.Table) -> pa.Table:
 
 def set_sizes(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """doc_id, n_shingles and lone: counted shingles that occur in no other row."""
-    shards = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shards = shards_for(docs, F.col(docs.columns[1]), COUNTED / 2 ** 48, SHARD_BYTES)
     return (docs.mapInArrow(released(_send(shards, words)), SENT)
             .groupBy("shard").applyInArrow(
                 _lone, "chunk long, ids binary, sizes binary, owners binary, lone binary")
@@ -698,6 +700,8 @@ def linked_components(docs: DataFrame, words: int = WORDS,
     sizes = stored(set_sizes(texts, words).withColumnRenamed("doc_id", "key"))
     open_ = (sizes.where(f"n_shingles > 0 and lone * {DENOMINATOR} "
                          f"<= n_shingles * {DENOMINATOR - NUMERATOR}").select("key").distinct())
+    if open_.isEmpty():
+        return sizes.select("key", "n_shingles"), open_.select("key", F.col("key").alias("component"))
     # A filter of bounded size spares the texts a shuffle. What it lets pass by chance links with
     # nothing. Beyond its bound the open keys are joined.
     wanted = bloom_filter(open_)
@@ -727,12 +731,14 @@ def linked_components(docs: DataFrame, words: int = WORDS,
                                           .alias("n")), found))
     common = common_tokens(reps)
     rest = labels
-    for every in (False, True):
-        rest = _not_closed(reps, rest, every, common)
+    for whole in (False, True):
+        rest = _not_closed(reps, rest, whole, common)
 
     # Step 4. Linked sets share a token of their prefixes.
-    meeting = stored(without_repeats(rarest_prefixes(reps, rest, common)))
-    every = shared_links(meeting, reps, rest).unionByName(_edges(found))
+    every = _edges(found)
+    if not rest.isEmpty():
+        meeting = stored(without_repeats(rarest_prefixes(reps, rest, common)))
+        every = every.unionByName(shared_links(meeting, reps, rest))
     if by_id:
         named = docs.where("doc_id is not null").select("key", "doc_id").distinct().join(members, "key")
         least = named.groupBy("doc_id").agg(F.min("id").alias("b"), F.max("id").alias("_most"))

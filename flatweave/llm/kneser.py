@@ -22,7 +22,7 @@ import pyarrow.fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flatweave.llm.common import qualified, remainder
+from flatweave.llm.common import qualified, remainder, shards_for
 from flatweave.session import shared_folder
 from flatweave.llm.text import U64, mix, released, rows_of_words
 
@@ -364,15 +364,12 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
 def learn(texts: DataFrame, text: str = "text", shards: int | None = None) -> Model:
     """Count a model over all rows; its arrays go to the cluster's shared folder.
 
-    There are as many shards as the texts' bytes ask for, so that a shard's size does not follow
-    the input.
+    There are as many shards as the texts' bytes ask for, up to 65,536, so that a shard's size does
+    not follow the input.
     """
     spark = texts.sparkSession
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    if shards is None:
-        size = texts.agg(F.coalesce(F.sum(F.octet_length(body)), F.lit(0))).first()[0]
-        shards = -(-size // SHARD_BYTES)
-    shards = max(1, min(1 << 16, shards))
+    shards = min(1 << 16, shards or shards_for(texts, body, 1.0, SHARD_BYTES))
     folder = qualified(spark, shared_folder(spark))
     pairs = texts.select(body.alias("text")).mapInArrow(released(_pairs(shards)), PAIRS)
     words = pairs.groupBy("shard").applyInArrow(_add_pairs(folder, shards), WORDS)
