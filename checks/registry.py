@@ -62,10 +62,10 @@ def q_csv_roundtrip(spark, sf_dir):
 
 
 def q_wide_csv_lines(spark, sf_dir):
-    """Thousands of columns, one per word of the longest document."""
+    """Thousands of columns, one per word of the longest document, most of them fill cells."""
     documents = documents_nested(spark, sf_dir).select("doc_id", WIDE_LIST)
     out = shared_folder(spark)
-    quick_flat(documents).write(out, wide_threshold=0)
+    quick_flat(documents).write(out, wide_threshold=0, compression="gzip")
     return (spark.read.text(out).where(~F.col("value").startswith("doc_id"))
             .select(F.substring_index("value", ",", 1).cast("bigint").alias("doc_id"),
                     F.col("value").alias("line")))

@@ -17,7 +17,7 @@ from flatweave.plans.policy import resolve_tags
 from flatweave.plans.report import build_report, refuse_to_replace
 from flatweave.sources.canonical import Canonical, read_canonical
 from flatweave.sources.discovery import choose_table, largest_by_bytes, tables_in
-from flatweave.sources.flat_csv import WIDE_THRESHOLD, write_flat
+from flatweave.sources.flat_csv import PLAIN, WIDE_THRESHOLD, write_flat
 from flatweave.sources.manifest import (Manifest, canonical_path, manifest_path, read_census,
                                         read_manifest, write_census, write_meta)
 
@@ -34,13 +34,15 @@ class Flat:
     def frame(self, form: str = "columns") -> DataFrame:
         return flatten(self.table, self.layout, form)
 
-    def write(self, path: str, name: str = "flat", wide_threshold: int = WIDE_THRESHOLD) -> DataFrame:
+    def write(self, path: str, name: str = "flat", wide_threshold: int = WIDE_THRESHOLD,
+              compression: str = PLAIN) -> DataFrame:
         """Write as CSV; store and return the one-row build report.
 
         Only a missing or empty folder, or that of another flat table, is written to.
+        ``compression`` is a codec of Spark's text files, such as gzip.
         """
         refuse_to_replace(self.table.sparkSession, path)
-        facts = write_flat(self.table, self.layout, path, wide_threshold)
+        facts = write_flat(self.table, self.layout, path, wide_threshold, compression)
         return build_report(self.table.sparkSession, name, path, self.layout, facts)
 
 

@@ -16,6 +16,9 @@ from flatweave.plans.layout import FlatLayout
 #: Rows are written as rendered lines. A caller may ask for one expression per cell instead, up to
 #: so many flat columns; the cells are the same.
 WIDE_THRESHOLD = 0
+#: Part files are plain text. A caller may name a codec of Spark's text files instead: a run of fill
+#: cells takes a few bytes of gzip, so the disk follows the elements and not the width.
+PLAIN = "none"
 
 # Quotes are doubled, empty strings are blank, spaces are kept.
 CSV_OPTIONS = {
@@ -49,8 +52,8 @@ def with_header(lines: DataFrame, header: str) -> DataFrame:
                         .otherwise(F.col("value")).alias("value"))
 
 
-def write_flat(df: DataFrame, layout: FlatLayout, path: str,
-               wide_threshold: int = WIDE_THRESHOLD) -> WriteFacts:
+def write_flat(df: DataFrame, layout: FlatLayout, path: str, wide_threshold: int = WIDE_THRESHOLD,
+               compression: str = PLAIN) -> WriteFacts:
     """Flatten and write; the rows are counted by the same job.
 
     Both ways give the same cells. Partitions are written where they are read:
@@ -60,7 +63,7 @@ def write_flat(df: DataFrame, layout: FlatLayout, path: str,
     total = F.count(F.lit(1)).alias("rows")
     if 1 < layout.n_columns <= wide_threshold:
         cells = csv_cells(flatten(df, layout)).observe(counter, total)
-        cells.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+        cells.write.mode("overwrite").options(**CSV_OPTIONS).csv(path, compression=compression)
         rows = counter.get["rows"]
     else:
         lines = flatten(df, layout, "lines").observe(counter, total)
@@ -68,10 +71,10 @@ def write_flat(df: DataFrame, layout: FlatLayout, path: str,
             lines = lines.withColumn("value", F.when(F.col("value") == "", '""')
                                      .otherwise(F.col("value")))
         writer = with_header(lines, header_line(layout)).write.mode("overwrite")
-        writer.option("maxRecordsPerFile", 0).text(path)
+        writer.option("maxRecordsPerFile", 0).text(path, compression=compression)
         rows = counter.get["rows"]
         if rows == 0:
             spark = df.sparkSession
             (spark.createDataFrame([(header_line(layout),)], "value string").coalesce(1)
-             .write.mode("overwrite").text(path))
+             .write.mode("overwrite").text(path, compression=compression))
     return WriteFacts(rows, time.monotonic() - started)

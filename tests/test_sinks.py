@@ -5,7 +5,9 @@ import glob
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
+from checks.registry import q_wide_csv_lines
 from flatweave import flat_from_scan, quick_flat, quick_path, scan, scan_path
 from flatweave.operators.census import census
 from flatweave.plans.report import fingerprint, read_report, row_print, same_table
@@ -48,6 +50,31 @@ def test_csv_text(odd, folder):
     assert by_id["3"]["f_0"] == "-999.0" and by_id["3"]["j_0"] == "-999"
 
 
+@pytest.mark.parametrize("threshold", [0, 2000])
+def test_a_compressed_table_has_the_same_lines(spark, reco, folder, threshold):
+    flat = quick_flat(reco.repartition(3))
+    flat.write(f"{folder}/plain", wide_threshold=threshold)
+    flat.write(f"{folder}/packed", wide_threshold=threshold, compression="gzip")
+    quick_flat(reco.where("false")).write(f"{folder}/none", wide_threshold=threshold, compression="gzip")
+    plain, packed, none = (sorted(r.value for r in spark.read.text(f"{folder}/{n}").collect())
+                           for n in ("plain", "packed", "none"))
+    assert plain == packed and len(packed) == 43 and len(none) == 1
+    for n in ("packed", "none"):
+        assert all(f.endswith(".gz") for f in glob.glob(f"{folder}/{n}/part-*"))
+
+
+def test_fill_cells_of_the_wide_table_take_no_disk(spark, folder):
+    words = F.when(F.col("id") == 7, F.repeat(F.lit("w "), 4000)).otherwise(F.lit("one two"))
+    spark.range(0, 300, 1, 2).select(F.col("id").alias("doc_id"), words.alias("text"),
+                                     F.lit("en").alias("lang"), F.lit("s").alias("source"),
+                                     F.lit(7).alias("n_chars")).write.parquet(f"{folder}/documents.parquet")
+    lines = q_wide_csv_lines(spark, folder)
+    facts = lines.agg(F.count("line").alias("n"), F.sum(F.length("line")).alias("chars"),
+                      F.min(F.size(F.split("line", ","))).alias("narrow")).first()
+    assert facts.n == 300 and facts.narrow == 4002 and facts.chars > 4_000_000
+    assert sum(Path(f.removeprefix("file:")).stat().st_size for f in lines.inputFiles()) < facts.chars / 50
+
+
 def test_dates_times_and_decimals_have_one_text(spark, folder):
     df = spark.sql("""select date'2024-01-02' as d, timestamp'2024-01-02 03:04:05.678901' as t,
                       cast(0.0000001 as decimal(20, 9)) as n, array(date'2024-05-06') as v,
