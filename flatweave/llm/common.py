@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -15,6 +16,11 @@ from flatweave.session import shared_folder, table_prefix
 ROWS_PER_BUCKET = 4096
 
 
+#: Bytes of rows after which a batch of texts goes to a Python worker, and the setting for it.
+BATCH_BYTES = 2 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -27,6 +33,24 @@ def stored(frame: DataFrame) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """What is planned and stored meanwhile hands texts to Python workers some MB at a time.
+
+    By default a batch is 10,000 rows of any size, often a whole task's texts, which the executor
+    holds outside its heap and the worker once more.
+    """
+    before = spark.conf.get(BATCH_SETTING, None)
+    spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(BATCH_SETTING)
+        else:
+            spark.conf.set(BATCH_SETTING, before)
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """The path with the scheme that Spark would read it by, so that workers read the same place."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flatweave.llm.bloom import split_by_keys
-from flatweave.llm.common import stored
+from flatweave.llm.common import small_batches, stored
 from flatweave.llm.suffixes import suffix_arrays
 from flatweave.llm.text import U64, RangeHash, bytes_of, mix, released, slices
 
@@ -42,7 +42,10 @@ CONTEXTS = 32
 ANCHORS = 1 << 18
 #: Bytes whose anchors are found, and bytes of lanes whose suffixes are sorted, at a time.
 PIECE = 1 << 18
-LANES = 1 << 20
+LANES = 1 << 18
+#: Neighbouring suffixes that are compared, and contexts whose windows are hashed, at a time.
+NEIGHBOURS = 1 << 14
+HASHED_CONTEXTS = 2000
 
 #: An anchor's place, packed: first window << 16 | number of windows << 8 | offset of the anchor.
 START, COUNT = 16, 8
@@ -131,7 +134,10 @@ def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     size = 0
 
     def flush() -> pa.RecordBatch:
-        cells = [np.concatenate(x) for x in zip(*held)] if held else [np.zeros(0, np.int64)] * 5
+        nonlocal size
+        cells = [np.concatenate(x) for x in zip(*held)]
+        held.clear()
+        size = 0
         return _batch(*_told(*cells))
 
     for batch in batches:
@@ -147,8 +153,6 @@ def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             size += len(gram)
             if size >= ANCHORS:
                 yield flush()
-                held.clear()
-                size = 0
     if held:
         yield flush()
 
@@ -304,8 +308,8 @@ def sorted_repeats(bodies: list[bytes], lane: np.ndarray, doc: np.ndarray,
     order = order[inside[order] + LENGTH <= count[context[order]]]  # whole windows
     views = np.lib.stride_tricks.sliding_window_view(symbols.astype(np.uint16), LENGTH)
     equal = np.zeros(len(order), dtype=bool)
-    for low in range(1, len(order), 1 << 16):
-        high = min(low + (1 << 16), len(order))
+    for low in range(1, len(order), NEIGHBOURS):
+        high = min(low + NEIGHBOURS, len(order))
         equal[low:high] = (views[order[low:high]] == views[order[low - 1:high - 1]]).all(axis=1)
     whose = context[order]
     equal[1:] &= lane[whose[1:]] == lane[whose[:-1]]
@@ -368,9 +372,8 @@ def _sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Every window of the contexts, by hash: (window, doc, tie, start)."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
+    for batch in (b.slice(low, HASHED_CONTEXTS) for b in batches
+                  for low in range(0, b.num_rows, HASHED_CONTEXTS)):
         bodies = batch.column(5).to_pylist()
         count = np.array([len(b) for b in bodies])
         data = np.frombuffer(b"".join(bodies), dtype=np.uint8)
@@ -397,7 +400,8 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     deal = F.when(F.col("kind") == OPEN, F.col("gram")).otherwise(F.xxhash64("doc", "place"))
     found = (docs.mapInArrow(released(_anchored), PLACES).repartition(deal)
              .sortWithinPartitions("kind", "gram", "context", "doc", "tie", "place"))
-    decided = stored(found.mapInArrow(released(_decided), "gram long, doc long, tie long, place long, kind long"))
+    with small_batches(docs.sparkSession):
+        decided = stored(found.mapInArrow(released(_decided), "gram long, doc long, tie long, place long, kind long"))
     asked = (decided.where(f"kind <> {REPEATED}").groupBy("doc", "tie")
              .agg(F.collect_list(F.struct("gram", "place", F.col("kind").cast("int").alias("kind")))
                   .alias("asked")))
@@ -405,8 +409,9 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     _, perhaps = split_by_keys(docs, F.xxhash64("doc", "tie"), decided.where(f"kind <> {REPEATED}").select(
         F.xxhash64("doc", "tie").alias("key")).distinct())
     # Merged, so that no task needs a worker for the filter and another one for the bodies.
-    contexts = stored(perhaps.join(asked.hint("merge"), ["doc", "tie"]).select("doc", "tie", "text", "asked")
-                      .mapInArrow(released(_bodies), CONTEXT))
+    with small_batches(docs.sparkSession):
+        contexts = stored(perhaps.join(asked.hint("merge"), ["doc", "tie"]).select("doc", "tie", "text", "asked")
+                          .mapInArrow(released(_bodies), CONTEXT))
     by_suffix = (contexts.where(f"kind = {SORTED}").repartition("gram")
                  .sortWithinPartitions("gram", "doc", "tie", "place").mapInArrow(released(_sorted), RUNS))
     windows = contexts.where(f"kind = {HASHED}").mapInArrow(

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -12,7 +13,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from flatweave.llm import (ann, chat, jaccard, kneser, language, mixing, neardup, packing, sharding,
+from flatweave.llm import (ann, chat, common, jaccard, kneser, language, mixing, neardup, packing, sharding,
                            substrings, suffixes)
 
 SMALL = "/root/testdata/sf0.001"
@@ -646,3 +647,44 @@ def test_tree_links_what_brute_force_links():
         for j in range(i):
             if jaccard.similar(sets[i], sets[j]):
                 assert parent[i] == parent[j]
+
+
+def test_texts_go_to_a_worker_some_mb_at_a_time(spark):
+    rows = spark.range(0, 300, 1, 1).select("id", F.repeat(F.lit("some text "), 10_000).alias("text"))
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], names=["n", "size"])
+
+    before = spark.conf.get(common.BATCH_SETTING)
+    with common.small_batches(spark):
+        got = common.stored(rows.mapInArrow(sizes, "n long, size long")).collect()
+    assert spark.conf.get(common.BATCH_SETTING) == before
+    assert sum(r.n for r in got) == 300
+    assert max(r.size for r in got) < 2 * common.BATCH_BYTES
+
+
+def test_texts_of_the_suffix_stage_go_in_small_batches(spark, monkeypatch):
+    seen, stored = [], substrings.stored
+    monkeypatch.setattr(substrings, "stored", lambda f: (
+        seen.append(spark.conf.get(common.BATCH_SETTING)), stored(f))[1])
+    docs = spark.createDataFrame([(1, -1, "a" * 300), (2, -1, "b" * 300)], "doc long, tie long, text string")
+    assert substrings.repeated_runs(docs).count() > 0
+    assert seen == [str(common.BATCH_BYTES)] * 2
+
+
+@pytest.mark.parametrize("work, most", [(substrings._sorted, 45), (substrings._windows, 25)])
+def test_contexts_take_bounded_memory(work, most):
+    rng = np.random.default_rng(5)
+    bodies = [rng.integers(97, 123, 168).astype(np.uint8).tobytes() for _ in range(10_000)]
+    places = np.zeros(10_000, np.int64)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(np.arange(10_000) // 3), pa.array(np.arange(10_000)), pa.array(places - 1), pa.array(places),
+         pa.array(places), pa.array(bodies, pa.binary())], names=["gram", "doc", "tie", "place", "kind", "body"])
+    list(work(iter([batch])))  # tables that are kept
+    tracemalloc.start()
+    for _ in work(iter([batch])):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < most * 1e6
