@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from flatweave.llm import jaccard, language, mixing, packing, substrings
 from flatweave.llm.bloom import split_by_keys
 from flatweave.llm.common import column, fresh, stored, table
+from flatweave.llm.text import release
 
 #: A text whose profile agrees less than this with every language is no language.
 LEAST_SCORE = 0.2
@@ -77,7 +78,9 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     @F.arrow_udf("string")
     def cut(texts: pa.Array, found: pa.Array) -> pa.Array:
-        return pa.array([_cut(t.as_py(), some.as_py()) for t, some in zip(texts, found)], pa.string())
+        done = pa.array([_cut(t.as_py(), some.as_py()) for t, some in zip(texts, found)], pa.string())
+        release()
+        return done
 
     # Only texts that may hold a repeat are shuffled.
     alone, perhaps = split_by_keys(rows, F.xxhash64(*names[:2]),
@@ -86,7 +89,8 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     joined = perhaps.join(runs.toDF(*names).hint("merge"), names[:2], "left")
     found, text = F.col(names[2]), column(joined, "text").cast("string")
     after = fresh("_cut", [*docs.columns, *names])
-    joined = joined.withColumn(after, F.when(found.isNull(), text).otherwise(cut(text, found)))
+    joined = joined.withColumn(after, F.when(found.isNull(), text).otherwise(
+        cut.asNondeterministic()(text, found)))  # else the filter would cut once more, in a second worker
     joined = joined.where(found.isNull() | (F.length(F.trim(after)) > 0))
     new = {"text": F.col(after), "n_chars": F.when(found.isNull(), F.col("n_chars")).otherwise(
         F.length(after)).cast("long")}

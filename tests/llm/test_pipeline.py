@@ -1,5 +1,6 @@
 """The pipeline's stages, and the entry point without the training-data folders."""
 
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -220,3 +221,13 @@ def test_clashing_names_and_maps_pass(spark):
         assert all(tuple(r)[5:] == extra for r in docs.collect())
     assert docs.columns == [c.split()[0] for c in (COLUMNS + more).split(", ")]
     assert {r.doc_id for r in docs.collect()} == {1, 4}
+
+
+def test_a_text_is_cut_once(spark):
+    passage = " ".join(f"word{i}" for i in range(40))
+    docs = spark.createDataFrame([(i, f"{i} {passage} {i}", "en", "s", 9) for i in range(3)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    frame = corpus_pipeline.cut_repeats(spark, docs, "")
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"EvalPython \[cut\(", plan)) == 1
+    assert sorted(len(r.text) < 60 for r in frame.collect()) == [False, True, True]
