@@ -2,16 +2,18 @@
 
 import csv
 import glob
+import gzip
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from checks.registry import q_wide_csv_lines
+from checks.registry import q_csv_roundtrip, q_wide_csv_lines
 from flatweave import flat_from_scan, quick_flat, quick_path, scan, scan_path
 from flatweave.operators.census import census
 from flatweave.plans.report import fingerprint, read_report, row_print, same_table
 from flatweave.session import cleanup, shared_folder, table_prefix
+from flatweave.sources import flat_csv
 from flatweave.sources.discovery import choose_table, largest_input, largest_table, tables_in
 from flatweave.sources.manifest import read_manifest, set_policies
 
@@ -75,6 +77,46 @@ def test_fill_cells_of_the_wide_table_take_no_disk(spark, folder):
     assert sum(Path(f.removeprefix("file:")).stat().st_size for f in lines.inputFiles()) < facts.chars / 50
 
 
+def test_fill_cells_of_the_roundtrip_take_no_disk(spark, folder):
+    lines = (F.when(F.col("id") == 7, F.repeat(F.lit("n\n"), 200)).when(F.col("id") == 8, F.lit(None))
+             .otherwise(F.lit("one\ntwo and a line of more than twenty letters")))
+    spark.range(0, 600, 1, 2).select(F.col("id").alias("doc_id"), lines.alias("text"),
+                                     F.lit("en").alias("lang"), F.lit('s,"').alias("source"),
+                                     F.lit(7).alias("n_chars")).write.parquet(f"{folder}/documents.parquet")
+    read = q_csv_roundtrip(spark, folder)
+    rows = {r.event_id: r for r in read.collect()}
+    assert len(rows) == read.count() == 600 and len(read.columns) == 3 * 201 + 5
+    for i, n in ((0, 2), (7, 201), (8, 0), (599, 2)):
+        assert [rows[i][f"line_{j}"] for j in range(201)] == [*range(1, n + 1)] + [-999] * (201 - n)
+    assert (rows[0].qty_0, rows[0].qty_1, rows[0].qty_2, rows[0].flag_1, rows[0].flag_2) == (3, 42, -999, "A", "-999.0")
+    assert rows[599].status == 's,"' and rows[599].met == rows[599].vtx == 7
+    cells = sum(len(str(c)) + 1 for r in rows.values() for c in r)  # as characters of plain text
+    assert sum(Path(f.removeprefix("file:")).stat().st_size for f in read.inputFiles()) < cells / 40
+
+
+@pytest.mark.parametrize("threshold", [0, 2000])
+def test_a_compressed_part_file_is_bounded(spark, reco, folder, monkeypatch, threshold):
+    flat = quick_flat(reco.repartition(2))
+    flat.write(f"{folder}/whole", wide_threshold=threshold, compression="gzip")
+    monkeypatch.setattr(flat_csv, "FILE_CELLS", 3 * flat.layout.n_columns + 1)
+    flat.write(f"{folder}/parts", wide_threshold=threshold, compression="gzip")
+    flat.write(f"{folder}/plain", wide_threshold=threshold)
+    monkeypatch.setattr(flat_csv, "FILE_CELLS", 1)
+    flat.write(f"{folder}/rows", wide_threshold=threshold, compression="gzip")
+    header = ",".join(flat.layout.names)
+
+    def files(name):
+        found = [gzip.open(f, "rt").read().splitlines() for f in glob.glob(f"{folder}/{name}/part-*")]
+        assert all(lines[0] == header and header not in lines[1:] for lines in found)
+        return sorted(len(lines) - 1 for lines in found), sorted(x for lines in found for x in lines[1:])
+
+    (whole, rows), (parts, cut), (single, each) = files("whole"), files("parts"), files("rows")
+    assert rows == cut == each and len(rows) == 40
+    assert len(whole) == 2 and len(parts) == sum(-(-n // 3) for n in whole)
+    assert max(parts) == 3 and single == [1] * 40
+    assert len(glob.glob(f"{folder}/plain/part-*")) == 2
+
+
 def test_dates_times_and_decimals_have_one_text(spark, folder):
     df = spark.sql("""select date'2024-01-02' as d, timestamp'2024-01-02 03:04:05.678901' as t,
                       cast(0.0000001 as decimal(20, 9)) as n, array(date'2024-05-06') as v,
