@@ -98,11 +98,14 @@ def test_fill_cells_of_the_roundtrip_take_no_disk(spark, folder):
 def test_a_compressed_part_file_is_bounded(spark, reco, folder, monkeypatch, threshold):
     flat = quick_flat(reco.repartition(2))
     flat.write(f"{folder}/whole", wide_threshold=threshold, compression="gzip")
+    monkeypatch.setattr(flat_csv, "FILE_ROWS", 1)
     monkeypatch.setattr(flat_csv, "FILE_CELLS", 3 * flat.layout.n_columns + 1)
     flat.write(f"{folder}/parts", wide_threshold=threshold, compression="gzip")
     flat.write(f"{folder}/plain", wide_threshold=threshold)
     monkeypatch.setattr(flat_csv, "FILE_CELLS", 1)
     flat.write(f"{folder}/rows", wide_threshold=threshold, compression="gzip")
+    monkeypatch.setattr(flat_csv, "FILE_ROWS", 5)
+    flat.write(f"{folder}/wide", wide_threshold=threshold, compression="gzip")
     header = ",".join(flat.layout.names)
 
     def files(name):
@@ -110,8 +113,8 @@ def test_a_compressed_part_file_is_bounded(spark, reco, folder, monkeypatch, thr
         assert all(lines[0] == header and header not in lines[1:] for lines in found)
         return sorted(len(lines) - 1 for lines in found), sorted(x for lines in found for x in lines[1:])
 
-    (whole, rows), (parts, cut), (single, each) = files("whole"), files("parts"), files("rows")
-    assert rows == cut == each and len(rows) == 40
+    (whole, rows), (parts, cut), (single, each), (wide, five) = map(files, ("whole", "parts", "rows", "wide"))
+    assert rows == cut == each == five and len(rows) == 40 and max(wide) == 5
     assert len(whole) == 2 and len(parts) == sum(-(-n // 3) for n in whole)
     assert max(parts) == 3 and single == [1] * 40
     assert len(glob.glob(f"{folder}/plain/part-*")) == 2
